@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def skill_set(column: Column) -> Column:
     """Sorted distinct trimmed entries of a pipe-delimited list; null gives an empty set."""
-    parts = F.transform(F.split(column, r"\|"), F.trim)
+    parts = F.transform(F.split(column, r"\|"), lambda s: F.trim(s))
     return F.coalesce(F.array_sort(F.array_distinct(parts)), F.array().cast("array<string>"))
 
 

@@ -24,17 +24,15 @@ def weather_locks(weather: DataFrame) -> DataFrame:
 
 
 def event_days(events: DataFrame, params: Params) -> DataFrame:
-    """Distinct scope-days: each event's days within the planning years."""
-    clipped = events.select(
+    """Distinct scope-days: each event's days within the planning years, both bounds known."""
+    clipped = events.dropna(subset=["ValidFrom", "ValidUntil"]).select(
         F.col("CustomerID").alias("x_customer"),
         F.col("SiteCode").alias("x_site"),
         F.col("Market").alias("x_market"),
         F.col("Region").alias("x_region"),
-        F.greatest(F.col("ValidFrom"), F.lit(params.calendar_first)).alias("_from"),
-        F.when(F.col("ValidFrom").isNotNull(), F.least(F.col("ValidUntil"), F.lit(params.calendar_last)))
-        .alias("_until"),
-        F.col("ValidUntil").isNotNull().alias("_bounded"),
-    ).where("_bounded")
+        F.greatest("ValidFrom", F.lit(params.calendar_first)).alias("_from"),
+        F.least("ValidUntil", F.lit(params.calendar_last)).alias("_until"),
+    )
     scopes = ("x_customer", "x_site", "x_market", "x_region")
     intervals = clipped.select(*scopes, "_from", "_until").distinct()
     return day_range(intervals, "_from", "_until").select(*scopes, "day").distinct()

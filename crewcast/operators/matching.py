@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from crewcast.functions.text import contains_all, skill_key, skill_set
 from crewcast.operators.clean import first_per_key
+from crewcast.operators.joins import join_null_safe
 from crewcast.operators.ranking import spread_rank
 
 POOL = ("Market", "VendorBooked", "need_key")
@@ -25,14 +26,6 @@ def with_have(crews: DataFrame) -> DataFrame:
     return crews.withColumn("have_key", skill_key(F.col("Skills1")))
 
 
-def same_pool(left: DataFrame, right: DataFrame):
-    """Null-safe equality on the pool columns, usable as a hash-join key."""
-    condition = left["Market"].eqNullSafe(right["Market"])
-    for c in POOL[1:]:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def pools_of(jobs: DataFrame) -> DataFrame:
     return jobs.select(*POOL).distinct()
 
@@ -95,8 +88,8 @@ def count_qualified(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     classes = crew_classes(crews)
     pools = pools_of(jobs)
     counts = pool_matches(pools, classes, classes).groupBy(*POOL).agg(F.sum("n_crews").alias("_n"))
-    joined = jobs.join(counts, same_pool(jobs, counts), "left")
-    return joined.select(*[jobs[c] for c in jobs.columns], F.coalesce("_n", F.lit(0)).cast("int").alias("CountQualified"))
+    joined = join_null_safe(jobs, counts, POOL, "left")
+    return joined.withColumn("CountQualified", F.coalesce("_n", F.lit(0)).cast("int")).drop("_n")
 
 
 def crew_order() -> list:
@@ -114,8 +107,7 @@ def qualified_crews(jobs: DataFrame, crews: DataFrame) -> DataFrame:
 def qualified_per_job(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     """The ordered crew list of every job: each job's pool list, joined by pool."""
     listed = qualified_crews(jobs, crews)
-    pairs = jobs.select("JobID", *POOL)
-    joined = pairs.join(listed, same_pool(pairs, listed))
+    joined = join_null_safe(jobs.select("JobID", *POOL), listed, POOL)
     return joined.select("JobID", "rank", "VendorID", "crew_name", "Score", "ValidFrom", "ValidUntil")
 
 
@@ -125,7 +117,7 @@ def best_crew(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     top = first_per_key(crews.where(F.col("Market").isNotNull()), ["Market", "VendorID", "have_key"], crew_order())
     matches = pool_matches(pools_of(jobs), crew_classes(crews), top.select("Market", "have_key", *entry))
     best = first_per_key(matches, POOL, crew_order())
-    return jobs.select("JobID", *POOL).join(best, same_pool(jobs, best)).select("JobID", *entry)
+    return join_null_safe(jobs.select("JobID", *POOL), best, POOL).select("JobID", *entry)
 
 
 def market_regions(crews: DataFrame) -> DataFrame:

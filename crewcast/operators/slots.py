@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crewcast.functions.dates import add_business_days
 from crewcast.operators.clean import first_per_key
+from crewcast.operators.joins import join_null_safe
 from crewcast.operators.locks import unlocked
 from crewcast.operators.matching import POOL, crew_classes, crew_order, pool_matches, pools_of
 from crewcast.operators.triage import FORECAST
@@ -65,25 +66,13 @@ def crew_options(slots: DataFrame, crews: DataFrame) -> DataFrame:
     listed = crews.where(F.col("Market").isNotNull())
     sizes = listed.groupBy(*keys).agg(F.count("*").alias("n_crews"))
     best = first_per_key(listed, keys, crew_order()).select(*keys, "crew_name", "Score")
-    same = sizes["Market"] == best["Market"]
-    for c in keys[1:]:
-        same = same & sizes[c].eqNullSafe(best[c])
-    groups = best.join(sizes, same).select(*[best[c] for c in best.columns], "n_crews")
-
+    groups = join_null_safe(best, sizes, keys)
     wanted = slots.select(*POOL, "slot_start", "slot_end").distinct()
     matches = pool_matches(pools_of(slots), crew_classes(crews), groups)
-    condition = matches["Market"].eqNullSafe(wanted["Market"])
-    for c in POOL[1:]:
-        condition = condition & matches[c].eqNullSafe(wanted[c])
-    valid = (wanted["slot_start"] >= matches["ValidFrom"]) & (wanted["slot_end"] <= matches["ValidUntil"])
-    joined = wanted.join(matches, condition & valid).select(
-        *[wanted[c] for c in wanted.columns],
-        "VendorID", "crew_name", "Score", "ValidFrom", "ValidUntil", "n_crews",
-    )
+    valid = (F.col("slot_start") >= F.col("ValidFrom")) & (F.col("slot_end") <= F.col("ValidUntil"))
+    joined = join_null_safe(wanted, matches, POOL).where(valid)
     slot = [*POOL, "slot_start", "slot_end"]
-    order = F.struct(
-        F.col("Score").isNotNull().alias("_s"), "Score", "VendorID", "crew_name", "ValidFrom", "ValidUntil"
-    )
+    order = F.struct("Score", "VendorID", "crew_name", "ValidFrom", "ValidUntil")
     return (
         joined.groupBy(*slot)
         .agg(F.sum("n_crews").cast("int").alias("n_crews"), F.max(order).alias("_best"))
@@ -97,10 +86,7 @@ def first_slot(
     """Each job's first feasible slot and crew if nobody else were placed."""
     free = site_free_slots(jobs, locks, calendar, params)
     options = crew_options(free, crews)
-    same = free["Market"].eqNullSafe(options["Market"])
-    for c in [*POOL[1:], "slot_start", "slot_end"]:
-        same = same & free[c].eqNullSafe(options[c])
-    joined = free.join(options, same).select(
-        "JobID", "offset", free["slot_start"], free["slot_end"], "VendorID", "crew_name"
+    joined = join_null_safe(free, options, [*POOL, "slot_start", "slot_end"]).select(
+        "JobID", "offset", "slot_start", "slot_end", "VendorID", "crew_name"
     )
     return first_per_key(joined, ["JobID"], [F.col("offset").asc()])
