@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.functions.geo import cell, reachable_cells
+from crewcast.operators.joins import join_null_safe
 from crewcast.operators.matching import crew_classes, pools_of, skill_pairs
 from crewcast.operators.triage import BOOKED
 from crewcast.session import materialise
@@ -44,12 +45,8 @@ def crew_edges(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     """Links pools to the classes they may draw on, and classes to their crews."""
     pools = pools_of(jobs.where(F.col("phase") > BOOKED))
     classes = crew_classes(crews)
-    pairs = skill_pairs(pools, classes).select(
-        F.col("Market").alias("_m"), F.col("need_key").alias("_need"), F.col("have_key").alias("_have")
-    )
-    sets = pools.join(
-        pairs, (F.col("Market") == F.col("_m")) & F.col("need_key").eqNullSafe(F.col("_need"))
-    ).drop("_m", "_need")
+    sets = join_null_safe(skill_pairs(pools, classes), pools, ["Market", "need_key"])
+    sets = sets.select("Market", "need_key", "VendorBooked", F.col("have_key").alias("_have"))
     pool = _node("pool", "Market", "VendorBooked", "need_key").alias("pool")
     any_vendor = sets.where(F.col("VendorBooked").isNull()).select(
         pool, F.col("Market").alias("_m"), "_have"

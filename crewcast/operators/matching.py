@@ -64,23 +64,12 @@ def pool_matches(pools: DataFrame, classes: DataFrame, right: DataFrame) -> Data
     """Pool columns plus the matching rows of ``right``.
 
     ``right`` has ``Market, VendorID, have_key`` and is either the classes or the crews.
-    A booked vendor is part of the equi-join key; no booked vendor admits all vendors.
+    The booked vendor is part of the equi-join key; no booked vendor admits all vendors.
     """
-    pairs = skill_pairs(pools, classes).select(
-        F.col("Market").alias("_m"), F.col("need_key").alias("_need"), F.col("have_key").alias("_have")
-    )
-    sets = pools.join(
-        pairs, (F.col("Market") == F.col("_m")) & F.col("need_key").eqNullSafe(F.col("_need"))
-    ).drop("_m", "_need")
-    rest = right.select(
-        F.col("Market").alias("_m"), *[F.col(c) for c in right.columns if c != "Market"]
-    )
-    same_class = (F.col("Market") == F.col("_m")) & F.col("_have").eqNullSafe(F.col("have_key"))
-    open_pools = sets.where(F.col("VendorBooked").isNull()).join(rest, same_class)
-    tied_pools = sets.where(F.col("VendorBooked").isNotNull()).join(
-        rest, same_class & (F.col("VendorBooked") == F.col("VendorID"))
-    )
-    return open_pools.unionByName(tied_pools).drop("_m", "_have")
+    # a crew is found under its own vendor and under "no vendor booked"
+    listed = right.withColumn("VendorBooked", F.explode(F.array(F.lit(None).cast("string"), "VendorID")))
+    sets = join_null_safe(skill_pairs(pools, classes), pools, ["Market", "need_key"])
+    return join_null_safe(sets, listed, ["Market", "have_key", "VendorBooked"]).drop("have_key")
 
 
 def count_qualified(jobs: DataFrame, crews: DataFrame) -> DataFrame:

@@ -37,8 +37,9 @@ def prepared_crews(crews: DataFrame) -> DataFrame:
 def triaged_jobs(jobs: DataFrame, crews: DataFrame, params: Params) -> DataFrame:
     """Cleaned jobs with filled columns, qualified crew count, status code and phase."""
     cleaned = add_region(with_need(clean_jobs(jobs, params)), crews)
-    counted = count_qualified(fill_defaults(cleaned, params), crews)
-    return triage(known_crew(counted, crews), params)
+    # read twice below, for the pools and for the rows
+    filled = materialise(fill_defaults(cleaned, params), "filled")
+    return triage(known_crew(count_qualified(filled, crews), crews), params)
 
 
 def allocate(inputs: Inputs, params: Params) -> DataFrame:

@@ -6,6 +6,8 @@ be written in SQL.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,7 +19,9 @@ from crewcast.plans.allocation import Inputs
 SKILLS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
+@cache
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The table as a lazy scan; keeping it saves reading the file schema again."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
