@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.functions.dates import day_range
@@ -105,9 +105,6 @@ def lock_sets(locks: DataFrame) -> DataFrame:
     return locks.groupBy(*SITE).agg(F.array_sort(F.collect_set("day")).alias("locked_days"))
 
 
-def unlocked(df: DataFrame, locks: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows whose closed interval holds no locked day of their site."""
-    sets = lock_sets(locks)
-    joined = df.join(sets, list(SITE), "left")
-    hit = F.exists("locked_days", lambda d: d.between(F.col(start), F.col(end)))
-    return joined.where(~F.coalesce(hit, F.lit(False))).drop("locked_days")
+def meets_lock(start: Column, end: Column) -> Column:
+    """True when a day of ``locked_days`` lies in the closed interval."""
+    return F.coalesce(F.exists("locked_days", lambda d: d.between(start, end)), F.lit(False))

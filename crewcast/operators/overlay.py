@@ -14,18 +14,18 @@ MISSING = "#"  # fixed value: text written for an unknown vendor, crew or start
 def with_placements(jobs: DataFrame, placed: DataFrame) -> DataFrame:
     """Every triaged job once, with its placement or the code it already had.
 
-    ``placed`` holds exactly the jobs without a code, so one left join replaces the
-    union of the phases.
+    Jobs that triage settled pass through; only the others take part in the join.
     """
     found = placed.select(
-        F.col("JobID").alias("_id"),
+        "JobID",
         F.col("ResourceStatus").alias("_status"),
         "RecommendedVendor",
         "RecommendedWorker",
         F.date_from_unix_date("planned_day").alias("PlannedJobStart"),
     )
-    joined = jobs.join(found, F.col("JobID") == F.col("_id"), "left")
-    return joined.withColumn("ResourceStatus", F.coalesce("ResourceStatus", "_status")).drop("_id", "_status")
+    live = jobs.where(F.col("phase").isNotNull()).join(found, "JobID", "left")
+    live = live.withColumn("ResourceStatus", F.col("_status")).drop("_status")
+    return jobs.where(F.col("phase").isNull()).unionByName(live, allowMissingColumns=True)
 
 
 def typed_overlay(jobs: DataFrame) -> DataFrame:

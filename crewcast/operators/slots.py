@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.functions.dates import add_business_days
 from crewcast.operators.clean import first_per_key
 from crewcast.operators.joins import join_null_safe
-from crewcast.operators.locks import unlocked
+from crewcast.operators.locks import SITE, lock_sets, meets_lock
 from crewcast.operators.matching import POOL, crew_classes, crew_order, pool_matches, pools_of
 from crewcast.operators.triage import FORECAST
 from crewcast.params import Params
@@ -53,7 +55,9 @@ def candidate_slots(jobs: DataFrame, calendar: DataFrame, params: Params) -> Dat
 
 def site_free_slots(jobs: DataFrame, locks: DataFrame, calendar: DataFrame, params: Params) -> DataFrame:
     """Candidate slots without a locked day of the site."""
-    return unlocked(candidate_slots(jobs, calendar, params), locks, "slot_start", "slot_end")
+    # the locked days join the jobs, not their many slots
+    held = candidate_slots(jobs.join(lock_sets(locks), list(SITE), "left"), calendar, params)
+    return held.where(~meets_lock(F.col("slot_start"), F.col("slot_end"))).drop("locked_days")
 
 
 def crew_options(slots: DataFrame, crews: DataFrame) -> DataFrame:
@@ -80,13 +84,44 @@ def crew_options(slots: DataFrame, crews: DataFrame) -> DataFrame:
     )
 
 
+def start_options(jobs: DataFrame, crews: DataFrame, calendar: DataFrame, params: Params) -> DataFrame:
+    """Per pool and duration, the start days some crew is valid for, in order.
+
+    ``options`` has at most one entry per business day of the planning window.
+    """
+    keys = [*POOL, "JobDuration"]
+    first = params.as_of + dt.timedelta(days=params.job_start_buffer)
+    days = F.sequence(F.lit(first), F.lit(params.plan_end))
+    wanted = jobs.select(*keys).distinct().withColumn("slot_start", F.explode(days))
+    open_days = calendar.where("is_business").select(F.col("day").alias("slot_start"), "ord")
+    wanted = wanted.join(F.broadcast(open_days), "slot_start")
+    dated = add_business_days(wanted, "slot_start", F.col("JobDuration") + params.job_buffer, "slot_end", calendar)
+    served = join_null_safe(dated, crew_options(dated, crews), [*POOL, "slot_start", "slot_end"])
+    entry = F.struct("ord", "slot_start", "slot_end", "VendorID", "crew_name")
+    return served.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("options"))
+
+
 def first_slot(
     jobs: DataFrame, crews: DataFrame, locks: DataFrame, calendar: DataFrame, params: Params
 ) -> DataFrame:
-    """Each job's first feasible slot and crew if nobody else were placed."""
-    free = site_free_slots(jobs, locks, calendar, params)
-    options = crew_options(free, crews)
-    joined = join_null_safe(free, options, [*POOL, "slot_start", "slot_end"]).select(
-        "JobID", "offset", "slot_start", "slot_end", "VendorID", "crew_name"
-    )
-    return first_per_key(joined, ["JobID"], [F.col("offset").asc()])
+    """Each job's first feasible slot and crew if nobody else were placed.
+
+    Jobs keep to one row: the bounded option list of their pool and duration is joined
+    and searched in place.
+    """
+    wanted = wanted_start(jobs, params).where(F.col("last_offset") >= 0)
+    held = wanted.join(lock_sets(locks), list(SITE), "left")
+    at = calendar.select(F.col("day").alias("first_day"), F.col("ord").alias("first_ord"))
+    dated = held.join(F.broadcast(at), "first_day")
+    options = start_options(wanted, crews, calendar, params)
+    joined = join_null_safe(dated, options, [*POOL, "JobDuration"])
+
+    def feasible(o):
+        offset = o["ord"] - F.col("first_ord")
+        return offset.between(0, F.col("last_offset")) & ~meets_lock(o["slot_start"], o["slot_end"])
+
+    chosen = joined.withColumn("o", F.get(F.filter("options", feasible), F.lit(0))).where("o is not null")
+    return chosen.select(
+        "JobID", (F.col("o.ord") - F.col("first_ord")).alias("offset"),
+        "o.slot_start", "o.slot_end", "o.VendorID", "o.crew_name",
+    )

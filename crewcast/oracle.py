@@ -187,7 +187,7 @@ wanted AS (
   FROM triaged WHERE phase >= 2
 ),
 slots AS (
-  SELECT w.*, t."offset", s.day AS slot_start, e.day AS slot_end
+  SELECT w.*, CAST(t."offset" AS INT) AS "offset", s.day AS slot_start, e.day AS slot_end
   FROM wanted w, LATERAL (SELECT unnest(generate_series(0, least(last_offset, 90))) AS "offset") t
     JOIN calendar c ON c.day = first_day JOIN workdays s ON s.ord = c.ord + t."offset"
     LEFT JOIN workdays e ON e.ord = s.ord + JobDuration + 1

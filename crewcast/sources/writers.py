@@ -14,9 +14,11 @@ from crewcast.functions.dates import date_parts
 def write_by_day(df: DataFrame, path: str, day_column: str, form: str = "parquet") -> None:
     """Write into ``year=/month=/day=`` taken from each row's own date.
 
-    Only the days present are replaced; an empty input writes nothing.
+    Only the days present are replaced; an empty input writes nothing. Rows are
+    gathered by day, and a day too large for one task is split, so that files are
+    neither tiny nor huge.
     """
-    dated = date_parts(df, day_column)
+    dated = date_parts(df, day_column).hint("rebalance", "year", "month", "day")
     (
         dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
