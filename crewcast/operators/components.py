@@ -124,12 +124,12 @@ def _hang_on_smallest(edges: DataFrame, larger_only: bool) -> DataFrame:
 
 
 def _only_stars(edges: DataFrame) -> bool:
-    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("below"), F.lit(0).alias("centre")).unionByName(
-        edges.select(F.col("b").alias("n"), F.lit(0).alias("below"), F.lit(1).alias("centre"))
-    )
-    roles = ends.groupBy("n").agg(F.sum("below").alias("below"), F.max("centre").alias("centre"))
-    fine = roles.where("below > 1 or (below = 1 and centre = 1)").isEmpty()
-    return fine and edges.where("a < b").isEmpty()
+    """One smaller centre per node, and no centre below another one."""
+    lower = edges.select(F.col("a").alias("n"), F.lit(1).alias("below"), (F.col("a") < F.col("b")).alias("wrong"))
+    centres = edges.select(F.col("b").alias("n"), F.lit(0).alias("below"), F.lit(False).alias("wrong"))
+    roles = lower.unionByName(centres).groupBy("n")
+    roles = roles.agg(F.sum("below").alias("below"), F.count("*").alias("n_ends"), F.bool_or("wrong").alias("wrong"))
+    return roles.where("wrong or below > 1 or (below = 1 and n_ends > 1)").isEmpty()
 
 
 def label_nodes(edges: DataFrame) -> DataFrame:

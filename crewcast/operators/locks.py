@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crewcast.functions.dates import day_range
 from crewcast.params import Params
+from crewcast.session import materialise
 
 SITE = ("customer_id", "SiteCode")
 
@@ -69,7 +70,7 @@ def event_locks(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame
     most one entry per calendar day) and looks it up by key, so neither events times
     sites nor repeated events per key reach a join.
     """
-    days = event_days(events, params)
+    days = materialise(event_days(events, params), "event_days")  # looked at once per case
     sites = jobs.select(*SITE, "Market", "Region").distinct()
     found = []
     for i, (left, right, null) in enumerate(_scopes()):

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.functions.dates import add_business_days
-from crewcast.operators.clean import first_per_key
 from crewcast.operators.joins import join_null_safe
 from crewcast.operators.locks import SITE, lock_sets, meets_lock
-from crewcast.operators.matching import POOL, crew_classes, crew_order, pool_matches, pools_of
+from crewcast.operators.matching import POOL, crew_classes, pool_matches, pools_of
 from crewcast.operators.triage import FORECAST
 from crewcast.params import Params
 
@@ -63,24 +62,25 @@ def site_free_slots(jobs: DataFrame, locks: DataFrame, calendar: DataFrame, para
 def crew_options(slots: DataFrame, crews: DataFrame) -> DataFrame:
     """Valid crews per distinct (pool, slot): their number and the preferred one.
 
-    Crews of one class with one validity interval are interchangeable but for their
-    rank, so each such group enters the join as one row with its size and best crew.
+    Crews that a pool may draw on and that are valid over the same days differ only in
+    rank, so they enter the join as one row with their number and best crew.
     """
-    keys = ["Market", "VendorID", "have_key", "ValidFrom", "ValidUntil"]
-    listed = crews.where(F.col("Market").isNotNull())
-    sizes = listed.groupBy(*keys).agg(F.count("*").alias("n_crews"))
-    best = first_per_key(listed, keys, crew_order()).select(*keys, "crew_name", "Score")
-    groups = join_null_safe(best, sizes, keys)
-    wanted = slots.select(*POOL, "slot_start", "slot_end").distinct()
-    matches = pool_matches(pools_of(slots), crew_classes(crews), groups)
-    valid = (F.col("slot_start") >= F.col("ValidFrom")) & (F.col("slot_end") <= F.col("ValidUntil"))
-    joined = join_null_safe(wanted, matches, POOL).where(valid)
+    span = ["ValidFrom", "ValidUntil"]
+    rank = F.struct("Score", "VendorID", "crew_name", *span)
+    best = F.max("best").alias("best")
+    n_crews = F.sum("n_crews").alias("n_crews")
+    listed = crews.where(F.col("Market").isNotNull()).withColumns({"best": rank, "n_crews": F.lit(1)})
+    groups = listed.groupBy("Market", "VendorID", "have_key", *span).agg(best, n_crews)
+    matches = pool_matches(pools_of(slots), crew_classes(crews), groups).groupBy(*POOL, *span).agg(best, n_crews)
+
     slot = [*POOL, "slot_start", "slot_end"]
-    order = F.struct("Score", "VendorID", "crew_name", "ValidFrom", "ValidUntil")
+    joined = join_null_safe(slots.select(*slot).distinct(), matches, POOL)
+    valid = (F.col("slot_start") >= F.col("ValidFrom")) & (F.col("slot_end") <= F.col("ValidUntil"))
     return (
-        joined.groupBy(*slot)
-        .agg(F.sum("n_crews").cast("int").alias("n_crews"), F.max(order).alias("_best"))
-        .select(*slot, "n_crews", F.col("_best.VendorID").alias("VendorID"), F.col("_best.crew_name").alias("crew_name"))
+        joined.where(valid)
+        .groupBy(*slot)
+        .agg(best, n_crews)
+        .select(*slot, F.col("n_crews").cast("int").alias("n_crews"), "best.VendorID", "best.crew_name")
     )
 
 

@@ -23,7 +23,7 @@ from crewcast.streaming.drops import drop_stream, run_on_drops
 PARAMS = Params()
 NEAR_KM = 3.0
 NEAR = dataclasses.replace(PARAMS, site_distance_min=NEAR_KM)
-WINDOWED = dataclasses.replace(NEAR, window_jobs=500)
+WINDOWED = dataclasses.replace(NEAR, window_jobs=40)
 QUICK = dataclasses.replace(PARAMS, folds=3)
 CAPACITY_DAYS = (dt.date(1998, 6, 1), dt.date(1998, 6, 30))
 
@@ -52,8 +52,9 @@ def _filled(spark, folder) -> DataFrame:
     return triage.fill_defaults(_cleaned(spark, folder), PARAMS)
 
 
-def _triaged(spark, folder) -> DataFrame:
-    return triaged_jobs(views.jobs(spark, folder, PARAMS), _crews(spark, folder), PARAMS)
+def _triaged(spark, folder, crews=None) -> DataFrame:
+    crews = materialise(_crews(spark, folder), "crews") if crews is None else crews
+    return triaged_jobs(views.jobs(spark, folder, PARAMS), crews, PARAMS)
 
 
 def _regional(spark, folder) -> DataFrame:
@@ -267,19 +268,21 @@ def skill_match(spark, folder):
 
 @query
 def qualified_counts(spark, folder):
-    return matching.count_qualified(_needing(spark, folder), _crews(spark, folder)).select("JobID", "CountQualified")
+    jobs, crews = materialise(_needing(spark, folder), "jobs"), materialise(_crews(spark, folder), "crews")
+    return matching.count_qualified(jobs, crews).select("JobID", "CountQualified")
 
 
 @query
 def qualified_crews(spark, folder):
-    listed = matching.qualified_crews(_needing(spark, folder), _crews(spark, folder))
+    listed = matching.qualified_crews(_needing(spark, folder), materialise(_crews(spark, folder), "crews"))
     return listed.select(*matching.POOL, "rank", "VendorID", "crew_name", "Score", "ValidFrom", "ValidUntil")
 
 
 @query
 def qualified_per_job(spark, folder):
     """Crew list of every job, summarised: its length and its first and last entry."""
-    listed = matching.qualified_per_job(_needing(spark, folder), _crews(spark, folder))
+    jobs, crews = materialise(_needing(spark, folder), "jobs"), materialise(_crews(spark, folder), "crews")
+    listed = matching.qualified_per_job(jobs, crews)
     return listed.groupBy("JobID").agg(
         F.count("*").alias("n_crews"), F.min_by("crew_name", "rank").alias("first_crew"),
         F.max_by("crew_name", "rank").alias("last_crew"),
@@ -288,7 +291,8 @@ def qualified_per_job(spark, folder):
 
 @query
 def best_crew(spark, folder):
-    return matching.best_crew(_needing(spark, folder), _crews(spark, folder))
+    jobs, crews = materialise(_needing(spark, folder), "jobs"), materialise(_crews(spark, folder), "crews")
+    return matching.best_crew(jobs, crews)
 
 
 @query
@@ -383,14 +387,15 @@ def site_free_slots(spark, folder):
 
 @query
 def crew_free_slots(spark, folder):
-    found = slots.candidate_slots(_triaged(spark, folder), business_calendar(spark, PARAMS), PARAMS)
-    return slots.crew_options(found, _crews(spark, folder))
+    crews = materialise(_crews(spark, folder), "crews")
+    found = slots.candidate_slots(_triaged(spark, folder, crews), business_calendar(spark, PARAMS), PARAMS)
+    return slots.crew_options(found, crews)
 
 
 @query
 def first_slot(spark, folder):
-    crews = _crews(spark, folder)
-    jobs = materialise(_triaged(spark, folder), "triaged")
+    crews = materialise(_crews(spark, folder), "crews")
+    jobs = materialise(_triaged(spark, folder, crews), "triaged")
     return slots.first_slot(
         jobs, crews, _locks(spark, folder, jobs), business_calendar(spark, PARAMS), PARAMS
     )
