@@ -79,10 +79,9 @@ def event_locks(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame
             kept = kept.where(F.col(c).isNotNull())
         for c in null:
             kept = kept.where(F.col(c).isNull())
-        if not left:  # a worldwide event: one row of days for all sites
-            left, right = ("_all",), ("_all",)
-            kept = kept.withColumn("_all", F.lit(1))
-            sites = sites.withColumn("_all", F.lit(1))
+        if not left:  # a worldwide event: one day set for all sites
+            everywhere = kept.agg(F.collect_set("day")).scalar()
+            continue
         name = f"_days{i}"
         per_key = kept.groupBy(*[F.col(c).alias(f"_k{i}_{c}") for c in left]).agg(
             F.collect_set("day").alias(name)
@@ -92,7 +91,7 @@ def event_locks(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame
             condition = condition & (F.col(d) == F.col(f"_k{i}_{c}"))
         sites = sites.join(per_key, condition, "left").drop(*[f"_k{i}_{c}" for c in left])
         found.append(F.coalesce(F.col(name), F.array().cast("array<date>")))
-    merged = sites.select(*SITE, F.explode(F.array_distinct(F.concat(*found))).alias("day"))
+    merged = sites.select(*SITE, F.explode(F.array_distinct(F.concat(everywhere, *found))).alias("day"))
     return merged.distinct()
 
 

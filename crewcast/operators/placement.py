@@ -208,9 +208,7 @@ class _Windows:
         return crew_state(kept).unionByName(busy, allowMissingColumns=True)
 
     def run(self) -> DataFrame:
-        ranges = materialise(
-            self.jobs.select("comp").distinct().withColumn("next_block", F.lit(0).cast("long")), "progress"
-        )
+        ranges = self.jobs.select("comp").distinct().withColumn("next_block", F.lit(0).cast("long"))
         shortest = self.jobs.agg(F.min("need"), F.count_if(F.expr("phase > 1 and need is null"))).first()
         shortest = None if shortest[1] else shortest[0]
         while True:
@@ -237,7 +235,7 @@ class _Windows:
             state = self._state(window, gaps, shortest)
             _run(window, state, ["comp"], self.rules).write.parquet(f"{self.base}/{self.rounds}")
             self.rounds += 1
-            ranges = materialise(upto.select("comp", F.col("end_block").alias("next_block")), "progress")
+            ranges = upto.select("comp", F.col("end_block").alias("next_block"))
         placed = self.placed()
         return placed.unionByName(self._given_up(placed))
 

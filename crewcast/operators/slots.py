@@ -13,6 +13,7 @@ from crewcast.operators.locks import SITE, lock_sets, meets_lock
 from crewcast.operators.matching import POOL, crew_classes, pool_matches, pools_of
 from crewcast.operators.triage import FORECAST
 from crewcast.params import Params
+from crewcast.session import materialise
 
 
 def wanted_start(jobs: DataFrame, params: Params) -> DataFrame:
@@ -71,10 +72,10 @@ def crew_options(slots: DataFrame, crews: DataFrame) -> DataFrame:
     n_crews = F.sum("n_crews").alias("n_crews")
     listed = crews.where(F.col("Market").isNotNull()).withColumns({"best": rank, "n_crews": F.lit(1)})
     groups = listed.groupBy("Market", "VendorID", "have_key", *span).agg(best, n_crews)
-    matches = pool_matches(pools_of(slots), crew_classes(crews), groups).groupBy(*POOL, *span).agg(best, n_crews)
-
     slot = [*POOL, "slot_start", "slot_end"]
-    joined = join_null_safe(slots.select(*slot).distinct(), matches, POOL)
+    wanted = materialise(slots.select(*slot).distinct(), "slots")
+    matches = pool_matches(pools_of(wanted), crew_classes(crews), groups).groupBy(*POOL, *span).agg(best, n_crews)
+    joined = join_null_safe(wanted, matches, POOL)
     valid = (F.col("slot_start") >= F.col("ValidFrom")) & (F.col("slot_end") <= F.col("ValidUntil"))
     return (
         joined.where(valid)

@@ -48,7 +48,7 @@ class Params:
     job_start_buffer: int = 2
     job_downtime: int = 2
     site_distance_min: float | None = None  # km; None switches neighbour locks off
-    placeholder_crew: str = "NAM Migration"
+    placeholder_crew: str = "NAM Migration"  # fixed value: bookings to it are not real
     tracking_codes: dict[int, str] = field(default_factory=lambda: dict(STATUS_LABELS))
 
     # helpers that only the capacity view uses

@@ -153,7 +153,8 @@ def scoring_rows(spark, folder):
 
 @query
 def mae_by_group(spark, folder):
-    rows = forecast.group_mean_prediction(features.training_rows(views.construction(spark, folder), PARAMS), "market")
+    rows = materialise(features.training_rows(views.construction(spark, folder), PARAMS), "training")
+    rows = forecast.group_mean_prediction(rows, "market")
     scored = forecast.mean_absolute_error(rows, "prediction", "label", "market")
     return scored.select("market", F.round("mae", 6).alias("mae"))
 

@@ -5,7 +5,6 @@ import datetime as dt
 import random
 from collections import defaultdict
 
-import pytest
 from pyspark.sql import functions as F
 
 from crewcast import Params, views
@@ -107,9 +106,8 @@ def check(spark, case, params, holidays=()):
     return got
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_whole_components(spark, seed):
-    got = check(spark, random_case(seed), BASE)
+def test_whole_components(spark):
+    got = check(spark, random_case(0), BASE)
     assert {s for s, *_ in got.values()} >= {0}
 
 
