@@ -165,5 +165,8 @@ def components(
     return tagged, owned
 
 
-def component_sizes(jobs: DataFrame) -> DataFrame:
-    return jobs.groupBy("comp").agg(F.count("*").alias("n_jobs"))
+def component_sizes(jobs: DataFrame, crews: DataFrame) -> DataFrame:
+    """Jobs and crew rows per component that has jobs."""
+    n_jobs = jobs.groupBy("comp").agg(F.count("*").alias("n_jobs"))
+    n_crews = crews.groupBy("comp").agg(F.count("*").alias("n_crews"))
+    return n_jobs.join(n_crews, "comp", "left").fillna(0, ["n_crews"])

@@ -1,8 +1,8 @@
 """Exact priority-ordered placement of all jobs, in batches of bounded size.
 
 The greedy is sequential only within a component (see ``components``). Components are
-placed in parallel: small ones share a task, one that exceeds ``window_jobs`` is cut
-into consecutive windows of its placement order. A window sees the locks left by the
+placed in parallel: small ones share a task, one with more than ``window_jobs`` jobs or
+crews is cut into consecutive windows of its placement order. A window sees the locks left by the
 earlier windows through the table of placements, so the result equals one long pass
 for every window size, and no task ever holds a whole large component.
 """
@@ -83,8 +83,9 @@ def _run(jobs: DataFrame, state: DataFrame, keys: list[str], rules: Rules) -> Da
 def _place_whole(jobs: DataFrame, crews: DataFrame, sizes: DataFrame, rules: Rules, limit: int) -> DataFrame:
     """Components that fit a task: each on its own, or binned when much smaller."""
     small = max(limit // 8, 1)
-    shared = F.col("n_jobs") <= small
-    total = sizes.agg(F.sum(F.when(shared, F.col("n_jobs")))).first()[0] or 0
+    n_rows = F.col("n_jobs") + F.col("n_crews")
+    shared = n_rows <= small
+    total = sizes.agg(F.sum(F.when(shared, n_rows))).first()[0] or 0
     spread = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bins = max(spread, -(-4 * total // limit))
     tasks = sizes.select(
@@ -97,7 +98,7 @@ def _place_whole(jobs: DataFrame, crews: DataFrame, sizes: DataFrame, rules: Rul
 
 
 class _Windows:
-    """Large components, placed window by window."""
+    """Components with many jobs or crews, placed window by window."""
 
     def __init__(self, jobs: DataFrame, crews: DataFrame, params: Params, rules: Rules) -> None:
         self.spark = jobs.sparkSession
@@ -333,9 +334,10 @@ def place_jobs(
         tagged = tagged.withColumns({"Latitude": unknown, "Longitude": unknown})
     rows = materialise(tagged, "placeable")
     owned = materialise(owned, "listed")
-    sizes = materialise(component_sizes(rows), "sizes")
+    sizes = materialise(component_sizes(rows, owned), "sizes")
     limit = params.window_jobs
-    fits, large = sizes.where(F.col("n_jobs") <= limit), sizes.where(F.col("n_jobs") > limit)
+    one_task = F.greatest("n_jobs", "n_crews") <= limit
+    fits, large = sizes.where(one_task), sizes.where(~one_task)
     placed = _place_whole(rows, owned, fits, rules, limit)
     if not large.isEmpty():
         windows = _Windows(

@@ -132,6 +132,18 @@ def test_windows_when_crews_run_out(spark):
     assert {0, 4, 6} <= {s for s, *_ in got.values()}
 
 
+def test_more_crews_than_a_window(spark):
+    """Crews that cannot be reached yet stay out of the task."""
+    jobs, _, events, weather = random_case(60, n_jobs=14, markets=1, n_events=0)
+    crews = [
+        ("V0", f"crew{i}", "m0", "R", day(-9), day(30 if i % 5 == 0 else 300), float(i % 7), "A|B|C|D") for i in range(30)
+    ]
+    jobs = [(*j[:7], None, None, *j[9:]) for j in jobs]
+    params = dataclasses.replace(BASE, window_jobs=6, job_duration_max=20)
+    got = check(spark, (jobs, crews, events, weather), params)
+    assert len({crew for _, _, crew, _ in got.values()}) > 6
+
+
 def test_holidays(spark):
     params = dataclasses.replace(BASE, country_code="XX")
     check(spark, random_case(50), params, holidays=[day(2), day(3), day(7), day(20)])

@@ -1,6 +1,7 @@
 """Every query with an SQL form, against DuckDB on the small tables."""
 
 import os
+from numbers import Number
 
 import duckdb
 import pandas as pd
@@ -20,11 +21,11 @@ def duck(small):
 
 
 def plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if pd.isna(value):
         return None
     if hasattr(value, "year"):
         return str(value)[:10]
-    return float(value) if isinstance(value, int | float) and not isinstance(value, bool) else value
+    return float(value) if isinstance(value, Number) and not isinstance(value, bool) else value
 
 
 def rows(frame):
