@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import mixing
+from crewcast.llm import mixing, secrets
 from crewcast.llm.common import n_words, table
 from crewcast.session import materialise
 
@@ -27,3 +27,21 @@ def op1_mix_sources(spark, sf_dir):
     sizes = materialise(docs.select("doc_id", "source", n_words(F.col("text")).alias("words")), "mix-sizes")
     mixed = mixing.mix_sources(sizes, F.col("words"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_secret_scan(spark, sf_dir):
+    """Spans of secrets in every document; the base kinds counted and hashed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs)
+    base = F.filter("secrets", lambda s: s["kind"].isin(*[r.kind for r in secrets.BASE]))
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(r.kind) for r in secrets.BASE],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("secrets")).alias("spans"),
+    )

@@ -31,4 +31,44 @@ SELECT doc_id, CAST(n AS BIGINT) AS size, whole AS source_size, target,
 FROM p
 """
 
-SQL = {"op1_mix_sources": OP1}
+
+def _spans(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Spans of one kind: matches and the gaps between them, as running sums of lengths."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT id, {number} AS number, '{kind}' AS kind, start, start + n AS stop FROM (
+    SELECT id, unnest(m) AS n, unnest(k) AS size,
+           unnest(list_transform(range(1, len(m) + 1),
+             lambda i: list_sum(g[1:i]) + coalesce(list_sum(m[1:i - 1]), 0))) AS start
+    FROM (
+      SELECT id, list_transform(regexp_extract_all(text, '{quoted}'), lambda x: length(x)) AS m,
+             list_transform(regexp_extract_all(text, '{quoted}', {group}), lambda x: length(x)) AS k,
+             list_transform(regexp_split_to_array(text, '{quoted}'), lambda x: length(x)) AS g
+      FROM d WHERE regexp_matches(text, '{quoted}')))
+  WHERE size >= {least}"""
+
+
+#: The rules of the secret scan.
+RULES = (
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+)
+
+OP8 = f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(_spans(i, *r) for i, r in enumerate(RULES))}),
+a AS (
+  SELECT id, count(*) FILTER (number = 0) AS n_assign, count(*) FILTER (number = 1) AS n_access,
+         count(*) FILTER (number = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number) FILTER (number < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number) AS spans
+  FROM s GROUP BY id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (id)
+"""
+
+SQL = {"op1_mix_sources": OP1, "op8_secret_scan": OP8}
