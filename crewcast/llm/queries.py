@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import mixing, secrets
+from crewcast.llm import mixing, pieces, secrets
 from crewcast.llm.common import n_words, table
 from crewcast.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -45,3 +48,16 @@ def op8_secret_scan(spark, sf_dir):
         F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
         secrets.span_text(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op5_sentencepiece(spark, sf_dir):
+    """Digests of the ids of every document and of their decoded text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = docs.select("doc_id", pieces.encoder(pieces.read_model(PIECES))("text").alias("e"))
+    return encoded.select(
+        "doc_id",
+        F.size("e.ids").cast("long").alias("n_tokens"),
+        F.sha2(pieces.ids_text(F.col("e.ids")), 256).alias("ids_sha256"),
+        F.sha2("e.decoded", 256).alias("decoded_sha256"),
+    )
