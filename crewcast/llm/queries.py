@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import mixing, pieces, secrets
+from crewcast.llm import mixing, pieces, secrets, toxicity
 from crewcast.llm.common import n_words, table
 from crewcast.session import materialise
 
@@ -61,3 +61,18 @@ def op5_sentencepiece(spark, sf_dir):
         F.sha2(pieces.ids_text(F.col("e.ids")), 256).alias("ids_sha256"),
         F.sha2("e.decoded", 256).alias("decoded_sha256"),
     )
+
+
+def toxicity_model(spark, sf_dir):
+    """Lexicon from the labels whose crc32 modulo 3 is not 1."""
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold_of(F.col("doc_id"), 3) != 1)
+    return toxicity.learn(table(spark, sf_dir, "documents"), labels)
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from two thirds of the labels."""
+    score = toxicity.scorer(toxicity_model(spark, sf_dir))
+    scored = table(spark, sf_dir, "documents").select("doc_id", score("text").alias("score"))
+    held_out = (toxicity.fold_of(F.col("doc_id"), 3) == 1).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
