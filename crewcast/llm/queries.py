@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import mixing, pieces, secrets, toxicity
+from crewcast.llm import mixing, pieces, quality, secrets, toxicity
 from crewcast.llm.common import n_words, table
 from crewcast.session import materialise
 
@@ -76,3 +76,15 @@ def op7_toxicity(spark, sf_dir):
     scored = table(spark, sf_dir, "documents").select("doc_id", score("text").alias("score"))
     held_out = (toxicity.fold_of(F.col("doc_id"), 3) == 1).alias("held_out")
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op9_quality(spark, sf_dir):
+    """Quality of every document, learnt from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", quality.statistics_of("text").alias("statistics"))
+    described = materialise(docs, "quality-statistics")
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold_of(F.col("doc_id"), 5) != 0)
+    score = quality.scorer(quality.learn(described, labels))
+    scored = described.select("doc_id", score("statistics").alias("score"))
+    held_out = (toxicity.fold_of(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
