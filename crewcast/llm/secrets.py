@@ -32,12 +32,14 @@ BASE = (
         2,
         6,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    # A run of the class is matched whole or not at all, so a least length inside the
+    # pattern finds the same spans as dropping short matches does.
+    Rule("access", r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]{24,}"),
 )
 MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 
 #: Candidates up to this many rows (16 bytes each) are sent to every task; more are joined by a shuffle.
