@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import mixing, pieces, quality, secrets, toxicity
+from crewcast.llm import jaccard, mixing, pieces, quality, secrets, toxicity
 from crewcast.llm.common import n_words, table
 from crewcast.session import materialise
 
@@ -88,3 +88,10 @@ def op9_quality(spark, sf_dir):
     scored = described.select("doc_id", score("statistics").alias("score"))
     held_out = (toxicity.fold_of(F.col("doc_id"), 5) == 0).alias("held_out")
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_ngram_jaccard(spark, sf_dir):
+    """Group of every document under links of 0.8 between sets of five-word shingles."""
+    groups = jaccard.similar_groups(table(spark, sf_dir, "documents"))
+    return groups.withColumnRenamed("id", "doc_id")
