@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import jaccard, mixing, pieces, quality, secrets, toxicity
+from crewcast.llm import jaccard, mixing, pieces, quality, secrets, topk, toxicity
 from crewcast.llm.common import n_words, table
+from crewcast.llm.vectors import finite_vectors
 from crewcast.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +96,13 @@ def op10_ngram_jaccard(spark, sf_dir):
     """Group of every document under links of 0.8 between sets of five-word shingles."""
     groups = jaccard.similar_groups(table(spark, sf_dir, "documents"))
     return groups.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_exact_top_k(spark, sf_dir):
+    """The 5 largest inner products of every 50th vector, components as whole 256ths."""
+    rows = finite_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    whole = F.transform("v", lambda x, i: F.struct(i.cast("long").alias("t"), F.floor(F.lit(256.0) * x).cast("long").alias("w")))
+    rows = materialise(rows.select("id", F.filter(whole, lambda x: x["w"] != 0).alias("v")), "topk-rows")
+    found = topk.top_k(rows, rows.where("id % 50 = 0"), 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
