@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import jaccard, mixing, pieces, quality, secrets, topk, toxicity
+from crewcast.llm import forest, jaccard, mixing, pieces, quality, secrets, topk, toxicity
 from crewcast.llm.common import n_words, table
 from crewcast.llm.vectors import finite_vectors
 from crewcast.session import materialise
@@ -106,3 +106,12 @@ def op2_exact_top_k(spark, sf_dir):
     rows = materialise(rows.select("id", F.filter(whole, lambda x: x["w"] != 0).alias("v")), "topk-rows")
     found = topk.top_k(rows, rows.where("id % 50 = 0"), 5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op3_random_projection_forest(spark, sf_dir):
+    """About the 20 nearest vectors of every 20th vector, by inner product."""
+    rows = finite_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    rows = materialise(rows.where(F.exists("v", lambda x: x != 0)), "forest-rows")
+    found = forest.nearest(rows, rows.where("id % 20 = 0"), 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
