@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import forest, jaccard, mixing, pieces, quality, secrets, topk, toxicity
+from crewcast.llm import forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity
 from crewcast.llm.common import n_words, table
 from crewcast.llm.vectors import finite_vectors
 from crewcast.session import materialise
@@ -115,3 +115,13 @@ def op3_random_projection_forest(spark, sf_dir):
     rows = materialise(rows.where(F.exists("v", lambda x: x != 0)), "forest-rows")
     found = forest.nearest(rows, rows.where("id % 20 = 0"), 20)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op6_lattice_scores(spark, sf_dir):
+    """Log10 chance of every text; a tenth of the ids is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = toxicity.fold_of(F.col("doc_id"), 10)
+    scored = lattice.score_texts(docs, fold != 0, pieces.read_model(PIECES))
+    held_out = (toxicity.fold_of(F.col("id"), 10) == 0).alias("held_out")
+    return scored.select(F.col("id").alias("doc_id"), held_out, *scored.columns[1:])
