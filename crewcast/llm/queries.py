@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity
+from crewcast.llm import chat, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity
 from crewcast.llm.common import n_words, table
 from crewcast.llm.vectors import finite_vectors
 from crewcast.session import materialise
@@ -125,3 +125,22 @@ def op6_lattice_scores(spark, sf_dir):
     scored = lattice.score_texts(docs, fold != 0, pieces.read_model(PIECES))
     held_out = (toxicity.fold_of(F.col("id"), 10) == 0).alias("held_out")
     return scored.select(F.col("id").alias("doc_id"), held_out, *scored.columns[1:])
+
+
+@query
+def op4_chat_format(spark, sf_dir):
+    """Every conversation, as a raw transcript, parsed and rendered; a fifth of them is held out."""
+    raw = materialise(chat.raw_transcripts(table(spark, sf_dir, "conversations")), "chat-raw")
+    held_out = toxicity.fold_of(F.col("id"), 5) == 0
+    model = chat.learn(raw.where(~held_out))
+    parsed = chat.parse(raw, model)
+    right = F.size(F.filter(F.zip_with("states", "truth", lambda a, b: F.floor(a / 2) == F.floor(b / 2)), lambda x: x))
+    return parsed.select(
+        F.col("id").alias("conv_id"),
+        "part",
+        held_out.alias("held_out"),
+        F.size("states").cast("long").alias("n_lines"),
+        right.cast("long").alias("n_right"),
+        F.array_join("roles", ",").alias("roles"),
+        "rendered",
+    )
