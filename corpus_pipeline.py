@@ -3,20 +3,59 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crewcast.llm import mixing
-from crewcast.llm.common import table
+from crewcast.llm import jaccard, mixing, pieces, secrets, toxicity
+from crewcast.llm.common import fresh, table
+from crewcast.llm.queries import PIECES
 from crewcast.session import materialise
 
+#: Documents with this score or more are rejected.
+TOXIC = 0.7
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic; two thirds of the labels teach the lexicon."""
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold_of(F.col("doc_id"), 3) != 1)
+    score = toxicity.scorer(toxicity.learn(docs, labels))
+    return docs.where(score("text") < TOXIC)
+
+
+def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: that with the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked; ``n_chars`` follows the text."""
+    [spans] = fresh(docs, "secrets")
+    found = secrets.find_secrets(docs, out=spans)
+    found = found.withColumn("text", secrets.masked(F.col("text"), F.col(spans)))
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole copies of the documents that the mix takes, and the cut one of each source."""
-    return mixing.mixed_documents(docs)
+    """One row for each whole copy that the mix takes, and one for the cut copy at the end of a budget."""
+    mixed = mixing.mixed_documents(docs)
+    return mixed.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids and the text that these decode to."""
+    encoded = docs.withColumn("_e", pieces.encoder(pieces.read_model(PIECES))("text"))
+    columns = [F.col(c) for c in docs.columns if c not in ("text", "n_chars")]
+    return encoded.select(*columns, F.size("_e.ids").cast("long").alias("n_tokens"), F.col("_e.ids").alias("ids"), F.col("_e.decoded").alias("text"))
 
 
-STAGES = [("mixing sources to target weights", mix)]
+STAGES = [
+    ("toxicity", clean),
+    ("n-gram Jaccard join", unique),
+    ("secret scans", without_secrets),
+    ("mixing sources to target weights", mix),
+    ("SentencePiece encoding and decoding", encode),
+]
 
-#: Tokenisation has no SQL form.
+#: Learnt scores and token ids have no SQL form.
 ORACLE_SQL = None
 
 

@@ -135,5 +135,5 @@ def _first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its ``n``-th word, white space between words kept."""
     gaps = F.split(text, WORD, -1)
     found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    kept = let(found, lambda f: let(gaps, lambda g: F.zip_with(F.slice(g, 1, n.cast("int")), F.slice(f, 1, n.cast("int")), F.concat)))
+    kept = let(found, lambda f: let(gaps, lambda g: F.zip_with(F.slice(g, 1, n.cast("int")), F.slice(f, 1, n.cast("int")), lambda gap, word: F.concat(gap, word))))
     return F.array_join(kept, "")
