@@ -7,7 +7,6 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +18,18 @@ SIZE = 5
 LEAST = (80, 100)
 
 #: Shingles on the list of frequent ones at most; the list (16 bytes each) goes to every task.
-MOST_FREQUENT = 200_000
+MOST_FREQUENT = 500_000
 
 #: Rows of two ids that may go to every task.
 BROADCAST_ROWS = 500_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 _ORDERS = (np.uint64(0), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+
 
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -34,22 +37,41 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Words(dict):
-    """Hash of each word; emptied when it has grown large."""
+#: A random number for each byte, equal for A-Z and a-z; nothing for white space.
+_BYTES = np.where(_WHITE, np.uint64(0), _mixed(np.arange(1, 257, dtype=np.uint64) * _FACTOR))
+_BYTES[65:91] = _BYTES[97:123]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
+class Hasher:
+    """Hashes all words of a text at once, by running sums of its bytes times powers of a factor."""
+
+    def __init__(self):
+        self.grow(1 << 15)
+
+    def grow(self, size: int) -> None:
+        self.powers = np.full(size, _FACTOR)
+        self.inverse = np.full(size, _INVERSE)
+        self.powers[0] = self.inverse[0] = 1
+        np.multiply.accumulate(self.powers, out=self.powers)
+        np.multiply.accumulate(self.inverse, out=self.inverse)
+
+    def words(self, text: str) -> np.ndarray:
+        """A 64-bit hash of each word, A-Z in lower case."""
+        raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        if len(raw) > len(self.powers):
+            self.grow(2 * len(raw))
+        edges = np.concatenate([[True], _WHITE[raw], [True]])
+        turns = np.flatnonzero(edges[1:] != edges[:-1])
+        starts, ends = turns[::2], turns[1::2]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[raw] * self.powers[: len(raw)])])
+        return _mixed((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
-def shingles(text: str, words: Words, size: int = SIZE) -> np.ndarray:
+
+def shingles(text: str, hasher: Hasher, size: int = SIZE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of ``size`` words; of the whole sequence if it is shorter."""
-    found = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
-    if not found:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
+    h = hasher.words(text)
+    if not len(h):
+        return h
     run = min(size, len(h))
     total = np.full(len(h) - run + 1, np.uint64(run))
     for i in range(run):
@@ -60,21 +82,36 @@ def shingles(text: str, words: Words, size: int = SIZE) -> np.ndarray:
 class Orders:
     """Global orders of shingles: frequent ones last, by their count, the others by a hash of their own."""
 
+    SLOTS = np.uint64((1 << 23) - 1)
+
     def __init__(self, frequent: np.ndarray, counts: np.ndarray):
         by = np.argsort(frequent)
-        self.frequent, self.counts = frequent[by], counts[by]
+        self.frequent = frequent[by]
+        self.counts = np.minimum(counts[by], (1 << 23) - 1).astype(np.uint64)
+        self.slots = np.zeros(int(self.SLOTS) + 1, bool)  # most shingles are told apart by one look-up
+        self.slots[(self.frequent & self.SLOTS).astype(np.int64)] = True
+
+    def often(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes), np.uint64)
+        maybe = np.flatnonzero(self.slots[(hashes & self.SLOTS).astype(np.int64)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.frequent, hashes[maybe]), len(self.frequent) - 1)
+            out[maybe] = np.where(self.frequent[at] == hashes[maybe], self.counts[at], np.uint64(0))
+        return out
 
     def prefix(self, hashes: np.ndarray, order: int, least: tuple[int, int]) -> np.ndarray:
-        """The first shingles, of which a set shares one with each set that is similar enough."""
+        """The first shingles, of which a set shares one with each set that is similar enough.
+
+        The place in an order is a function of the shingle: its count, then 40 bits of a
+        hash, then (in the rare tie) its value, since sets are sorted.
+        """
         a, b = least
         n = len(hashes)
+        if not n:
+            return hashes
         length = n - (n * a + b - 1) // b + 1
-        rank = _mixed(hashes ^ _ORDERS[order])
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-            often = np.where(self.frequent[at] == hashes, self.counts[at], 0)
-            return hashes[np.lexsort((rank, often))[:length]]
-        return hashes[np.argpartition(rank, length - 1)[:length]] if n else hashes
+        place = (self.often(hashes) << np.uint64(40)) | (_mixed(hashes ^ _ORDERS[order]) >> np.uint64(24))
+        return hashes[np.argsort(place, kind="stable")[:length]]
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -83,7 +120,7 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64), pa.int64()))
 
 
-def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1 << 22, least: int = 4) -> Orders:
+def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1 << 22, least: int = 2) -> Orders:
     """Shingles that come up often, with their count.
 
     A task counts about ``each`` shingles at a time and reports those it meets ``least``
@@ -92,7 +129,7 @@ def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, n = Words(), [], 0
+        hasher, held, n = Hasher(), [], 0
 
         def report() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -102,7 +139,7 @@ def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1
 
         for b in batches:
             for text in b.column(0):
-                held.append(shingles(text.as_py(), words))
+                held.append(shingles(text.as_py(), hasher))
                 n += len(held[-1])
                 if n >= each:
                     yield report()
@@ -115,18 +152,22 @@ def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1
     return Orders(rows["h"].to_numpy().view(np.uint64), rows["n"].to_numpy())
 
 
+def _digest(hashes: np.ndarray) -> bytes:
+    return blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def _described(docs: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
     """(id, n, digest of the set, prefix in the first order) of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        hasher = Hasher()
         for b in batches:
-            sets = [shingles(t.as_py() or "", words) for t in b.column(1)]
+            sets = [shingles(t.as_py() or "", hasher) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                     _lists([orders.prefix(s, 0, least) for s in sets]),
                 ],
                 ["id", "n", "digest", "prefix"],
@@ -140,27 +181,49 @@ def _sent(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def _long_enough(a: str, b: str, least: tuple[int, int]) -> str:
-    return f"{least[1]} * least({a}, {b}) >= {least[0]} * greatest({a}, {b})"
+def _pairs(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Distinct (a, b), a < b, of rows with two nodes (x, y) and the sizes of their sets (xn, yn)."""
+    pairs = rows.where("x != y").where(f"{least[1]} * least(xn, yn) >= {least[0]} * greatest(xn, yn)")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _star_pairs(shared: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Each holder of a shingle with the first and the last one: one or two pairs a row, whatever the holders."""
-    ends = [shared.select(F.col(f"{e}.node").alias("a"), F.col(f"{e}.n").alias("an"), "node", "n") for e in ("lo", "hi")]
-    pairs = ends[0].unionByName(ends[1]).where("a != node").where(_long_enough("an", "n", least))
-    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    ends = [shared.select(F.col(f"{e}.node").alias("x"), F.col(f"{e}.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn")) for e in ("lo", "hi")]
+    return _pairs(ends[0].unionByName(ends[1]), least)
 
 
-def _cross_pairs(shared: DataFrame, labels: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """All pairs of holders of a shingle that are not yet in one component."""
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, node, n, comp): holders of the shingles that are held in several components."""
     known = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-    marked = shared.select("token", "node", "n").join(known, F.col("node") == F.col("_n"), "left")
+    marked = shared.join(known, F.col("node") == F.col("_n"), "left")
     marked = marked.select("token", "node", "n", F.coalesce("_l", "node").alias("comp"))
     mixed = marked.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
-    open_ = materialise(marked.join(mixed, "token", "left_semi"), "jaccard-open")
-    other = open_.select("token", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bcomp"))
-    pairs = open_.join(other, "token").where("node < b and comp != bcomp").where(_long_enough("n", "bn", least))
-    return pairs.select(F.col("node").alias("a"), "b").distinct()
+    return materialise(marked.join(mixed, "token", "left_semi"), "jaccard-open")
+
+
+def _further_stars(held: DataFrame, least: tuple[int, int], classes: int = 8) -> DataFrame:
+    """Holders with the ends of another random order, one order for each class of shingles.
+
+    Shingles of a class share an order, so the same two nodes come up again and again and
+    a node gets about two new partners for each class, however many copies there are.
+    """
+    kind = F.pmod(F.col("token"), F.lit(classes))
+    row = F.struct(F.xxhash64(kind, F.col("node")).alias("r"), "node", "n", "comp")
+    ends = held.groupBy("token").agg(F.min(row).alias("lo"), F.max(row).alias("hi"))
+    both = held.join(ends, "token")
+    sides = [
+        both.where(F.col("comp") != F.col(f"{e}.comp")).select(F.col(f"{e}.node").alias("x"), F.col(f"{e}.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"))
+        for e in ("lo", "hi")
+    ]
+    return _pairs(sides[0].unionByName(sides[1]), least)
+
+
+def _cross_pairs(held: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """All pairs of holders of a shingle that are in different components."""
+    left = held.select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
+    right = held.select("token", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"))
+    return _pairs(left.join(right, "token").where("x < y and xc != yc"), least)
 
 
 def _paired(pairs: DataFrame, payload: DataFrame, columns: list[str]) -> DataFrame:
@@ -184,13 +247,13 @@ def _links(pairs: DataFrame, nodes: DataFrame, least: tuple[int, int]) -> DataFr
     """Pairs whose whole sets are similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, last, mine = Words(), None, None
+        hasher, last, mine = Hasher(), None, None
         for b in batches:
             keep = []
             for node, left, right in zip(b.column(0).to_pylist(), b.column(3), b.column(2)):
                 if node != last:
-                    last, mine = node, shingles(left.as_py(), words)
-                yours = shingles(right.as_py(), words)
+                    last, mine = node, shingles(left.as_py(), hasher)
+                yours = shingles(right.as_py(), hasher)
                 common = len(np.intersect1d(mine, yours, assume_unique=True))
                 keep.append(least[1] * common >= least[0] * (len(mine) + len(yours) - common))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -198,29 +261,28 @@ def _links(pairs: DataFrame, nodes: DataFrame, least: tuple[int, int]) -> DataFr
     return _paired(pairs, nodes, ["text"]).select("a", "b", "b_text", "a_text").mapInArrow(verify, "a long, b long")
 
 
-def _needed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
-    """(node, text, prefixes in the further orders) of every node in a pair, one document for each."""
-    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = materialise(nodes.join(named, "node", "left_semi").select("node", "digest", F.col("id").alias("_id")), "jaccard-wanted")
+def _needed(docs: DataFrame, nodes: DataFrame, orders: Orders, least: tuple[int, int], repeated: bool) -> DataFrame:
+    """(node, text, prefixes in the further orders) of nodes, one document for each."""
+    wanted = materialise(nodes.select("node", "digest", F.col("id").alias("_id")), "jaccard-wanted")
     found = docs.join(_sent(wanted), F.col("id") == F.col("_id")).select("node", "digest", "text")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        hasher = Hasher()
         for b in batches:
-            sets = [shingles(t.as_py(), words) for t in b.column(2)]
-            same = [blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, b.column(1).to_pylist())]
-            orders_of = []
+            sets = [shingles(t.as_py(), hasher) for t in b.column(2)]
+            same = [_digest(s) == d for s, d in zip(sets, b.column(1).to_pylist())]
+            further = []
             for o in range(1, len(_ORDERS)):
                 rows = [(orders.prefix(s, o, least) >> np.uint64(32)).astype(np.uint32) for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
                 flat = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
-                orders_of.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32))))
+                further.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32))))
             names = ["node", "text", *[f"p{o}" for o in range(1, len(_ORDERS))]]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *orders_of], names).filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *further], names).filter(pa.array(same, pa.bool_()))
 
     schema = "node long, text string" + "".join(f", p{o} array<int>" for o in range(1, len(_ORDERS)))
-    # of rows with one id and one set only one is kept
-    return materialise(found.mapInArrow(prefixes, schema).dropDuplicates(["node"]), "jaccard-nodes")
+    out = found.mapInArrow(prefixes, schema)
+    return materialise(out.dropDuplicates(["node"]) if repeated else out, "jaccard-nodes")
 
 
 def similar_groups(
@@ -230,10 +292,11 @@ def similar_groups(
 
     Equal sets become one node first. A pair of nodes is a candidate if their prefixes
     share a shingle under each of three global orders. Candidates of the first order come
-    from its postings, in two rounds: first each holder of a shingle with two of the
-    holders, then, among holders still in different components, all pairs. A pair left
-    out lies within a component already, so the components are those of all links. The
-    other two orders are intersected before whole sets are compared.
+    from its postings, in three rounds: first each holder of a shingle with two of the
+    holders, then with two others for each of a few classes of shingles, then, among
+    holders still in different components, all pairs. A pair left out lies within a
+    component already, so the components are those of all links. The other two orders
+    are intersected before whole sets are compared.
 
     Hashes of shingles have 64 bits and digests of sets 128; equal ones count as equal.
 
@@ -257,15 +320,28 @@ def similar_groups(
     ends = ends.where("lo.node != hi.node")
     shared = materialise(postings.join(ends.hint("shuffle_hash"), "token"), "jaccard-shared")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        needed = _needed(rows, nodes, pairs, orders, least)
-        return materialise(_links(_sharing(pairs, needed), needed, least), "jaccard-links")
-
-    first = materialise(_star_pairs(shared, least), "jaccard-pairs")
-    links = linked(first)
-    labels = materialise(label_nodes(links), "jaccard-labels")
-    second = _cross_pairs(shared, labels, least).join(first, ["a", "b"], "left_anti")
-    labels = materialise(label_nodes(links.unionByName(linked(materialise(second, "jaccard-pairs")))), "jaccard-labels")
+    repeated = not full.groupBy("id", "digest").count().where("count > 1").isEmpty()
+    links, tried, texts = None, None, None
+
+    def tell(pairs: DataFrame) -> DataFrame:
+        """Compare the pairs that were not yet, and label the components of all links so far."""
+        nonlocal links, tried, texts
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "jaccard-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        if texts is not None:
+            ends = ends.join(texts.select("node"), "node", "left_anti")
+        more = _needed(rows, nodes.join(ends, "node", "left_semi"), orders, least, repeated)
+        texts = more if texts is None else texts.unionByName(more)
+        found = materialise(_links(_sharing(pairs, texts), texts, least), "jaccard-links")
+        links = found if links is None else links.unionByName(found)
+        return materialise(label_nodes(links), "jaccard-labels")
+
+    labels = tell(_star_pairs(shared, least))
+    held = _open(shared, labels)
+    labels = tell(_further_stars(held, least))
+    labels = tell(_cross_pairs(_open(held.drop("comp"), labels), least))
 
     known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = known.join(labels.select(F.col("node").alias("_n")), F.col("node") == F.col("_n"), "left_semi")
