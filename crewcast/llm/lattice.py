@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,27 +48,46 @@ class Pieces:
         return max(map(len, self.chances), default=1)
 
 
-def log_chance(word: str, pieces: Pieces, longest: int) -> float:
-    """Natural log of the summed chances of all segmentations: the forward recursion, in logs.
+class Lattice:
+    """Natural log of the summed chances of all segmentations of a word.
 
+    The forward recursion, in logs: what leads up to a place in a word depends on the
+    characters before it alone, so the part that a word shares with the one before is kept.
     A character may also be spelt by its byte pieces, so that no word is impossible.
     """
-    known, n = pieces.chances.get, len(word)
-    forward = [0.0] * (n + 1)
-    for end in range(1, n + 1):
-        char = word[end - 1]
-        spelt = sum(pieces.byte_chances[b] for b in char.encode("utf-8", "replace"))
-        best = forward[end - 1] + spelt
-        terms = [best]
-        for start in range(max(0, end - longest), end):
-            chance = known(word[start:end])
-            if chance is not None:
-                value = forward[start] + chance
-                terms.append(value)
-                if value > best:
-                    best = value
-        forward[end] = best + math.log(sum([math.exp(t - best) for t in terms])) if len(terms) > 1 else best
-    return forward[n]
+
+    def __init__(self, pieces: Pieces):
+        self.known, self.bytes, self.longest = pieces.chances, pieces.byte_chances, pieces.longest
+        self.spelt: dict[str, float] = {}
+        self.last, self.forward = "", [0.0]
+
+    def spell(self, char: str) -> float:
+        if len(self.spelt) > 100_000:
+            self.spelt.clear()
+        cost = self.spelt[char] = sum(self.bytes[b] for b in char.encode("utf-8", "replace"))
+        return cost
+
+    def log_chance(self, word: str) -> float:
+        known, longest, spelt, exp = self.known.get, self.longest, self.spelt, math.exp
+        kept = len(os.path.commonprefix((self.last, word)))
+        forward = self.forward[: kept + 1]
+        for end in range(kept + 1, len(word) + 1):
+            char = word[end - 1]
+            cost = spelt.get(char)
+            best = forward[end - 1] + (self.spell(char) if cost is None else cost)
+            total = 1.0  # of the chances so far, over exp(best)
+            for start in range(end - longest if end > longest else 0, end):
+                chance = known(word[start:end])
+                if chance is not None:
+                    value = forward[start] + chance
+                    if value > best:
+                        total = total * exp(best - value) + 1.0
+                        best = value
+                    else:
+                        total += exp(value - best)
+            forward.append(best + math.log(total) if total != 1.0 else best)
+        self.last, self.forward = word, forward
+        return forward[-1]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -132,12 +152,12 @@ def _scored_words(counts: DataFrame, pieces: Pieces) -> DataFrame:
     """Each distinct word with the log10 chance that the lattice gives it."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longest = pieces.longest
+        lattice = Lattice(pieces)
         for b in batches:
-            values = [log_chance(_word(w), pieces, longest) / LOG10 for w in b.column(0).to_pylist()]
+            values = [lattice.log_chance(_word(w)) / LOG10 for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(values, pa.float64())], ["word", "c", "n", "lattice"])
 
-    return counts.select("word", "c", "n").mapInArrow(score, "word binary, c long, n long, lattice double")
+    return counts.select("word", "c", "n").sortWithinPartitions("word").mapInArrow(score, "word binary, c long, n long, lattice double")
 
 
 def score_texts(
