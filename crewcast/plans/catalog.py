@@ -16,15 +16,14 @@ from crewcast.params import Params
 from crewcast.plans import forecast
 from crewcast.plans.allocation import Inputs, allocate, allocation_overlay, prepared_crews, triaged_jobs
 from crewcast.session import materialise, scratch_path
-from crewcast.sources.readers import read_csv
-from crewcast.sources.writers import publish_table, write_csv, write_overlay, write_predictions
+from crewcast.sources.readers import load_model, read_csv
+from crewcast.sources.writers import publish_table, save_model, write_csv, write_overlay, write_predictions
 from crewcast.streaming.drops import drop_stream, run_on_drops
 
 PARAMS = Params()
 NEAR_KM = 3.0
 NEAR = dataclasses.replace(PARAMS, site_distance_min=NEAR_KM)
 WINDOWED = dataclasses.replace(NEAR, window_jobs=40)
-QUICK = dataclasses.replace(PARAMS, folds=3)
 CAPACITY_DAYS = (dt.date(1998, 6, 1), dt.date(1998, 6, 30))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,41 +158,45 @@ def mae_by_group(spark, folder):
     return scored.select("market", F.round("mae", 6).alias("mae"))
 
 
-def _trained(spark, folder, model, grid):
-    params = dataclasses.replace(QUICK, model=model)
+def _trained(spark, folder, model):
+    params = dataclasses.replace(PARAMS, model=model)
     rows = features.training_rows(views.construction(spark, folder), params)
-    return forecast.train(rows, params, grid), params
+    return forecast.train(rows, params), params
 
 
-def _metrics(spark, folder, model, grid):
-    fitted, _ = _trained(spark, folder, model, grid)
+def _metrics(spark, folder, model):
+    """Errors of the model's whole grid over all folds."""
+    fitted, _ = _trained(spark, folder, model)
     return forecast.fold_metrics(fitted, views.table(spark, folder, "region"))
 
 
 @query
 def cv_elastic_net(spark, folder):
-    return _metrics(spark, folder, "elastic_net", {"k": [2, 5], "regParam": [0.1], "elasticNetParam": [0.0, 0.5]})
+    return _metrics(spark, folder, "elastic_net")
 
 
 @query
 def cv_decision_tree(spark, folder):
-    return _metrics(spark, folder, "decision_tree", {"k": [2, 10], "maxDepth": [5]})
+    return _metrics(spark, folder, "decision_tree")
 
 
 @query
 def cv_random_forest(spark, folder):
-    return _metrics(spark, folder, "random_forest", {"maxDepth": [2, 5], "numTrees": [5]})
+    return _metrics(spark, folder, "random_forest")
 
 
 @query
 def cv_gradient_boosting(spark, folder):
-    return _metrics(spark, folder, "gradient_boosting", {"maxDepth": [2], "maxIter": [3]})
+    return _metrics(spark, folder, "gradient_boosting")
 
 
 @query
 def train_score(spark, folder):
-    fitted, params = _trained(spark, folder, "random_forest", {"maxDepth": [5], "numTrees": [5]})
-    return forecast.score(fitted, features.scoring_rows(views.construction(spark, folder)), params)
+    """Open rows scored by the saved and reloaded best model."""
+    fitted, params = _trained(spark, folder, "random_forest")
+    path = scratch_path(spark, "model")
+    save_model(fitted, path)
+    return forecast.score(load_model(path), features.scoring_rows(views.construction(spark, folder)), params)
 
 
 # job defaults and triage

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+import numpy as np
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,72 +36,184 @@ _REGRESSORS = {
 }
 
 
-def encoding_stages(params: Params) -> list:
-    """Index and one-hot encode the categories, then assemble the vector.
+def grid_points(params: Params, grid: dict[str, Sequence] | None = None) -> list[dict]:
+    """Every combination of the model's grid; ``grid`` replaces single entries of it."""
+    values = GRIDS[params.model] | dict(grid or {})
+    return [dict(zip(values, chosen)) for chosen in product(*values.values())]
+
+
+def _numbers(params: Params) -> list[str]:
+    return list(params.numerical_cols) if params.use_numeric else []
+
+
+def encoded(rows: DataFrame, params: Params) -> list[Transformer]:
+    """Fitted stages that index and one-hot encode the categories and assemble ``features``.
 
     Unseen and null categories get an all-zero code. Numeric columns enter the vector
     only with ``use_numeric``; rows to score must then have them.
     """
     names = list(params.categorical_cols)
-    index = StringIndexer(inputCols=names, outputCols=[f"{c}_index" for c in names], handleInvalid="keep")
+    index = StringIndexer(inputCols=names, outputCols=[f"{c}_index" for c in names], handleInvalid="keep").fit(rows)
     onehot = OneHotEncoder(inputCols=index.getOutputCols(), outputCols=[f"{c}_dummy" for c in names])
-    inputs = onehot.getOutputCols() + (list(params.numerical_cols) if params.use_numeric else [])
-    return [index, onehot, VectorAssembler(inputCols=inputs, outputCol="features")]
+    onehot = onehot.fit(index.transform(rows))
+    return [index, onehot, VectorAssembler(inputCols=onehot.getOutputCols() + _numbers(params), outputCol="features")]
 
 
-def cross_validator(params: Params, grid: dict[str, Sequence] | None = None) -> CrossValidator:
-    """The configured model with its grid; ``grid`` replaces single entries of it."""
-    values = GRIDS[params.model] | dict(grid or {})
-    stages = encoding_stages(params)
-    column = "features"
-    owners = {}
-    if "k" in values:
-        scaler = StandardScaler(inputCol="features", outputCol="normalized_features", withMean=True)
-        pca = PCA(inputCol="normalized_features", outputCol="pca_features")
-        stages += [scaler, pca]
-        owners["k"] = pca
-        column = "pca_features"
-    regressor = _REGRESSORS[params.model](featuresCol=column)
+def principal_components(rows: DataFrame, params: Params, most: int) -> SQLTransformer:
+    """A stage that adds ``pc0``, ``pc1``, ... : the standardised codes on their first components.
+
+    The moments of the codes follow from counts per combination of categories, so the
+    correlation matrix needs one grouped pass. Its eigenvectors are found for a symmetric
+    matrix, which converges whatever its rank: codes of one category always sum to one.
+    A component of a row is a constant plus one looked-up number for each category.
+    """
+    names, numbers = list(params.categorical_cols), _numbers(params)
+    pairs = [(x, y) for i, x in enumerate(numbers) for y in numbers[i:]]
+    sums = [F.sum(x).alias(f"s_{x}") for x in numbers] + [F.sum(F.col(x) * F.col(y)).alias(f"s_{x}_{y}") for x, y in pairs]
+    cells = rows.groupBy(*names).agg(F.count("*").alias("n_rows"), *sums).collect()  # as many as combinations
+    known = {c: sorted({r[c] for r in cells if r[c] is not None}) for c in names}
+    place = {key: i for i, key in enumerate([(c, v) for c in names for v in known[c]] + numbers)}
+    size, total = len(place), sum(r["n_rows"] for r in cells)
+    first, second = np.zeros(size), np.zeros((size, size))
+    for r in cells:
+        at = [place[c, r[c]] for c in names if r[c] is not None]
+        first[at] += r["n_rows"]
+        second[np.ix_(at, at)] += r["n_rows"]
+        for x in numbers:
+            first[place[x]] += r[f"s_{x}"] or 0.0
+            second[at, place[x]] += r[f"s_{x}"] or 0.0
+            second[place[x], at] += r[f"s_{x}"] or 0.0
+        for x, y in pairs:
+            second[place[x], place[y]] += r[f"s_{x}_{y}"] or 0.0
+            second[place[y], place[x]] = second[place[x], place[y]]
+    mean = first / max(total, 1)
+    covariance = (second - total * np.outer(mean, mean)) / max(total - 1, 1)
+    spread = np.sqrt(np.maximum(covariance.diagonal(), 0.0))
+    scale = np.divide(1.0, spread, out=np.zeros(size), where=spread > 1e-12)
+    _, vectors = np.linalg.eigh(covariance * np.outer(scale, scale))
+    vectors = vectors[:, ::-1][:, :most]
+    vectors = vectors * np.where(vectors[np.abs(vectors).argmax(0), range(vectors.shape[1])] < 0, -1.0, 1.0)
+    weights = vectors * scale[:, None]
+
+    def text(value: str) -> str:
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    columns = []
+    for i in range(most):
+        w = weights[:, i] if i < weights.shape[1] else np.zeros(size)
+        parts = [repr(float(-(mean @ w))) + "D"]
+        for c in names:
+            if known[c]:
+                entries = ", ".join(f"{text(v)}, {float(w[place[c, v]])!r}D" for v in known[c])
+                parts.append(f"coalesce(try_element_at(map({entries}), `{c}`), 0D)")
+        parts += [f"{float(w[place[x]])!r}D * `{x}`" for x in numbers]
+        columns.append(f"{' + '.join(parts)} AS pc{i}")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """The best model, fitted on all rows, and the errors of all grid points over the folds."""
+
+    best: PipelineModel
+    points: list[dict]
+    errors: np.ndarray  # folds x points
+
+    @property
+    def avgMetrics(self) -> list[float]:
+        return [float(x) for x in np.nanmean(self.errors, axis=0)]
+
+    @property
+    def stdMetrics(self) -> list[float]:
+        return [float(x) for x in np.nanstd(self.errors, axis=0)]
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.best.transform(rows)
+
+    def write(self):
+        return self.best.write()
+
+
+def _regressor(point: dict, params: Params):
+    regressor = _REGRESSORS[params.model](featuresCol="features")
     if regressor.hasParam("seed"):
         regressor.set(regressor.getParam("seed"), params.seed)
-    builder = ParamGridBuilder()
-    for name, choices in values.items():
-        builder = builder.addGrid(owners.get(name, regressor).getParam(name), list(choices))
-    return CrossValidator(
-        estimator=Pipeline(stages=[*stages, regressor]),
-        estimatorParamMaps=builder.build(),
-        evaluator=RegressionEvaluator(metricName="mae"),
-        numFolds=params.folds,
-        parallelism=params.parallelism,
-        seed=params.seed,
-    )
-
-
-def train(rows: DataFrame, params: Params, grid: dict[str, Sequence] | None = None) -> CrossValidatorModel:
-    """Cross-validated fit; the rows are read once and cached for all fits."""
-    kept = rows.select("label", *params.categorical_cols, *params.numerical_cols).persist()
+    for name, value in point.items():
+        if name != "k":
+            regressor.set(regressor.getParam(name), value)
+    return regressor
+
+
+class _Prepared:
+    """Encoding fitted once on some rows, and what each grid point adds to it."""
+
+    def __init__(self, rows: DataFrame, points: list[dict], params: Params):
+        most = max((p["k"] for p in points if "k" in p), default=0)
+        self.stages = [principal_components(rows, params, most)] if most else encoded(rows, params)
+
+    def more(self, point: dict) -> list[Transformer]:
+        if "k" not in point:
+            return []
+        return [VectorAssembler(inputCols=[f"pc{i}" for i in range(point["k"])], outputCol="features")]
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return PipelineModel(self.stages).transform(rows)
+
+
+def train(rows: DataFrame, params: Params, grid: dict[str, Sequence] | None = None) -> Fitted:
+    """Cross-validated search, then a fit of the best grid point on all rows.
+
+    A row's fold is a hash of its id (of the whole row where there is none), so folds do
+    not move with the partitioning. The encoding is fitted once per fold and shared by all
+    grid points, of which ``parallelism`` are fitted at a time.
+    """
+    points = grid_points(params, grid)
+    named = ["id"] if "id" in rows.columns else ["label", *params.categorical_cols, *params.numerical_cols]
+    fold = F.pmod(F.xxhash64(F.lit(params.seed), *named), F.lit(params.folds)).alias("_fold")
+    kept = rows.select("label", *params.categorical_cols, *params.numerical_cols, fold).persist()
+    errors = np.full((params.folds, len(points)), np.nan)
     try:
-        return cross_validator(params, grid).fit(kept)
+        with ThreadPool(params.parallelism) as pool:
+            for k in range(params.folds):
+                known, unseen = kept.where(F.col("_fold") != k), kept.where(F.col("_fold") == k)
+                if known.isEmpty() or unseen.isEmpty():
+                    continue
+                prepared = _Prepared(known, points, params)
+                known, unseen = prepared.transform(known).persist(), prepared.transform(unseen).persist()
+
+                def error(point: dict) -> float:
+                    shape = PipelineModel(prepared.more(point)).transform
+                    model = _regressor(point, params).fit(shape(known))
+                    found = mean_absolute_error(model.transform(shape(unseen)), "prediction", "label").first()
+                    return found["mae"]
+
+                errors[k] = pool.map(error, points)
+                known.unpersist()
+                unseen.unpersist()
+        best = points[int(np.nanargmin(np.nanmean(errors, axis=0)))] if np.isfinite(errors).any() else points[0]
+        prepared = _Prepared(kept, [best], params)
+        stages = [*prepared.stages, *prepared.more(best)]
+        model = _regressor(best, params).fit(PipelineModel(stages).transform(kept))
+        return Fitted(PipelineModel([*stages, model]), points, errors)
     finally:
         kept.unpersist()
 
 
-def fold_metrics(model: CrossValidatorModel, rows: DataFrame) -> DataFrame:
+def fold_metrics(model: Fitted, rows: DataFrame) -> DataFrame:
     """Mean absolute error and its spread over the folds, per grid point."""
     points = []
-    for i, (mean, spread, chosen) in enumerate(
-        zip(model.avgMetrics, model.stdMetrics or [0.0] * len(model.avgMetrics), model.getEstimatorParamMaps(), strict=True)
-    ):
-        text = ", ".join(sorted(f"{p.name}={v}" for p, v in chosen.items()))
-        points.append((i, text, float(mean), float(spread)))
+    for i, (mean, spread, chosen) in enumerate(zip(model.avgMetrics, model.stdMetrics, model.points, strict=True)):
+        text = ", ".join(sorted(f"{name}={v}" for name, v in chosen.items()))
+        points.append((i, text, mean, spread))
     return rows.sparkSession.createDataFrame(points, "grid_point int, settings string, mae double, mae_std double")
 
 
-def best_stage(model: CrossValidatorModel) -> str:
-    return str(model.bestModel.stages[-1])
+def best_stage(model: Fitted) -> str:
+    """The chosen regressor, as text."""
+    return str(model.best.stages[-1])
 
 
-def score(model: CrossValidatorModel, rows: DataFrame, params: Params) -> DataFrame:
+def score(model: Fitted | PipelineModel, rows: DataFrame, params: Params) -> DataFrame:
     """Feature columns with ``JobID`` and ``JobDurationML``, plus the row's own date."""
     scored = model.transform(rows).withColumnsRenamed({"id": "JobID", "prediction": "JobDurationML"})
     names = [*params.categorical_cols, *params.numerical_cols, "JobID", "JobDurationML", "refresh_date"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.tuning import CrossValidatorModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,5 +76,5 @@ def read_holidays(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.HOLIDAYS)
 
 
-def load_model(path: str) -> CrossValidatorModel:
-    return CrossValidatorModel.load(path)
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
