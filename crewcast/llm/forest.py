@@ -17,6 +17,9 @@ from crewcast.session import materialise
 #: Rows of a leaf that a task holds at a time.
 CHUNK_ROWS = 2048
 
+#: The part of a query's rows that is compared first; the rest must reach what it finds.
+OPENING = 8
+
 
 @dataclass(frozen=True)
 class Forest:
@@ -151,7 +154,8 @@ def nearest(
     takes leaves from one queue over all trees until they hold ``search_least`` rows, or
     ``search_share`` of the number of distinct vectors if that is more (a row counts once
     for each tree). All rows of these
-    leaves are compared, and the best are scored again on the given vectors in double
+    leaves are compared, the nearest leaves first; of the others only rows that reach the
+    ``k`` + 1st of these go on. The best are scored again on the given vectors in double
     precision, one product after the other.
 
     A leaf is held in chunks of ``CHUNK_ROWS`` and its queries stream past, so neither a
@@ -181,21 +185,28 @@ def nearest(
     enough = max(search_least, int(search_share * row["n"]))
     chunks = np.maximum(1, -(-sizes // CHUNK_ROWS))
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            v = _matrix(b.column(1))
-            packed = pa.array(_packed(v), pa.binary())
-            for i in range(0, len(v), 256):
-                found = forest.probes(v[i : i + 256], sizes, enough)
-                leaves = np.array([x for f in found for x in f], np.int64)
-                at = np.repeat(np.arange(len(found)) + i, [len(f) for f in found])
-                times = chunks[leaves]
-                chunk = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                at = pa.array(np.repeat(at, times))
-                columns = [pa.array(np.repeat(leaves, times)), pa.array(chunk), pa.array(np.ones(len(at), np.int32)), b.column(0).take(at), packed.take(at)]
-                yield pa.RecordBatch.from_arrays(columns, ["leaf", "chunk", "kind", "id", "v"])
-
-    probes = queries.select("id", "v").mapInArrow(probe, "leaf long, chunk long, kind int, id long, v binary")
+    def probe(opening: bool):
+        """Queries beside the leaves to look at: the nearest ones, or all others."""
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                v = _matrix(b.column(1))
+                packed = pa.array(_packed(v), pa.binary())
+                for i in range(0, len(v), 256):
+                    found = forest.probes(v[i : i + 256], sizes, enough)
+                    cuts = [int(np.searchsorted(np.cumsum(sizes[f]), enough / OPENING)) + 1 for f in found]
+                    found = [f[:c] if opening else f[c:] for f, c in zip(found, cuts)]
+                    leaves = np.array([x for f in found for x in f], np.int64)
+                    at = np.repeat(np.arange(len(found)) + i, [len(f) for f in found])
+                    times = chunks[leaves]
+                    chunk = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                    at = pa.array(np.repeat(at, times))
+                    kind = pa.array(np.ones(len(at), np.int32))
+                    columns = [pa.array(np.repeat(leaves, times)), pa.array(chunk), kind, *(b.column(0).take(at), packed.take(at), b.column(2).take(at))]
+                    yield pa.RecordBatch.from_arrays(columns, ["leaf", "chunk", "kind", "id", "v", "floor"])
+
+        return look
+
     large = [(int(i), int(c)) for i, c in enumerate(chunks) if c > 1]
     if large:
         table = rows.sparkSession.createDataFrame(large, "leaf long, c long")
@@ -203,14 +214,27 @@ def nearest(
     else:
         index = index.withColumn("c", F.lit(1))
     index = index.withColumn("c", F.coalesce("c", F.lit(1)))
-    held = index.select("leaf", F.pmod(F.xxhash64("id"), F.col("c")).alias("chunk"), F.lit(0).alias("kind"), "id", "v")
-    both = held.unionByName(probes).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "kind")
-    best = both.mapInArrow(_compare(k + 1), "query_id long, id long, rough double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("rough"), "id")
-    best = best.dropDuplicates(["query_id", "id"]).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 8)
+    held = index.select(
+        "leaf", F.pmod(F.xxhash64("id"), F.col("c")).alias("chunk"), F.lit(0).alias("kind"), "id", "v", F.lit(None).cast("double").alias("floor")
+    )
+
+    def compared(asked: DataFrame, opening: bool) -> DataFrame:
+        probes = asked.select("id", "v", "floor").mapInArrow(probe(opening), "leaf long, chunk long, kind int, id long, v binary, floor double")
+        both = held.unionByName(probes).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "kind")
+        return both.mapInArrow(_compare(k + 1), "query_id long, id long, rough double")
+
+    def best(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("rough"), "id")
+        found = found.groupBy("query_id", "id").agg(F.max("rough").alias("rough"))
+        return found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 8)
+
+    opened = materialise(best(compared(queries.withColumn("floor", F.lit(float("-inf"))), True)), "forest-opened")
+    floors = opened.where(F.col("r") == k + 1).select("query_id", F.col("rough").alias("floor"))
+    rest = queries.join(floors, F.col("id") == F.col("query_id"), "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    found = best(compared(rest, False).unionByName(opened.select("query_id", "id", "rough")))
 
     asked = queries.select(F.col("id").alias("query_id"), F.col("v").alias("q"))
-    exact = best.join(classes, "id").join(asked, "query_id")
+    exact = found.join(classes, "id").join(asked, "query_id")
     score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     members = exact.select("query_id", F.explode("ids").alias("id"), score.alias("score")).where("id != query_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
@@ -263,7 +287,9 @@ def _compare(most: int):
                 scores = part @ matrix.T
                 n = min(most, matrix.shape[0])
                 top = np.argpartition(scores, matrix.shape[0] - n, axis=1)[:, -n:]
-                out.append((np.repeat(all_ids[s:e], n), row_ids[top].ravel(), np.take_along_axis(scores, top, 1).ravel()))
+                rough = np.take_along_axis(scores, top, 1)
+                keep = rough >= b.column(5)[s:e].to_numpy()[:, None] - 1e-9
+                out.append((np.repeat(all_ids[s:e], n)[keep.ravel()], row_ids[top][keep], rough[keep]))
                 held += out[-1][0].size
                 if held > 2 * least + 1_000_000:
                     out = cut_back(out)
