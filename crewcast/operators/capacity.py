@@ -39,6 +39,14 @@ def crew_capacity(
     )
 
 
+def column_names(df: DataFrame, column: str, most: int = 10_000) -> list[str]:
+    """The values of a column, sorted, as names of a matrix's columns; too many raise."""
+    rows = df.select(column).dropna().distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} values of {column} for one matrix")
+    return sorted(r[0] for r in rows)
+
+
 def capacity_matrix(capacity: DataFrame, crews: list[str]) -> DataFrame:
     """Days by the named crews, for display."""
     chosen = capacity.where(F.col("crew_name").isin(crews))

@@ -74,7 +74,9 @@ def clean_jobs(jobs: DataFrame, params: Params) -> DataFrame:
     dates += ["SiteReadinessForecast", "refresh_date"]
     parsed = parse_dates(jobs, dates)
     unique = latest_per_key(parsed, ["JobID"], "refresh_date")
-    kept = open_jobs(not_placeholder(unique, "CrewIdBooked", params.placeholder_crew))
+    if params.placeholder_crew is not None:
+        unique = not_placeholder(unique, "CrewIdBooked", params.placeholder_crew)
+    kept = open_jobs(unique)
     return upper_columns(kept, "Market")
 
 

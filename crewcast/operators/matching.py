@@ -81,6 +81,24 @@ def count_qualified(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     return joined.withColumn("CountQualified", F.coalesce("_n", F.lit(0)).cast("int")).drop("_n")
 
 
+def crews_in_market(jobs: DataFrame, crews: DataFrame) -> DataFrame:
+    """Number of crews in each job's market."""
+    sizes = crews.groupBy("Market").agg(F.count("*").alias("n_crews"))
+    return jobs.join(sizes, "Market").select("JobID", "Market", "n_crews")
+
+
+def crews_of_vendor(jobs: DataFrame, crews: DataFrame) -> DataFrame:
+    """Number of crews of each job's market that its booked vendor, if any, allows."""
+    listed = crews.where(F.col("Market").isNotNull())
+    by_vendor = listed.groupBy("Market", F.col("VendorID").alias("VendorBooked")).agg(F.count("*").alias("n_crews"))
+    by_market = listed.groupBy("Market").agg(F.count("*").alias("n_crews"))
+    booked = jobs.select("JobID", "Market", "VendorBooked")
+    tied = booked.where("VendorBooked is not null").join(by_vendor, ["Market", "VendorBooked"])
+    free = booked.where("VendorBooked is null").join(by_market, "Market")
+    columns = ("JobID", "Market", "VendorBooked", "n_crews")
+    return tied.select(*columns).unionByName(free.select(*columns))
+
+
 def crew_order() -> list:
     """Preference among qualified crews."""
     return [F.col(c).desc_nulls_last() for c in ("Score", "VendorID", "crew_name", "ValidFrom", "ValidUntil")]
@@ -100,6 +118,22 @@ def qualified_per_job(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     return joined.select("JobID", "rank", "VendorID", "crew_name", "Score", "ValidFrom", "ValidUntil")
 
 
+def crew_list_ends(jobs: DataFrame, crews: DataFrame) -> DataFrame:
+    """Length, first and last entry of every job's crew list.
+
+    Each pool's list is summed up before the jobs are joined, so a job meets one row.
+    """
+    entry = F.struct("Score", "VendorID", "crew_name", "ValidFrom", "ValidUntil")
+    listed = crews.where(F.col("Market").isNotNull()).withColumn("entry", entry)
+    ends = [F.sum("n").alias("n_crews"), F.max("top").alias("top"), F.min("end").alias("end")]
+    groups = listed.groupBy("Market", "VendorID", "have_key").agg(
+        F.count("*").alias("n"), F.max("entry").alias("top"), F.min("entry").alias("end")
+    )
+    pools = pool_matches(pools_of(jobs), crew_classes(crews), groups).groupBy(*POOL).agg(*ends)
+    joined = join_null_safe(jobs.select("JobID", *POOL), pools, POOL)
+    return joined.select("JobID", "n_crews", F.col("top.crew_name").alias("first_crew"), F.col("end.crew_name").alias("last_crew"))
+
+
 def best_crew(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     """First entry of every job's crew list, found per class before the join."""
     entry = ("Score", "VendorID", "crew_name", "ValidFrom", "ValidUntil")

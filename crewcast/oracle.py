@@ -59,7 +59,7 @@ jobs_raw AS (
     CASE WHEN k % 53 <> 0 THEN segment || CASE WHEN k % 4 = 0 THEN '| ' || {pick('k')} ELSE '' END END AS Skills,
     CASE WHEN k % 11 = 0 AND k % 2 = 0 THEN booked_vendor
       WHEN k % 11 <> 0 AND k % 7 = 0 THEN 'V' || CAST(k % 5 AS VARCHAR) END AS VendorBooked,
-    CASE WHEN k % 143 = 0 THEN 'NAM Migration' WHEN k % 121 = 0 THEN 'Unlisted crew'
+    CASE WHEN k % 143 = 0 THEN 'No real crew' WHEN k % 121 = 0 THEN 'Unlisted crew'
       WHEN k % 11 = 0 THEN booked_name || '/' || CAST(k % 3 AS VARCHAR) END AS CrewIdBooked,
     CASE WHEN k % 10 <> 9 THEN CAST(substr(o_orderpriority, 1, 1) AS INT) END AS Priority,
     created AS JobCreateDate,
@@ -80,7 +80,7 @@ JOBS = f"""
 jobs AS (
   SELECT *, CASE WHEN Skills IS NULL THEN CAST([] AS VARCHAR[]) ELSE {skills('Skills')} END AS need,
     array_to_string({skills('Skills')}, '|') AS need_key
-  FROM jobs_raw WHERE CrewIdBooked IS DISTINCT FROM 'NAM Migration' AND JobEndDateActual IS NULL
+  FROM jobs_raw WHERE CrewIdBooked IS DISTINCT FROM 'No real crew' AND JobEndDateActual IS NULL
 ),
 filled AS (
   SELECT * REPLACE (coalesce(Priority, 5) AS Priority, coalesce(JobStartMaxOffset, 90) AS JobStartMaxOffset),
@@ -177,7 +177,11 @@ calendar AS (
     CAST(sum(CAST(isodow(day) <= 5 AS INT)) OVER (ORDER BY day) - CAST(isodow(day) <= 5 AS INT) AS INT) AS ord
   FROM days
 ),
-workdays AS (SELECT day, ord FROM calendar WHERE is_business)"""
+workdays AS (SELECT day, ord FROM calendar WHERE is_business),
+open_days AS (
+  SELECT day, CAST(isodow(day) <= 5 AND NOT (day(day) IN (1, 15)
+    AND day IN (SELECT CAST(o_orderdate AS DATE) FROM orders)) AS INT) AS o FROM days
+)"""
 
 SLOTS = """
 wanted AS (
@@ -296,8 +300,10 @@ QUERIES: dict[str, tuple[str, str]] = {
         l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem) WHERE rn = 1"""),
     "filter_and_sort": ("jobs", """SELECT JobID, Priority, SiteReadinessForecast, JobStart, JobCreateDate FROM filled
         WHERE CrewIdBooked IS NOT NULL"""),
-    "stage_counts": ("jobs crews", """SELECT 'raw jobs' AS stage, count(*) AS n_rows FROM jobs_raw
-        UNION ALL SELECT 'clean jobs', count(*) FROM jobs UNION ALL SELECT 'clean crews', count(*) FROM crews"""),
+    "stage_counts": ("jobs crews events", """SELECT 'raw jobs' AS stage, count(*) AS n_rows, CAST(19 AS INT) AS n_columns FROM jobs_raw
+        UNION ALL SELECT 'clean jobs', count(*), 19 FROM jobs UNION ALL SELECT 'clean crews', count(*), 9 FROM crews
+        UNION ALL SELECT 'clean events', count(*), 6 FROM special
+        UNION ALL SELECT 'event markets', count(DISTINCT x_market), 1 FROM special"""),
     "duration_label": ("construction", "SELECT id, CAST(label AS INT) AS label FROM labelled"),
     "quantiles_by_group": ("", f"SELECT g AS event_type, q1, q3 FROM {QUARTILES}"),
     "outlier_fences": ("", f"""SELECT event_id, event_type, value FROM events JOIN {QUARTILES} ON event_type = g
@@ -377,16 +383,27 @@ QUERIES: dict[str, tuple[str, str]] = {
     "predictions_to_jobs": ("jobs_raw", """SELECT JobID, CASE WHEN JobDurationML IS NOT NULL THEN m END AS JobDurationML
         FROM jobs_raw LEFT JOIN (SELECT Market, round(avg(JobDurationML), 6) AS m FROM jobs_raw GROUP BY 1) USING (Market)"""),
     "predictions_by_day": ("construction", """SELECT CAST(year(refresh_date) AS INT) AS "year",
-        CAST(month(refresh_date) AS INT) AS "month", 1 AS "day", count(*) AS n_rows, min(id) AS first_id
-        FROM base GROUP BY 1, 2"""),
-    "published_table": ("construction", """SELECT CAST(year(refresh_date) AS INT) AS "year", market, count(*) AS n_rows
-        FROM base GROUP BY 1, 2"""),
+        CAST(month(refresh_date) AS INT) AS "month", CAST(day(refresh_date) AS INT) AS "day", count(*) AS n_rows,
+        min(id) AS first_id FROM base GROUP BY 1, 2, 3"""),
+    "published_table": ("construction", """SELECT CAST(year(refresh_date) AS INT) AS "year", CAST(month(refresh_date) AS INT) AS "month",
+        CAST(day(refresh_date) AS INT) AS "day", market, count(*) AS n_rows FROM base GROUP BY 1, 2, 3, 4"""),
     "overlay_file": ("triaged", """SELECT CAST(ResourceStatus AS VARCHAR) AS ResourceStatus, '#' AS VendorId,
         count(*) AS n_rows FROM triaged WHERE ResourceStatus IS NOT NULL GROUP BY 1"""),
     "construction_csv": ("construction", "SELECT id, market, civil_start, tower_end, latitude FROM construction"),
     "planner_files": ("jobs_raw crews events", """SELECT 'jobs' AS stage, count(*) AS n_rows FROM jobs_raw
         UNION ALL SELECT 'crews', count(*) FROM crews_raw UNION ALL SELECT 'events', count(*) FROM special
         UNION ALL SELECT 'weather', count(*) FROM event_sites WHERE event_type = 'error'"""),
+    "holidays_of_country": ("", """SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders
+        WHERE day(CAST(o_orderdate AS DATE)) IN (1, 15) AND year(CAST(o_orderdate AS DATE)) BETWEEN 1993 AND 1996"""),
+    "holiday_offset": ("calendar", """SELECT o_orderkey, created, w.day AS due
+        FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS created FROM orders)
+        JOIN (SELECT day, CAST(sum(o) OVER (ORDER BY day) - o AS INT) AS ord FROM open_days) c ON c.day = created
+        JOIN (SELECT day, row_number() OVER (ORDER BY day) - 1 AS ord FROM open_days WHERE o = 1) w
+          ON w.ord = c.ord + o_orderkey % 15"""),
+    "archived_files": ("construction", "SELECT id, market, civil_start FROM construction"),
+    "latest_planner_files": ("jobs_raw crews events", """SELECT 'jobs' AS stage, count(*) AS n_rows FROM jobs_raw
+        UNION ALL SELECT 'crews', count(*) FROM crews_raw UNION ALL SELECT 'events', count(*) FROM special
+        UNION ALL SELECT 'weather', count(*) FROM event_sites WHERE event_type = 'error'"""),
     "ingest_drops": ("jobs", "SELECT JobID, Market, JobCreateDate, CrewIdBooked, JobDurationML FROM jobs"),
 }
 

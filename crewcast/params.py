@@ -48,7 +48,7 @@ class Params:
     job_start_buffer: int = 2
     job_downtime: int = 2
     site_distance_min: float | None = None  # km; None switches neighbour locks off
-    placeholder_crew: str = "NAM Migration"  # fixed value: bookings to it are not real
+    placeholder_crew: str | None = None  # bookings to this name are not real
     tracking_codes: dict[int, str] = field(default_factory=lambda: dict(STATUS_LABELS))
 
     # helpers that only the capacity view uses
@@ -63,16 +63,25 @@ class Params:
             raise ValueError("weekmask needs seven 0/1 digits, Monday first, with at least one 1")
         if self.calendar_start_year > self.calendar_end_year:
             raise ValueError("calendar_start_year is after calendar_end_year")
+        if self.job_start_buffer < 0:
+            raise ValueError("job_start_buffer is negative: a start in the past cannot be planned")
         if self.window_jobs < 1:
             raise ValueError("window_jobs must be positive")
 
     @property
     def calendar_first(self) -> dt.date:
-        return dt.date(self.calendar_start_year, 1, 1)
+        """First day that the calendar knows: the given years, or earlier if planning needs it."""
+        return min(dt.date(self.calendar_start_year, 1, 1), dt.date(self.as_of.year - 1, 1, 1))
 
     @property
     def calendar_last(self) -> dt.date:
-        return dt.date(self.calendar_end_year, 12, 31)
+        """Last day that the calendar knows: the given years, or later if planning needs it.
+
+        A job that starts on the last day of the plan ends well before: its business days
+        count seven times each, which leaves room for weekly closures and holidays.
+        """
+        needed = self.plan_end + dt.timedelta(days=7 * (self.job_duration_max + self.job_buffer) + 366)
+        return max(dt.date(self.calendar_end_year, 12, 31), dt.date(needed.year, 12, 31))
 
     @property
     def plan_end(self) -> dt.date:

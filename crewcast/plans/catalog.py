@@ -10,17 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crewcast import schemas, views
-from crewcast.functions.dates import add_business_days, business_calendar, day_range
+from crewcast.functions.dates import add_business_days, business_calendar, day_range, select_holidays
 from crewcast.operators import capacity, clean, features, locks, matching, neighbours, overlay, slots, triage
 from crewcast.params import Params
 from crewcast.plans import forecast
 from crewcast.plans.allocation import Inputs, allocate, allocation_overlay, prepared_crews, triaged_jobs
 from crewcast.session import materialise, scratch_path
-from crewcast.sources.readers import load_model, read_csv
-from crewcast.sources.writers import publish_table, save_model, write_csv, write_overlay, write_predictions
-from crewcast.streaming.drops import drop_stream, run_on_drops
-
-PARAMS = Params()
+from crewcast.sources.readers import load_model, read_csv, read_holidays, read_planner_inputs
+from crewcast.sources.writers import (
+    archive,
+    drop_files,
+    publish_table,
+    save_model,
+    write_csv,
+    write_named_csv,
+    write_overlay,
+    write_predictions,
+)
+from crewcast.streaming.drops import drop_stream, latest_rows, run_on_drops
+
+PARAMS = Params(placeholder_crew="No real crew")
 NEAR_KM = 3.0
 NEAR = dataclasses.replace(PARAMS, site_distance_min=NEAR_KM)
 WINDOWED = dataclasses.replace(NEAR, window_jobs=40)
@@ -114,10 +123,18 @@ def filter_and_sort(spark, folder):
 
 @query
 def stage_counts(spark, folder):
-    raw = views.jobs(spark, folder, PARAMS)
-    return clean.row_counts(
-        {"raw jobs": raw, "clean jobs": _cleaned(spark, folder), "clean crews": _crews(spark, folder)}
-    ).drop("n_columns")
+    """Rows and columns of the inputs and of what cleaning keeps, and the markets that events name."""
+    events = _events(spark, folder)
+    counts = clean.row_counts(
+        {
+            "raw jobs": views.jobs(spark, folder, PARAMS),
+            "clean jobs": _cleaned(spark, folder),
+            "clean crews": _crews(spark, folder),
+            "clean events": events,
+        }
+    )
+    markets = clean.row_counts({"event markets": events.select("Market").dropna().distinct()})
+    return counts.unionByName(markets)
 
 
 # forecasting
@@ -246,21 +263,13 @@ def phase_split(spark, folder):
 @query
 def market_match(spark, folder):
     """Crews in each job's market."""
-    sizes = _crews(spark, folder).groupBy("Market").agg(F.count("*").alias("n_crews"))
-    return _cleaned(spark, folder).join(sizes, "Market").select("JobID", "Market", "n_crews")
+    return matching.crews_in_market(_cleaned(spark, folder), _crews(spark, folder))
 
 
 @query
 def vendor_match(spark, folder):
     """Crews of each job's market that its booked vendor, if any, allows."""
-    listed = _crews(spark, folder).where(F.col("Market").isNotNull())
-    by_vendor = listed.groupBy("Market", F.col("VendorID").alias("VendorBooked")).agg(F.count("*").alias("n_crews"))
-    by_market = listed.groupBy("Market").agg(F.count("*").alias("n_crews"))
-    jobs = _cleaned(spark, folder).select("JobID", "Market", "VendorBooked")
-    tied = jobs.where("VendorBooked is not null").join(by_vendor, ["Market", "VendorBooked"])
-    free = jobs.where("VendorBooked is null").join(by_market, "Market")
-    columns = ("JobID", "Market", "VendorBooked", "n_crews")
-    return tied.select(*columns).unionByName(free.select(*columns))
+    return matching.crews_of_vendor(_cleaned(spark, folder), _crews(spark, folder))
 
 
 @query
@@ -286,11 +295,7 @@ def qualified_crews(spark, folder):
 def qualified_per_job(spark, folder):
     """Crew list of every job, summarised: its length and its first and last entry."""
     jobs, crews = materialise(_needing(spark, folder), "jobs"), materialise(_crews(spark, folder), "crews")
-    listed = matching.qualified_per_job(jobs, crews)
-    return listed.groupBy("JobID").agg(
-        F.count("*").alias("n_crews"), F.min_by("crew_name", "rank").alias("first_crew"),
-        F.max_by("crew_name", "rank").alias("last_crew"),
-    )
+    return matching.crew_list_ends(jobs, crews)
 
 
 @query
@@ -414,9 +419,9 @@ def crew_capacity(spark, folder):
 def vendor_capacity_matrix(spark, folder):
     """Bookings per day and vendor, pivoted."""
     long = capacity.crew_capacity(_crews(spark, folder), _filled(spark, folder), *CAPACITY_DAYS, PARAMS)
-    vendors = _crews(spark, folder).select("crew_name", "VendorID").distinct()
+    vendors = materialise(_crews(spark, folder).select("crew_name", "VendorID").distinct(), "vendors")
     named = long.join(vendors, "crew_name").select("day", F.col("VendorID").alias("crew_name"), "capacity")
-    return capacity.capacity_matrix(named, ["V0", "V1", "V2", "V3", "V4"])
+    return capacity.capacity_matrix(named, capacity.column_names(vendors, "VendorID"))
 
 
 # allocation
@@ -506,7 +511,7 @@ def _predictions(spark, folder):
 def predictions_by_day(spark, folder):
     """Predictions written by day and read back."""
     path = scratch_path(spark, "predictions")
-    write_predictions(_predictions(spark, folder).withColumn("refresh_date", F.trunc("refresh_date", "month")), path)
+    write_predictions(_predictions(spark, folder), path)
     back = spark.read.parquet(path)
     return back.groupBy("year", "month", "day").agg(F.count("*").alias("n_rows"), F.min("JobID").alias("first_id"))
 
@@ -515,11 +520,11 @@ def predictions_by_day(spark, folder):
 def published_table(spark, folder):
     """The written predictions as an external table."""
     path = scratch_path(spark, "published")
-    rows = _predictions(spark, folder).withColumn("refresh_date", F.trunc("refresh_date", "year"))
+    rows = _predictions(spark, folder)
     write_predictions(rows, path)
     name = "published_predictions"
     publish_table(spark, name, path, rows)
-    return spark.table(name).groupBy("year", "market").agg(F.count("*").alias("n_rows"))
+    return spark.table(name).groupBy("year", "month", "day", "market").agg(F.count("*").alias("n_rows"))
 
 
 @query
@@ -545,7 +550,7 @@ def construction_csv(spark, folder):
 
 @query
 def planner_files(spark, folder):
-    """The four planner tables through CSV files and back, as row counts."""
+    """The four planner tables through CSV files of many parts and back, as row counts."""
     root = scratch_path(spark, "planner")
     made = views.inputs(spark, folder, PARAMS)
     tables = {
@@ -555,7 +560,7 @@ def planner_files(spark, folder):
         "weather": (made.weather, schemas.WEATHER),
     }
     for name, (df, schema) in tables.items():
-        _write_drop(df.coalesce(1), schema, f"{root}/{name}")
+        _write_drop(df, schema, f"{root}/{name}")
     found = read_planner_inputs_of_parts(spark, root)
     return clean.row_counts(
         {"jobs": found.jobs, "crews": found.crews, "events": found.events, "weather": found.weather}
@@ -580,13 +585,74 @@ def read_planner_inputs_of_parts(spark, root):
 
 @query
 def ingest_drops(spark, folder):
-    """Job drops streamed once each into the cleaned job table."""
+    """Two job drops streamed once each; a job in both is there once, and read files are archived."""
     root = scratch_path(spark, "drops")
-    _write_drop(views.jobs(spark, folder, PARAMS), schemas.JOB_SITE, f"{root}/in")
+    jobs = views.jobs(spark, folder, PARAMS)
 
     def handle(batch: DataFrame, number: int) -> None:
-        jobs = clean.clean_jobs(clean.parse_dates(batch, schemas.JOB_SITE_DATES), PARAMS)
-        jobs.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+        kept = clean.clean_jobs(clean.parse_dates(batch, schemas.JOB_SITE_DATES), PARAMS)
+        kept.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+
+    for drop in (jobs.where("JobID % 3 > 0"), jobs.where("JobID % 3 < 2")):
+        _write_drop(drop, schemas.JOB_SITE, f"{root}/new")
+        drop_files(spark, f"{root}/new", f"{root}/in")
+        stream = drop_stream(spark, f"{root}/in", schemas.JOB_SITE, archive=f"{root}/done")
+        run_on_drops(stream, handle, f"{root}/state").awaitTermination()
+    found = latest_rows(spark, f"{root}/out", "JobID")
+    return found.select("JobID", "Market", "JobCreateDate", "CrewIdBooked", "JobDurationML")
+
+
+def _holidays(spark, folder):
+    """Two made-up countries' holidays: some days of a month on which orders came in."""
+    days = views.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    country = F.when(F.dayofmonth("day").isin(1, 15), "AA").when(F.dayofmonth("day") == 20, "BB")
+    return days.select(country.alias("country"), "day").dropna()
+
+
+@query
+def holidays_of_country(spark, folder):
+    """Holidays through their CSV file: those of one country within some years."""
+    path = scratch_path(spark, "holidays")
+    _write_drop(_holidays(spark, folder), schemas.HOLIDAYS, path)
+    listed = clean.parse_dates(read_holidays(spark, path), ["day"])
+    return select_holidays(listed, "AA", 1993, 1996)
+
+
+@query
+def holiday_offset(spark, folder):
+    """Business offsets that also pass over holidays."""
+    params = dataclasses.replace(PARAMS, country_code="AA")
+    orders = views.table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("created"))
+    calendar = business_calendar(spark, params, materialise(_holidays(spark, folder), "holidays"))
+    return add_business_days(orders, "created", (F.col("o_orderkey") % 15).cast("int"), "due", calendar)
 
-    run_on_drops(drop_stream(spark, f"{root}/in", schemas.JOB_SITE), handle, f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("JobID", "Market", "JobCreateDate", "CrewIdBooked", "JobDurationML")
+
+@query
+def archived_files(spark, folder):
+    """Construction files moved to an archive under dated names, and read there."""
+    root = scratch_path(spark, "archive")
+    _write_drop(views.construction(spark, folder), schemas.CONSTRUCTION, f"{root}/in")
+    archive(spark, f"{root}/in", f"{root}/done", PARAMS.as_of)
+    rows = read_csv(spark, f"{root}/done", schemas.CONSTRUCTION, f"*_{PARAMS.as_of.isoformat()}.csv")
+    return rows.select("id", "market", "civil_start")
+
+
+@query
+def latest_planner_files(spark, folder):
+    """The four planner tables by file name: of two files of a name the newer is read, and all must be there."""
+    root = scratch_path(spark, "latest")
+    made = views.inputs(spark, folder, PARAMS)
+    tables = {
+        "job_site": (made.jobs, schemas.JOB_SITE),
+        "vendor_crew": (made.crews, schemas.VENDOR_CREW),
+        "events": (made.events, schemas.EVENTS),
+        "weather": (made.weather, schemas.WEATHER),
+    }
+    for name, (df, schema) in tables.items():
+        typed = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+        write_named_csv(typed.limit(3), f"{root}/old/{name}.csv")
+        write_named_csv(typed, f"{root}/new/{name}.csv")
+    found = read_planner_inputs(spark, root)
+    return clean.row_counts(
+        {"jobs": found.jobs, "crews": found.crews, "events": found.events, "weather": found.weather}
+    ).drop("n_columns")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -17,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return _local_folder()
 
@@ -32,6 +33,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []
+
+
+def discard_intermediates(spark: SparkSession) -> int:
+    """Delete the tables that ``materialise`` has written; call it once results are stored."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
+
+
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -40,5 +54,6 @@ def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _written.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -71,15 +71,34 @@ def publish_table(spark: SparkSession, name: str, path: str, sample: DataFrame)
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def write_named_csv(df: DataFrame, path: str) -> None:
+    """One CSV file of the given name, as planners hand it over; its rows pass through one task."""
+    spark = df.sparkSession
+    write_csv(df.coalesce(1), f"{path}.parts")
+    files, place = _files(spark, path)
+    [part] = [s.getPath() for s in files.listStatus(place(f"{path}.parts")) if s.getPath().getName().endswith(".csv")]
+    files.delete(place(path), False)
+    if not files.rename(part, place(path)):
+        raise OSError(f"could not name {path}")
+    files.delete(place(f"{path}.parts"), True)
+
+
+def drop_files(spark: SparkSession, source: str, folder: str) -> None:
+    """Move the data files of one folder into a watched folder."""
+    archive(spark, source, folder)
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def archive(spark: SparkSession, source: str, target: str, stamp: dt.date | None = None) -> list[str]:
     """Move the files of a folder below ``target``, with an optional date before ``.csv``.
 
     Call it after the results are written, so that a failed run leaves its input alone.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path_of = jvm.org.apache.hadoop.fs.Path
-    files = path_of(source).getFileSystem(conf)
+    files, path_of = _files(spark, source)
     files.mkdirs(path_of(target))
     moved = []
     for status in files.listStatus(path_of(source)):

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from crewcast import schemas
 from crewcast.params import Params
 from crewcast.plans.allocation import Inputs, allocate
-from crewcast.operators.clean import parse_dates
+from crewcast.operators.clean import latest_per_key, parse_dates
 from crewcast.operators.overlay import text_overlay, typed_overlay
 from crewcast.plans.forecast import score
 from crewcast.operators.features import scoring_rows
@@ -43,12 +43,14 @@ def run_on_drops(
 
 
 def allocation_handler(
-    static: Callable[[], Inputs | None], params: Params, path: str
+    static: Callable[[], Inputs | None], params: Params | Callable[[], Params], path: str
 ) -> Callable[[DataFrame, int], None]:
     """Allocates each job drop against the tables of the moment.
 
     ``static`` returns the other inputs, or None while crews are missing; that batch
     fails and is taken up again by the next start, so that no job drop is lost.
+    ``params`` may be a function, asked for each batch: the day of planning then moves
+    with a stream that runs for days.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
@@ -58,19 +60,34 @@ def allocation_handler(
         if known is None:
             log.warning("batch %s waits: no crew table yet", number)
             raise RuntimeError("crew table is missing")
+        now = params() if callable(params) else params
         jobs = parse_dates(batch, schemas.JOB_SITE_DATES)
         inputs = Inputs(jobs, known.crews, known.events, known.weather, known.holidays)
-        overlay = text_overlay(typed_overlay(allocate(inputs, params)))
-        write_overlay(overlay, f"{path}/batch={number}", params.as_of)
+        overlay = text_overlay(typed_overlay(allocate(inputs, now)))
+        write_overlay(overlay, f"{path}/batch={number}", now.as_of)
 
     return handle
 
 
 def scoring_handler(model_path: str, params: Params, path: str) -> Callable[[DataFrame, int], None]:
-    """Scores each construction drop and writes it by day."""
+    """Scores each construction drop and writes it by day, below a folder of its own.
+
+    A later drop with rows of the same day so adds to them; a batch that is run again
+    replaces its own rows. ``latest_predictions`` reads one row per job.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         predictions = score(load_model(model_path), scoring_rows(batch), params)
-        write_predictions(predictions, path)
+        write_predictions(predictions, f"{path}/batch={number}")
 
     return handle
+
+
+def latest_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """One row per key over all batches below ``path``: that of the latest batch."""
+    rows = spark.read.option("recursiveFileLookup", False).parquet(path)
+    return latest_per_key(rows, [key], "batch").drop("batch")
+
+
+def latest_predictions(spark: SparkSession, path: str) -> DataFrame:
+    return latest_rows(spark, path, "JobID")

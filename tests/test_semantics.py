@@ -21,7 +21,7 @@ from tests import naive
 from tests.test_placement import CREW_TYPES, JOB_TYPES, day
 
 TODAY = dt.date(2024, 3, 4)
-P = Params(as_of=TODAY, calendar_start_year=2023, calendar_end_year=2025)
+P = Params(as_of=TODAY, calendar_start_year=2023, calendar_end_year=2025, placeholder_crew="Nobody")
 JOB = dict.fromkeys([c.split()[0] for c in JOB_TYPES.split(", ")])
 
 
