@@ -241,6 +241,74 @@ capacity AS (
   GROUP BY 1, 2
 )"""
 
+
+
+def _placed(name: str, near: str) -> str:
+    """The greedy, one job of each market a step: busy crews and held sites travel along as lists.
+
+    ``near`` gives a job's site with those that its placement locks as well.
+    """
+    return f"""
+{name}_options AS (
+  SELECT s.JobID, list({{'a': s.slot_start, 'b': s.slot_end, 'locked': f.JobID IS NULL}} ORDER BY s."offset") AS options
+  FROM slots s LEFT JOIN free f ON f.JobID = s.JobID AND f."offset" = s."offset" GROUP BY 1
+  UNION ALL
+  SELECT JobID, [{{'a': JobStart, 'b': e.day, 'locked': EXISTS (SELECT 1 FROM locks l WHERE l.customer_id = t.customer_id
+    AND l.SiteCode = t.SiteCode AND l.day BETWEEN t.JobStart AND e.day)}}]
+  FROM triaged t JOIN calendar c ON c.day = t.JobStart JOIN workdays e ON e.ord = c.ord + t.JobDuration + 1 WHERE phase = 1
+),
+{name}_lists AS (
+  SELECT Market, VendorBooked, need_key,
+    list({{'v': VendorID, 'c': crew_name, 'f': ValidFrom, 'u': ValidUntil}} ORDER BY "rank") AS crews FROM ranked GROUP BY ALL
+),
+{name}_jobs AS (
+  SELECT t.JobID, t.phase, t.Market, {near} AS near, t.customer_id || '#' || t.SiteCode AS site,
+    coalesce(o.options, []) AS options,
+    CASE WHEN phase = 1 THEN [{{'v': LockVendor, 'c': CrewIdBooked, 'f': DATE '1000-01-01', 'u': DATE '9999-12-31'}}]
+      ELSE f.crews END AS crews,
+    row_number() OVER (PARTITION BY t.Market ORDER BY phase, Priority NULLS LAST, SiteReadinessForecast NULLS LAST,
+      CASE phase WHEN 1 THEN JobStart WHEN 2 THEN JobStartDateForecast END NULLS LAST, JobCreateDate NULLS LAST,
+      CASE WHEN phase > 1 THEN CountQualified END NULLS LAST, t.JobID) AS n
+  FROM triaged t LEFT JOIN {name}_options o ON o.JobID = t.JobID LEFT JOIN {name}_lists f ON {SAME_POOL.format('t')}
+  WHERE phase IS NOT NULL
+),
+{name} AS (
+  SELECT Market, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(v VARCHAR, c VARCHAR, a DATE, b DATE)[]) AS busy,
+    CAST([] AS STRUCT(k VARCHAR, a DATE, b DATE)[]) AS held, CAST(NULL AS VARCHAR) AS JobID, CAST(NULL AS INT) AS status,
+    CAST(NULL AS VARCHAR) AS vendor, CAST(NULL AS VARCHAR) AS crew, CAST(NULL AS DATE) AS start
+  FROM (SELECT DISTINCT Market FROM {name}_jobs)
+  UNION ALL
+  SELECT Market, n,
+    CASE WHEN good IS NULL THEN busy
+      ELSE list_append(busy, {{'v': good.crew.v, 'c': good.crew.c, 'a': good.a, 'b': good.b + 2}}) END,
+    CASE WHEN good IS NULL THEN held ELSE list_append(held, {{'k': site, 'a': good.a, 'b': good.b}}) END,
+    JobID,
+    CASE WHEN good IS NOT NULL THEN 0 WHEN len(list_filter(tried, lambda x: x.bad)) > 0 THEN 6
+      WHEN phase = 1 THEN 2 ELSE 4 END,
+    CASE WHEN phase > 1 THEN good.crew.v END, CASE WHEN phase > 1 THEN good.crew.c END,
+    CASE WHEN phase > 1 THEN good.a END
+  FROM (
+    SELECT *, list_filter(tried, lambda x: NOT x.bad AND x.crew IS NOT NULL)[1] AS good FROM (
+      SELECT j.*, w.busy, w.held, list_transform(j.options, lambda x: {{'a': x.a, 'b': x.b,
+        'bad': x.locked OR len(list_filter(w.held, lambda h: list_contains(j.near, h.k) AND h.a <= x.b AND h.b >= x.a)) > 0,
+        'crew': list_filter(j.crews, lambda c: c.f <= x.a AND c.u >= x.b AND len(list_filter(w.busy, lambda y:
+          y.v IS NOT DISTINCT FROM c.v AND y.c = c.c AND y.a <= x.b + 2 AND y.b >= x.a)) = 0)[1]}}) AS tried
+      FROM {name} w JOIN {name}_jobs j ON j.Market = w.Market AND j.n = w.n + 1))
+)"""
+
+
+PLACED = _placed("placed", "CAST([] AS VARCHAR[])")  # without a distance placements lock no site
+PLACED_NEAR = """
+near_lists AS (
+  SELECT customer_id, site, list(customer_id || '#' || other) AS sites FROM (
+    SELECT a.customer_id, a.SiteCode AS site, b.SiteCode AS other FROM (@POINTS) a JOIN (@POINTS) b
+      ON a.customer_id = b.customer_id AND a.SiteCode <> b.SiteCode WHERE @KM < 3.0) GROUP BY 1, 2
+),""" + _placed(
+    "placed_near",
+    """list_append(coalesce((SELECT sites FROM near_lists q WHERE q.customer_id = t.customer_id AND q.site = t.SiteCode), []),
+      t.customer_id || '#' || t.SiteCode)""",
+)
+
 # every block with the blocks it needs
 BLOCKS: dict[str, tuple[str, tuple[str, ...]]] = {
     "sites": (SITES, ()),
@@ -255,6 +323,8 @@ BLOCKS: dict[str, tuple[str, tuple[str, ...]]] = {
     "calendar": (CALENDAR, ()),
     "slots": (SLOTS, ("triaged", "calendar")),
     "free": (FREE, ("slots", "locks")),
+    "placed": (PLACED, ("free",)),
+    "placed_near": (PLACED_NEAR, ("free",)),
     "construction": (CONSTRUCTION, ("sites",)),
     "capacity": (CAPACITY, ("jobs", "crews")),
 }
@@ -272,7 +342,8 @@ def with_blocks(names: str, select: str) -> str:
     for name in names.split():
         add(name)
     parts = [BLOCKS[n][0].strip() for n in order]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + re.sub(r"\n\s+", "\n", select.strip())
+    walks = any(n.startswith("placed") for n in order)
+    return ("WITH " + "RECURSIVE " * walks + ",\n".join(parts) + "\n" if parts else "") + re.sub(r"\n\s+", "\n", select.strip())
 
 
 def haversine(a: str, b: str, c: str, d: str) -> str:
@@ -289,7 +360,25 @@ LABELS = (
 POINTS = """(SELECT customer_id, SiteCode, min(Latitude) AS Latitude, min(Longitude) AS Longitude FROM jobs_raw GROUP BY 1, 2)"""
 QUARTILES = """(SELECT event_type AS g, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM events GROUP BY 1)"""
 
+BLOCKS["placed_near"] = (
+    PLACED_NEAR.replace("(@POINTS)", POINTS).replace("@KM", haversine("a.Latitude", "a.Longitude", "b.Latitude", "b.Longitude")),
+    BLOCKS["placed_near"][1],
+)
+
+
+def _overlay(placed: str, text: bool) -> str:
+    """Every job with its status and, where it was planned, vendor, crew and start."""
+    mark = (lambda c: f"coalesce(CAST({c} AS VARCHAR), '#')") if text else (lambda c: c)
+    return f"""SELECT t.JobID AS WpId, {mark('p.vendor')} AS VendorId, {mark('p.crew')} AS CrewId, {mark('p.start')} AS PlannedStartDate,
+        refresh_date AS RefreshDate, CAST(coalesce(p.status, t.ResourceStatus) AS INT) AS ResourceStatus, JobDuration
+        FROM triaged t LEFT JOIN {placed} p ON p.JobID = t.JobID"""
+
+
 QUERIES: dict[str, tuple[str, str]] = {
+    "allocate_jobs": ("placed", _overlay("placed", False)),
+    "allocation_text": ("placed", _overlay("placed", True)),
+    "allocate_with_neighbours": ("placed_near", _overlay("placed_near", False)),
+    "allocate_in_windows": ("placed_near", _overlay("placed_near", False)),
     "clean_jobs": ("jobs", "SELECT JobID, customer_id, Market, VendorBooked, CrewIdBooked, JobCreateDate, SiteReadinessForecast FROM jobs"),
     "clean_crews": ("crews", "SELECT VendorID, crew_name, Market, Region, ValidFrom, ValidUntil, have_key FROM crews"),
     "parse_dates": ("", """SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 OR o_orderkey % 23 = 0
