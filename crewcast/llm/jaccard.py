@@ -20,6 +20,10 @@ LEAST = (80, 100)
 #: Shingles on the list of frequent ones at most; the list (16 bytes each) goes to every task.
 MOST_FREQUENT = 500_000
 
+#: Holders of a shingle whose pairs are listed; more are compared block by block.
+CROWD = 16
+BLOCK_NODES = 128
+
 #: Rows of two ids that may go to every task.
 BROADCAST_ROWS = 500_000
 
@@ -194,29 +198,12 @@ def _star_pairs(shared: DataFrame, least: tuple[int, int]) -> DataFrame:
 
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(token, node, n, comp): holders of the shingles that are held in several components."""
+    """(token, node, n, comp, holders): holders of the shingles that are held in several components, and their number."""
     known = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
     marked = shared.join(known, F.col("node") == F.col("_n"), "left")
     marked = marked.select("token", "node", "n", F.coalesce("_l", "node").alias("comp"))
-    mixed = marked.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
-    return materialise(marked.join(mixed, "token", "left_semi"), "jaccard-open")
-
-
-def _further_stars(held: DataFrame, least: tuple[int, int], classes: int = 8) -> DataFrame:
-    """Holders with the ends of another random order, one order for each class of shingles.
-
-    Shingles of a class share an order, so the same two nodes come up again and again and
-    a node gets about two new partners for each class, however many copies there are.
-    """
-    kind = F.pmod(F.col("token"), F.lit(classes))
-    row = F.struct(F.xxhash64(kind, F.col("node")).alias("r"), "node", "n", "comp")
-    ends = held.groupBy("token").agg(F.min(row).alias("lo"), F.max(row).alias("hi"))
-    both = held.join(ends, "token")
-    sides = [
-        both.where(F.col("comp") != F.col(f"{e}.comp")).select(F.col(f"{e}.node").alias("x"), F.col(f"{e}.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"))
-        for e in ("lo", "hi")
-    ]
-    return _pairs(sides[0].unionByName(sides[1]), least)
+    mixed = marked.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("holders"))
+    return materialise(marked.join(mixed.where("x < y").select("token", "holders"), "token"), "jaccard-open")
 
 
 def _cross_pairs(held: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -226,6 +213,88 @@ def _cross_pairs(held: DataFrame, least: tuple[int, int]) -> DataFrame:
     return _pairs(left.join(right, "token").where("x < y and xc != yc"), least)
 
 
+def _blocks(held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, comp, block) of the holders of crowded shingles, and the pairs of blocks that share such a shingle.
+
+    A node goes with its most crowded shingle, and the nodes of one shingle are dealt over
+    blocks of about ``BLOCK_NODES``, so that what is alike stands together and the pairs of
+    blocks grow far slower than the pairs of nodes.
+    """
+    node = held.groupBy("node", "comp").agg(F.max(F.struct("holders", "token")).alias("top"))
+    sizes = node.groupBy(F.col("top.token").alias("_t")).agg(F.count("*").alias("_size"))
+    dealt = F.pmod(F.xxhash64("node"), F.ceil(F.col("_size") / BLOCK_NODES))
+    placed = node.join(sizes, F.col("top.token") == F.col("_t")).select("node", "comp", F.xxhash64("_t", dealt).alias("block"))
+    placed = materialise(placed, "jaccard-blocks")
+    found = held.select("token", F.col("node").alias("_n")).join(placed, F.col("_n") == F.col("node"))
+    sets = found.groupBy("token").agg(F.array_sort(F.collect_set("block")).alias("blocks")).select("blocks").distinct()
+    left = sets.select("blocks", F.posexplode("blocks").alias("i", "x"))
+    pairs = left.select("x", F.explode(F.expr("slice(blocks, i + 1, size(blocks))")).alias("y")).distinct()
+    return placed, pairs
+
+
+def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
+    """Links between nodes of different components in pairs of blocks, as many as it takes to join the components.
+
+    Inside a task the prefixes under all orders are matched first, then whole sets.
+    """
+    rows = placed.join(texts.select(F.col("node").alias("_n"), "text"), F.col("node") == F.col("_n"))
+    packed = rows.groupBy("block").agg(F.collect_list(F.struct("node", "comp", "text")).alias("rows"))
+    packed = materialise(packed, "jaccard-packed")  # about BLOCK_NODES rows each
+    both = pairs.join(packed.withColumnsRenamed({"block": "x", "rows": "left"}), "x")
+    both = both.join(packed.withColumnsRenamed({"block": "y", "rows": "right"}), "y")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for b in batches:
+            for left, right in zip(b.column(0), b.column(1)):
+                sides = [r.as_py() for r in (left, right)]
+                sets = [[shingles(r["text"], hasher) for r in side] for side in sides]
+                sizes = [np.array([len(x) for x in side]) for side in sets]
+                comps = [np.array([r["comp"] for r in side]) for side in sides]
+                maybe = comps[0][:, None] != comps[1][None]
+                for o in range(len(_ORDERS)):
+                    if maybe.any():
+                        maybe &= _common(*[[orders.prefix(x, o, least) for x in side] for side in sets]) > 0
+                if maybe.any():
+                    common = _common(*sets)
+                    maybe &= least[1] * common >= least[0] * (sizes[0][:, None] + sizes[1][None] - common)
+                found, joined = [], {}
+                for i, j in zip(*np.nonzero(maybe)):
+                    one, two = (_head(joined, int(c)) for c in (comps[0][i], comps[1][j]))
+                    if one != two:
+                        joined[one] = two
+                        found.append((sides[0][i]["node"], sides[1][j]["node"]))
+                columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return both.select("left", "right").mapInArrow(compare, "a long, b long")
+
+
+def _head(joined: dict[int, int], node: int) -> int:
+    while node in joined:
+        node = joined[node]
+    return node
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray], width: int = 1 << 14) -> np.ndarray:
+    """Sizes of the intersections of two lists of sets, ``width`` shared members at a time."""
+    flat = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (left, right)]
+    row = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right)]
+    shared = np.intersect1d(*flat)
+    out = np.zeros((len(left), len(right)))
+    for start in range(0, len(shared), width):
+        part = shared[start : start + width]
+        tables = []
+        for values, rows, n in zip(flat, row, (len(left), len(right))):
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[at] == values
+            table = np.zeros((n, len(part)), np.float32)
+            table[rows[hit], at[hit]] = 1.0
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out.astype(np.int64)
+
+
 def _paired(pairs: DataFrame, payload: DataFrame, columns: list[str]) -> DataFrame:
     """Both sides' columns beside each pair."""
     for side in ("b", "a"):
@@ -293,10 +362,11 @@ def similar_groups(
     Equal sets become one node first. A pair of nodes is a candidate if their prefixes
     share a shingle under each of three global orders. Candidates of the first order come
     from its postings, in three rounds: first each holder of a shingle with two of the
-    holders, then with two others for each of a few classes of shingles, then, among
-    holders still in different components, all pairs. A pair left out lies within a
-    component already, so the components are those of all links. The other two orders
-    are intersected before whole sets are compared.
+    holders; then, where holders are still in different components, all pairs of up to
+    ``CROWD`` holders, and for more holders all pairs within pairs of blocks, whose rows
+    stay inside the tasks. A pair left out lies within a component already, so the
+    components are those of all links. The other two orders are intersected before whole
+    sets are compared.
 
     Hashes of shingles have 64 bits and digests of sets 128; equal ones count as equal.
 
@@ -340,8 +410,14 @@ def similar_groups(
 
     labels = tell(_star_pairs(shared, least))
     held = _open(shared, labels)
-    labels = tell(_further_stars(held, least))
-    labels = tell(_cross_pairs(_open(held.drop("comp"), labels), least))
+    labels = tell(_cross_pairs(held.where(F.col("holders") <= CROWD), least))
+    crowded = _open(shared, labels).where(F.col("holders") > CROWD)
+    if not crowded.isEmpty():
+        placed, pairs = _blocks(crowded)
+        more = nodes.join(placed.join(texts.select("node"), "node", "left_anti"), "node", "left_semi")
+        texts = texts.unionByName(_needed(rows, more, orders, least, repeated))
+        found = materialise(_block_links(placed, pairs, texts, orders, least), "jaccard-links")
+        labels = materialise(label_nodes(links.unionByName(found)), "jaccard-labels")
 
     known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = known.join(labels.select(F.col("node").alias("_n")), F.col("node") == F.col("_n"), "left_semi")
