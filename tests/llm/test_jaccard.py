@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from crewcast.llm import jaccard
 
 
@@ -35,7 +37,10 @@ def near_copies(rng, words, n, edits):
         yield " ".join(copy)
 
 
-def test_against_all_pairs(documents):
+@pytest.mark.parametrize("crowd, block", [(16, 128), (2, 8)])
+def test_against_all_pairs(documents, monkeypatch, crowd, block):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "BLOCK_NODES", block)
     rng = random.Random(4)
     words = [f"w{i}" for i in range(500)]
     passage = " ".join(rng.choice(words) for _ in range(40))
@@ -75,5 +80,13 @@ def test_prefixes_of_similar_sets_meet():
                 assert set(orders.prefix(x, o, (80, 100)).tolist()) & set(orders.prefix(y, o, (80, 100)).tolist())
 
 
+def test_sizes_of_intersections():
+    np, rng = jaccard.np, random.Random(2)
+    left, right = ([np.array(sorted(rng.sample(range(80), rng.randint(0, 40))), np.uint64) for _ in range(n)] for n in (7, 5))
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+    assert jaccard._common(left, right, width=9).tolist() == want
+    assert jaccard._common([], right).shape == (0, 5)
+
+
 def test_empty_table(documents):
     assert jaccard.similar_groups(documents([])).collect() == []
