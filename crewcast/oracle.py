@@ -466,9 +466,21 @@ QUERIES: dict[str, tuple[str, str]] = {
         + " FROM capacity JOIN (SELECT DISTINCT crew_name, VendorID FROM crews) USING (crew_name) GROUP BY 1"),
     "coded_overlay": ("triaged", """SELECT JobID AS WpId, '#' AS VendorId, '#' AS CrewId, '#' AS PlannedStartDate,
         refresh_date AS RefreshDate, ResourceStatus, JobDuration FROM triaged WHERE ResourceStatus IS NOT NULL"""),
-    "placement_audit": ("jobs", """SELECT 'jobs' AS stage, count(*) AS n_rows FROM jobs
-        UNION ALL SELECT 'jobs without status', 0 UNION ALL SELECT 'placements on a wrong crew', 0
-        UNION ALL SELECT 'placements on a locked day', 0"""),
+    "placement_audit": ("placed_near", """SELECT 'jobs' AS stage, count(*) AS n_rows FROM triaged
+        UNION ALL SELECT 'placed jobs', count(*) FROM @HELD WHERE phase > 1
+        UNION ALL SELECT 'jobs without status', count(*) FROM triaged t LEFT JOIN placed_near p ON p.JobID = t.JobID
+          WHERE coalesce(p.status, t.ResourceStatus) IS NULL
+        UNION ALL SELECT 'placements on a wrong crew', count(*) FROM @HELD WHERE phase > 1 AND NOT EXISTS (SELECT 1 FROM crews k
+          WHERE k.Market = h.Market AND k.VendorID = h.v AND k.crew_name = h.c AND (h.VendorBooked IS NULL OR h.VendorBooked = k.VendorID)
+          AND list_has_all(k.have, h.need) AND a >= ValidFrom AND b <= ValidUntil)
+        UNION ALL SELECT 'placements on a locked day', count(*) FROM @HELD WHERE phase > 1 AND EXISTS (SELECT 1 FROM locks l
+          WHERE l.customer_id = h.customer_id AND l.SiteCode = h.SiteCode AND l.day BETWEEN h.a AND h.b)
+        UNION ALL SELECT 'crews booked twice', count(*) FROM (
+          SELECT b + 2 AS free, lead(a) OVER (PARTITION BY v, c ORDER BY a) AS ahead FROM @HELD) WHERE ahead <= free""".replace(
+        "@HELD", """(SELECT t.*, CASE WHEN phase = 1 THEN LockVendor ELSE vendor END AS v,
+          CASE WHEN phase = 1 THEN CrewIdBooked ELSE crew END AS c, coalesce(p.start, t.JobStart) AS a, e.day AS b
+          FROM triaged t JOIN placed_near p ON p.JobID = t.JobID AND p.status = 0
+          JOIN calendar d ON d.day = coalesce(p.start, t.JobStart) JOIN workdays e ON e.ord = d.ord + t.JobDuration + 1) h""")),
     "predictions_to_jobs": ("jobs_raw", """SELECT JobID, CASE WHEN JobDurationML IS NOT NULL THEN m END AS JobDurationML
         FROM jobs_raw LEFT JOIN (SELECT Market, round(avg(JobDurationML), 6) AS m FROM jobs_raw GROUP BY 1) USING (Market)"""),
     "predictions_by_day": ("construction", """SELECT CAST(year(refresh_date) AS INT) AS "year",

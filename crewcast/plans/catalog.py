@@ -8,10 +8,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from crewcast import schemas, views
 from crewcast.functions.dates import add_business_days, business_calendar, day_range, select_holidays
 from crewcast.operators import capacity, clean, features, locks, matching, neighbours, overlay, slots, triage
+from crewcast.operators.joins import join_null_safe
 from crewcast.params import Params
 from crewcast.plans import forecast
 from crewcast.plans.allocation import Inputs, allocate, allocation_overlay, prepared_crews, triaged_jobs
@@ -467,23 +469,36 @@ def coded_overlay(spark, folder):
 
 @query
 def placement_audit(spark, folder):
-    """Number of jobs, and rule breaks of the placements, of which there must be none."""
+    """Number of jobs, and rule breaks of the placements over their whole length, of which there must be none."""
     jobs = materialise(allocate(views.inputs(spark, folder, NEAR), NEAR), "placed")
-    crews = _crews(spark, folder)
-    placed = jobs.where("PlannedJobStart is not null")
-    listed = crews.select(
-        F.col("crew_name").alias("RecommendedWorker"), F.col("VendorID").alias("RecommendedVendor"),
-        F.col("Market").alias("cm"), "ValidFrom", "ValidUntil",
+    crews = materialise(_crews(spark, folder), "crews")
+    calendar = business_calendar(spark, NEAR)
+    start = F.when(F.col("phase") == 1, F.col("JobStart")).otherwise(F.col("PlannedJobStart"))
+    held = jobs.where("ResourceStatus = 0").withColumn("slot_start", start)
+    held = add_business_days(held, "slot_start", F.col("JobDuration") + NEAR.job_buffer, "slot_end", calendar)
+    placed = held.where("PlannedJobStart is not null")
+    fits = matching.pool_matches(
+        matching.pools_of(placed), matching.crew_classes(crews),
+        crews.select("Market", "VendorID", "have_key", "crew_name", "ValidFrom", "ValidUntil"),
     )
-    fits = placed.join(listed, ["RecommendedWorker", "RecommendedVendor"]).where(
-        "cm = Market and PlannedJobStart between ValidFrom and ValidUntil"
+    fits = fits.where("VendorBooked is null or VendorBooked = VendorID").withColumnsRenamed(
+        {"VendorID": "RecommendedVendor", "crew_name": "RecommendedWorker"}
+    )
+    listed = join_null_safe(placed, fits, [*matching.POOL, "RecommendedVendor", "RecommendedWorker"])
+    listed = listed.where("slot_start >= ValidFrom and slot_end <= ValidUntil")
+    vendor, crew = (F.when(F.col("phase") == 1, F.col(b)).otherwise(F.col(p)) for b, p in (("LockVendor", "RecommendedVendor"), ("CrewIdBooked", "RecommendedWorker")))
+    busy = held.select("JobID", vendor.alias("v"), crew.alias("c"), "slot_start", F.date_add("slot_end", NEAR.job_downtime).alias("free"))
+    ahead = F.lead("slot_start").over(Window.partitionBy("v", "c").orderBy("slot_start"))
+    locked = placed.join(locks.lock_sets(_locks(spark, folder, jobs)), list(locks.SITE)).where(
+        locks.meets_lock(F.col("slot_start"), F.col("slot_end"))
     )
-    blocked = placed.join(_locks(spark, folder, jobs), list(locks.SITE)).where("day = PlannedJobStart")
     checks = {
         "jobs": jobs,
+        "placed jobs": placed,
         "jobs without status": jobs.where("ResourceStatus is null"),
-        "placements on a wrong crew": placed.join(fits, "JobID", "left_anti"),
-        "placements on a locked day": blocked,
+        "placements on a wrong crew": placed.join(listed, "JobID", "left_anti"),
+        "placements on a locked day": locked,
+        "crews booked twice": busy.withColumn("ahead", ahead).where("ahead <= free"),
     }
     return clean.row_counts(checks).drop("n_columns")
 
