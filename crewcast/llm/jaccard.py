@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crewcast.operators.components import label_nodes
@@ -192,9 +193,9 @@ def _pairs(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
 
 
 def _star_pairs(shared: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Each holder of a shingle with the first and the last one: one or two pairs a row, whatever the holders."""
-    ends = [shared.select(F.col(f"{e}.node").alias("x"), F.col(f"{e}.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn")) for e in ("lo", "hi")]
-    return _pairs(ends[0].unionByName(ends[1]), least)
+    """Each holder of a shingle with the first one: one pair a row at most, whatever the holders."""
+    rows = shared.select(F.col("lo.node").alias("x"), F.col("lo.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"))
+    return _pairs(rows, least)
 
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -237,7 +238,7 @@ def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders:
 
     Inside a task the prefixes under all orders are matched first, then whole sets.
     """
-    rows = placed.join(texts.select(F.col("node").alias("_n"), "text"), F.col("node") == F.col("_n"))
+    rows = texts.select(F.col("node").alias("_n"), "text").join(_sent(placed), F.col("node") == F.col("_n"))
     packed = rows.groupBy("block").agg(F.collect_list(F.struct("node", "comp", "text")).alias("rows"))
     packed = materialise(packed, "jaccard-packed")  # about BLOCK_NODES rows each
     both = pairs.join(packed.withColumnsRenamed({"block": "x", "rows": "left"}), "x")
@@ -267,7 +268,20 @@ def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders:
                 columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
-    return both.select("left", "right").mapInArrow(compare, "a long, b long")
+    with _small_batches(both.sparkSession, 16):  # a row holds two blocks
+        return materialise(both.select("left", "right").mapInArrow(compare, "a long, b long"), "jaccard-links")
+
+
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what is run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _head(joined: dict[int, int], node: int) -> int:
@@ -295,63 +309,47 @@ def _common(left: list[np.ndarray], right: list[np.ndarray], width: int = 1 << 1
     return out.astype(np.int64)
 
 
-def _paired(pairs: DataFrame, payload: DataFrame, columns: list[str]) -> DataFrame:
-    """Both sides' columns beside each pair."""
+def _links(pairs: DataFrame, texts: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
+    """Pairs whose prefixes meet under every further order, and then whose whole sets are similar enough."""
     for side in ("b", "a"):
-        named = payload.select(F.col("node").alias("_node"), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+        named = texts.select(F.col("node").alias("_node"), F.col("text").alias(f"{side}_text"))
         pairs = pairs.join(named, F.col(side) == F.col("_node")).drop("_node")
-    return pairs
-
-
-def _sharing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose prefixes meet under each further order (32 bits of a shingle, which can only keep more)."""
-    columns = [f"p{o}" for o in range(1, len(_ORDERS))]
-    both = _paired(pairs, nodes, columns)
-    for c in columns:
-        both = both.where(F.arrays_overlap(f"a_{c}", f"b_{c}"))
-    return both.select("a", "b")
 
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, last, mine, heads = Hasher(), None, None, []
 
-def _links(pairs: DataFrame, nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Pairs whose whole sets are similar enough."""
+        def prefixes(found: np.ndarray) -> list[np.ndarray]:
+            return [orders.prefix(found, o, least) for o in range(1, len(_ORDERS))]
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, last, mine = Hasher(), None, None
         for b in batches:
             keep = []
             for node, left, right in zip(b.column(0).to_pylist(), b.column(3), b.column(2)):
                 if node != last:
                     last, mine = node, shingles(left.as_py(), hasher)
+                    heads = prefixes(mine)
                 yours = shingles(right.as_py(), hasher)
-                common = len(np.intersect1d(mine, yours, assume_unique=True))
-                keep.append(least[1] * common >= least[0] * (len(mine) + len(yours) - common))
+                near = all(np.isin(x, y).any() for x, y in zip(heads, prefixes(yours)))
+                common = len(np.intersect1d(mine, yours, assume_unique=True)) if near else 0
+                keep.append(near and least[1] * common >= least[0] * (len(mine) + len(yours) - common))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return _paired(pairs, nodes, ["text"]).select("a", "b", "b_text", "a_text").mapInArrow(verify, "a long, b long")
+    return pairs.select("a", "b", "b_text", "a_text").mapInArrow(verify, "a long, b long")
 
 
-def _needed(docs: DataFrame, nodes: DataFrame, orders: Orders, least: tuple[int, int], repeated: bool) -> DataFrame:
-    """(node, text, prefixes in the further orders) of nodes, one document for each."""
+def _texts(docs: DataFrame, nodes: DataFrame, repeated: bool) -> DataFrame:
+    """(node, text) of nodes, one document for each: that with the node's id whose set has its digest."""
     wanted = materialise(nodes.select("node", "digest", F.col("id").alias("_id")), "jaccard-wanted")
     found = docs.join(_sent(wanted), F.col("id") == F.col("_id")).select("node", "digest", "text")
+    if repeated:  # rows that repeat an id may have other texts
+        found = found.mapInArrow(_right_texts, "node long, digest binary, text string").dropDuplicates(["node"])
+    return materialise(found.select("node", "text"), "jaccard-texts")
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for b in batches:
-            sets = [shingles(t.as_py(), hasher) for t in b.column(2)]
-            same = [_digest(s) == d for s, d in zip(sets, b.column(1).to_pylist())]
-            further = []
-            for o in range(1, len(_ORDERS)):
-                rows = [(orders.prefix(s, o, least) >> np.uint64(32)).astype(np.uint32) for s in sets]
-                offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-                flat = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
-                further.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32))))
-            names = ["node", "text", *[f"p{o}" for o in range(1, len(_ORDERS))]]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *further], names).filter(pa.array(same, pa.bool_()))
-
-    schema = "node long, text string" + "".join(f", p{o} array<int>" for o in range(1, len(_ORDERS)))
-    out = found.mapInArrow(prefixes, schema)
-    return materialise(out.dropDuplicates(["node"]) if repeated else out, "jaccard-nodes")
+
+def _right_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher = Hasher()
+    for b in batches:
+        digests = zip(b.column(2), b.column(1).to_pylist())
+        yield b.filter(pa.array([_digest(shingles(t.as_py(), hasher)) == d for t, d in digests], pa.bool_()))
 
 
 def similar_groups(
@@ -361,8 +359,8 @@ def similar_groups(
 
     Equal sets become one node first. A pair of nodes is a candidate if their prefixes
     share a shingle under each of three global orders. Candidates of the first order come
-    from its postings, in three rounds: first each holder of a shingle with two of the
-    holders; then, where holders are still in different components, all pairs of up to
+    from its postings, in three rounds: first each holder of a shingle with the first
+    holder; then, where holders are still in different components, all pairs of up to
     ``CROWD`` holders, and for more holders all pairs within pairs of blocks, whose rows
     stay inside the tasks. A pair left out lies within a component already, so the
     components are those of all links. The other two orders are intersected before whole
@@ -386,11 +384,11 @@ def similar_groups(
     copies = full.select("digest", "uid").join(nodes.select("digest", "node"), "digest").where("uid != node").select("uid")
     firsts = full.join(_sent(materialise(copies, "jaccard-copies")), "uid", "left_anti")
     postings = firsts.select(F.explode("prefix").alias("token"), F.col("uid").alias("node"), "n").repartition("token")
-    ends = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi"))
-    ends = ends.where("lo.node != hi.node")
+    ends = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("lo"), F.max("node").alias("hi"))
+    ends = ends.where("lo.node != hi").drop("hi")
     shared = materialise(postings.join(ends.hint("shuffle_hash"), "token"), "jaccard-shared")
 
-    repeated = not full.groupBy("id", "digest").count().where("count > 1").isEmpty()
+    repeated = not full.groupBy("id").count().where("count > 1").isEmpty()
     links, tried, texts = None, None, None
 
     def tell(pairs: DataFrame) -> DataFrame:
@@ -399,12 +397,14 @@ def similar_groups(
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        if texts is not None:
-            ends = ends.join(texts.select("node"), "node", "left_anti")
-        more = _needed(rows, nodes.join(ends, "node", "left_semi"), orders, least, repeated)
-        texts = more if texts is None else texts.unionByName(more)
-        found = materialise(_links(_sharing(pairs, texts), texts, least), "jaccard-links")
+        ends = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-ends")
+        if texts is None:
+            texts = here = _texts(rows, nodes.join(ends, "node", "left_semi"), repeated)
+        else:
+            more = ends.join(texts.select("node"), "node", "left_anti")
+            texts = texts.unionByName(_texts(rows, nodes.join(more, "node", "left_semi"), repeated))
+            here = texts.join(_sent(ends), "node", "left_semi")
+        found = materialise(_links(pairs, here, orders, least), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         return materialise(label_nodes(links), "jaccard-labels")
 
@@ -415,8 +415,8 @@ def similar_groups(
     if not crowded.isEmpty():
         placed, pairs = _blocks(crowded)
         more = nodes.join(placed.join(texts.select("node"), "node", "left_anti"), "node", "left_semi")
-        texts = texts.unionByName(_needed(rows, more, orders, least, repeated))
-        found = materialise(_block_links(placed, pairs, texts, orders, least), "jaccard-links")
+        texts = texts.unionByName(_texts(rows, more, repeated))
+        found = _block_links(placed, pairs, texts, orders, least)
         labels = materialise(label_nodes(links.unionByName(found)), "jaccard-labels")
 
     known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
