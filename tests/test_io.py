@@ -207,3 +207,51 @@ def test_job_dates_as_text_or_dates(spark):
     assert [r.asDict() for r in clean.clean_jobs(text, P).collect()] == [r.asDict() for r in clean.clean_jobs(typed, P).collect()]
     crews = clean.clean_crews(spark.createDataFrame([crew(), (None, *crew()[1:])], CREW_TYPES))
     assert crews.count() == 1 and "Region" in crews.columns
+
+
+def test_later_drops_add_to_a_day_and_the_latest_row_counts(spark, rows, tmp_path):
+    model = forecast.train(rows, QUICK, {"maxDepth": [2], "numTrees": [2]})
+    writers.save_model(model, f"{tmp_path}/model")
+    handle = drops.scoring_handler(f"{tmp_path}/model", QUICK, f"{tmp_path}/out")
+    day = views.construction(spark, "/root/testdata/sf0.001").withColumn("refresh_date", F.lit(D))
+    ids = [r["id"] for r in day.select("id").distinct().orderBy("id").limit(4).collect()]
+    first, second = day.where(F.col("id").isin(ids[:3])), day.where(F.col("id").isin(ids[2:]))
+    for number, drop in ((0, first), (1, second), (1, second)):  # a batch that runs again replaces itself
+        handle(drop, number)
+    got = drops.latest_predictions(spark, f"{tmp_path}/out")
+    assert sorted(r.JobID for r in got.collect()) == ids
+    assert spark.read.parquet(f"{tmp_path}/out").where("day = 4").count() == 5
+
+
+def test_planning_day_moves_with_the_batches(spark, tmp_path):
+    planner_folder(f"{tmp_path}/static")
+    days = iter([D, D + dt.timedelta(days=1)])
+    handle = drops.allocation_handler(
+        lambda: readers.read_planner_inputs(spark, f"{tmp_path}/static"), lambda: dataclasses.replace(P, as_of=next(days)), f"{tmp_path}/out"
+    )
+    batch = readers.read_csv(spark, f"{tmp_path}/static/job_site.csv", schemas.JOB_SITE)
+    for number in (0, 1):
+        handle(batch, number)
+    written = {(r.batch, str(r.run_day)) for r in spark.read.parquet(f"{tmp_path}/out").select("batch", "run_day").distinct().collect()}
+    assert written == {(0, D.isoformat()), (1, (D + dt.timedelta(days=1)).isoformat())}
+
+
+def test_read_files_go_to_the_archive(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/in")
+    for n in range(3):
+        planner_folder(f"{tmp_path}/made{n}")
+        os.rename(f"{tmp_path}/made{n}/job_site.csv", f"{tmp_path}/in/{n}.csv")
+        stream = drops.drop_stream(spark, f"{tmp_path}/in", schemas.JOB_SITE, archive=f"{tmp_path}/done")
+        drops.run_on_drops(stream, lambda batch, number: None, f"{tmp_path}/state").awaitTermination()
+    moved = [f for _, _, files in os.walk(f"{tmp_path}/done") for f in files if f.endswith(".csv")]
+    assert moved and {*moved, *[f for f in os.listdir(f"{tmp_path}/in") if f.endswith(".csv")]} == {"0.csv", "1.csv", "2.csv"}
+
+
+def test_intermediates_can_be_discarded(spark):
+    from crewcast.session import discard_intermediates, materialise
+
+    kept = materialise(spark.range(3), "gone")
+    folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file://"))
+    assert os.path.isdir(folder)
+    assert discard_intermediates(spark) >= 1
+    assert not os.path.exists(folder)

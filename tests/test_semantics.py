@@ -14,7 +14,7 @@ from crewcast import Params
 from crewcast.functions.dates import add_business_days, business_calendar
 from crewcast.functions.geo import cell, haversine_km, reachable_cells
 from crewcast.functions.text import contains_all, skill_set
-from crewcast.operators import clean, features, locks, matching, neighbours, overlay, triage
+from crewcast.operators import capacity, clean, features, locks, matching, neighbours, overlay, triage
 from crewcast.operators.ranking import spread_rank
 from crewcast.schemas import HOLIDAYS
 from tests import naive
@@ -293,3 +293,38 @@ def test_params_are_checked():
         Params(weekmask="0000000")
     with pytest.raises(ValueError):
         Params(calendar_start_year=2030)
+
+
+def test_calendar_follows_the_plan():
+    now = Params(as_of=dt.date(2024, 3, 4))
+    assert now.calendar_first <= dt.date(2024, 1, 1) and now.calendar_last > now.plan_end + dt.timedelta(days=366)
+    past = Params(as_of=dt.date(1980, 5, 5))
+    assert past.calendar_first <= dt.date(1980, 1, 1)
+    with pytest.raises(ValueError, match="job_start_buffer"):
+        Params(job_start_buffer=-1)
+
+
+def test_events_and_offsets_of_other_years_count(spark):
+    """The same tables, moved by whole weeks, give the same days moved by as much."""
+    shift = dt.timedelta(weeks=52 * 27)
+    found = []
+    for params in (Params(), Params(as_of=Params().as_of + shift)):
+        move = params.as_of - Params().as_of
+        start = dt.date(1998, 7, 3) + move
+        events = spark.createDataFrame(
+            [("c", None, None, None, start, start + dt.timedelta(days=2))],
+            "CustomerID string, SiteCode string, Market string, Region string, ValidFrom date, ValidUntil date",
+        )
+        days = sorted(r.day - move for r in locks.event_days(events, params).collect())
+        due = add_business_days(
+            spark.createDataFrame([(start,)], "d date"), "d", F.lit(7), "due", business_calendar(spark, params)
+        ).first()["due"]
+        found.append((days, due - move))
+    assert found[0] == found[1] and len(found[0][0]) == 3
+
+
+def test_vendor_columns_come_from_the_data(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "v string")
+    assert capacity.column_names(df, "v") == ["a", "b"]
+    with pytest.raises(ValueError, match="more than 1"):
+        capacity.column_names(df, "v", 1)
