@@ -181,6 +181,10 @@ def _described(docs: DataFrame, orders: Orders, least: tuple[int, int]) -> DataF
     return docs.select("id", "text").mapInArrow(describe, "id long, n long, digest binary, prefix array<long>")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-ends")
+
+
 def _sent(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (a written table) sent to every task if it is small, else joined as Spark sees fit."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -309,6 +313,26 @@ def _common(left: list[np.ndarray], right: list[np.ndarray], width: int = 1 << 1
     return out.astype(np.int64)
 
 
+def _likely(pairs: DataFrame, ends: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs that may be similar enough by the number of shingles that their prefixes share.
+
+    The prefix whose last shingle comes first in the order holds all that the pair shares
+    up to there, so the sets share no more than the prefixes do plus what is left of the
+    larger rest. Prefixes travel as 32 bits a shingle; equal ones of a prefix are given
+    back, so this can only keep more pairs.
+    """
+    short = F.transform("prefix", lambda h: F.shiftright(h, 32).cast("int"))
+    known = sets.select(F.col("uid").alias("node"), "n", short.alias("p")).join(_sent(ends), "node", "left_semi")
+    for side in ("b", "a"):
+        named = known.select(F.col("node").alias("_node"), F.col("n").alias(f"{side}_n"), F.col("p").alias(f"{side}_p"))
+        pairs = pairs.join(named, F.col(side) == F.col("_node")).drop("_node")
+    equal = [F.size(p) - F.size(F.array_distinct(p)) for p in ("a_p", "b_p")]
+    shared = F.size(F.array_intersect("a_p", "b_p")) + equal[0] + equal[1]
+    most = shared + F.greatest(F.col("a_n") - F.size("a_p"), F.col("b_n") - F.size("b_p"))
+    enough = least[1] * most >= least[0] * (F.col("a_n") + F.col("b_n") - most)
+    return materialise(pairs.where(enough).select("a", "b"), "jaccard-likely")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
     """Pairs whose prefixes meet under every further order, and then whose whole sets are similar enough."""
     for side in ("b", "a"):
@@ -363,8 +387,8 @@ def similar_groups(
     holder; then, where holders are still in different components, all pairs of up to
     ``CROWD`` holders, and for more holders all pairs within pairs of blocks, whose rows
     stay inside the tasks. A pair left out lies within a component already, so the
-    components are those of all links. The other two orders are intersected before whole
-    sets are compared.
+    components are those of all links. Pairs whose prefixes share too few shingles go, the
+    other two orders are intersected, and then whole sets are compared.
 
     Hashes of shingles have 64 bits and digests of sets 128; equal ones count as equal.
 
@@ -397,7 +421,8 @@ def similar_groups(
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        ends = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-ends")
+        pairs = _likely(pairs, _ends(pairs), firsts, least)
+        ends = _ends(pairs)
         if texts is None:
             texts = here = _texts(rows, nodes.join(ends, "node", "left_semi"), repeated)
         else:
