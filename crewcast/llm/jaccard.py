@@ -364,7 +364,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, repeated: bool) -> DataFrame:
     """(node, text) of nodes, one document for each: that with the node's id whose set has its digest."""
     wanted = materialise(nodes.select("node", "digest", F.col("id").alias("_id")), "jaccard-wanted")
     found = docs.join(_sent(wanted), F.col("id") == F.col("_id")).select("node", "digest", "text")
-    if repeated:  # rows that repeat an id may have other texts
+    if repeated:  # rows that repeat an id may have other texts or blank ones
         found = found.mapInArrow(_right_texts, "node long, digest binary, text string").dropDuplicates(["node"])
     return materialise(found.select("node", "text"), "jaccard-texts")
 
@@ -412,7 +412,7 @@ def similar_groups(
     ends = ends.where("lo.node != hi").drop("hi")
     shared = materialise(postings.join(ends.hint("shuffle_hash"), "token"), "jaccard-shared")
 
-    repeated = not full.groupBy("id").count().where("count > 1").isEmpty()
+    repeated = not sets.where("id IS NOT NULL").groupBy("id").count().where("count > 1").isEmpty()
     links, tried, texts = None, None, None
 
     def tell(pairs: DataFrame) -> DataFrame:
@@ -424,10 +424,10 @@ def similar_groups(
         pairs = _likely(pairs, _ends(pairs), firsts, least)
         ends = _ends(pairs)
         if texts is None:
-            texts = here = _texts(rows, nodes.join(ends, "node", "left_semi"), repeated)
+            texts = here = _texts(filled, nodes.join(ends, "node", "left_semi"), repeated)
         else:
             more = ends.join(texts.select("node"), "node", "left_anti")
-            texts = texts.unionByName(_texts(rows, nodes.join(more, "node", "left_semi"), repeated))
+            texts = texts.unionByName(_texts(filled, nodes.join(more, "node", "left_semi"), repeated))
             here = texts.join(_sent(ends), "node", "left_semi")
         found = materialise(_links(pairs, here, orders, least), "jaccard-links")
         links = found if links is None else links.unionByName(found)
@@ -440,7 +440,7 @@ def similar_groups(
     if not crowded.isEmpty():
         placed, pairs = _blocks(crowded)
         more = nodes.join(placed.join(texts.select("node"), "node", "left_anti"), "node", "left_semi")
-        texts = texts.unionByName(_texts(rows, more, repeated))
+        texts = texts.unionByName(_texts(filled, more, repeated))
         found = _block_links(placed, pairs, texts, orders, least)
         labels = materialise(label_nodes(links.unionByName(found)), "jaccard-labels")
 

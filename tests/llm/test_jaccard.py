@@ -64,6 +64,19 @@ def test_against_all_pairs(documents, monkeypatch, crowd, block):
     assert sorted({r["doc_id"] for r in kept.collect() if r["doc_id"] is not None}) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("crowd, block", [(16, 128), (1, 8)])
+@pytest.mark.parametrize("blank", [None, "", " \n "])
+def test_ids_with_a_blank_row(documents, monkeypatch, crowd, block, blank):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "BLOCK_NODES", block)
+    words = [f"w{i}" for i in range(60)]
+    copies = [(i, " ".join([*words[:59], f"x{i}"])) for i in range(5, 9)]
+    blanks = [(i, blank) for i, _ in copies]
+    got = jaccard.similar_groups(documents([*blanks, *copies, *blanks])).collect()
+    want = [(i, 0, i) for i, _ in blanks * 2] + [(i, 56, 5) for i, _ in copies]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_prefixes_of_similar_sets_meet():
     rng = random.Random(8)
     often = jaccard.np.arange(1, 40, dtype=jaccard.np.uint64)
