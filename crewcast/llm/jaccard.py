@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crewcast.llm.common import fresh
 from crewcast.operators.components import label_nodes
 from crewcast.session import materialise
 
@@ -162,23 +163,24 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 
 def _described(docs: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
-    """(id, n, digest of the set, prefix in the first order) of every row."""
+    """(uid, id, n, digest of the set, prefix in the first order) of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for b in batches:
-            sets = [shingles(t.as_py() or "", hasher) for t in b.column(1)]
+            sets = [shingles(t.as_py() or "", hasher) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),
+                    b.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                     _lists([orders.prefix(s, 0, least) for s in sets]),
                 ],
-                ["id", "n", "digest", "prefix"],
+                ["uid", "id", "n", "digest", "prefix"],
             )
 
-    return docs.select("id", "text").mapInArrow(describe, "id long, n long, digest binary, prefix array<long>")
+    return docs.select("uid", "id", "text").mapInArrow(describe, "uid long, id long, n long, digest binary, prefix array<long>")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -398,13 +400,24 @@ def similar_groups(
     cast to long; other columns are not read; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sets, classes = _classes(rows.withColumn("uid", F.monotonically_increasing_id()), least)
+    out = sets.join(classes, "digest", "left")
+    group = F.when(F.col("id").isNotNull(), F.coalesce("group_id", "id"))
+    return out.select("id", F.col("n").alias("n_shingles"), group.alias("component_id"))
+
+
+def _classes(rows: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """(uid, id, n, digest) of every row, and (digest, group_id, group_uid) of every distinct set with an id.
+
+    The last two are those of the row that stands first in the set's group: the smallest
+    id and, of its rows in the group, the smallest uid.
+    """
     filled = rows.where("id IS NOT NULL AND text IS NOT NULL")
     orders = frequent_shingles(filled)
-    described = _described(rows, orders, least).withColumn("uid", F.monotonically_increasing_id())
-    sets = materialise(described, "jaccard-sets")
+    sets = materialise(_described(rows, orders, least), "jaccard-sets")
     full = sets.where("id IS NOT NULL AND digest IS NOT NULL")
-    nodes = full.groupBy("digest").agg(F.min("uid").alias("node"), F.min("id").alias("least_id"), F.min(F.struct("uid", "id")).alias("first"))
-    nodes = materialise(nodes.select("digest", "node", "least_id", F.col("first.id").alias("id")), "jaccard-classes")
+    nodes = full.groupBy("digest").agg(F.min(F.struct("uid", "id")).alias("first"), F.min(F.struct("id", "uid")).alias("head"))
+    nodes = materialise(nodes.select("digest", F.col("first.uid").alias("node"), F.col("first.id").alias("id"), "head"), "jaccard-classes")
     copies = full.select("digest", "uid").join(nodes.select("digest", "node"), "digest").where("uid != node").select("uid")
     firsts = full.join(_sent(materialise(copies, "jaccard-copies")), "uid", "left_anti")
     postings = firsts.select(F.explode("prefix").alias("token"), F.col("uid").alias("node"), "n").repartition("token")
@@ -446,19 +459,23 @@ def similar_groups(
 
     known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = known.join(labels.select(F.col("node").alias("_n")), F.col("node") == F.col("_n"), "left_semi")
-    smallest = smallest.groupBy("label").agg(F.min("least_id").alias("group_id"))
-    classes = known.join(smallest, "label", "left").select("digest", F.coalesce("group_id", "least_id").alias("group_id"))
-    out = sets.join(classes, "digest", "left")
-    group = F.when(F.col("id").isNotNull(), F.coalesce("group_id", "id"))
-    return out.select("id", F.col("n").alias("n_shingles"), group.alias("component_id"))
+    smallest = smallest.groupBy("label").agg(F.min("head").alias("group"))
+    classes = known.join(smallest, "label", "left").withColumn("head", F.coalesce("group", "head"))
+    return sets, classes.select("digest", F.col("head.id").alias("group_id"), F.col("head.uid").alias("group_uid"))
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those whose group has a smaller id; all columns stay.
+    """One row of each group: one with the group's smallest id; all columns stay.
 
-    Rows with a null id stay.
+    Rows are told apart by a number of their own, not by their id: of rows that repeat an
+    id and are alike one stays, and each of those in different groups counts for its own
+    group. Rows with a null id and rows without words stay.
     """
-    groups = similar_groups(docs, id_col=id_col, text_col=text_col)
-    extra = groups.where("id != component_id").select(F.col("id").alias("_extra_id")).distinct()
-    extra = _sent(materialise(extra, "jaccard-extra"))
-    return docs.join(extra, docs[id_col].cast("long") == F.col("_extra_id"), "left_anti")
+    uid, other = fresh(docs, "_uid", "_other")
+    stored = materialise(docs.withColumn(uid, F.monotonically_increasing_id()), "jaccard-documents")
+    rows = stored.select(F.col(uid).alias("uid"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sets, classes = _classes(rows, LEAST)
+    kept = classes.select(F.col("group_uid").alias("uid")).distinct()
+    extra = sets.where("id IS NOT NULL AND digest IS NOT NULL").join(kept, "uid", "left_anti")
+    extra = _sent(materialise(extra.select(F.col("uid").alias(other)), "jaccard-extra"))
+    return stored.join(extra, F.col(uid) == F.col(other), "left_anti").drop(uid)

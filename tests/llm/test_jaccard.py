@@ -77,6 +77,15 @@ def test_ids_with_a_blank_row(documents, monkeypatch, crowd, block, blank):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_one_row_of_each_group(documents):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:59], "x"])
+    rows = [(3, text, "a"), (3, text, "b"), (9, near, "c"), (9, "a clean text of six words", "d")]
+    rows += [(9, "another clean text of some words", "e"), (9, None, "f"), (9, "", "g"), (None, text, "h"), (None, text, "i")]
+    kept = sorted(r["source"] for r in jaccard.one_of_each(documents(rows)).collect())
+    assert kept in (list("adefghi"), list("bdefghi"))
+
+
 def test_prefixes_of_similar_sets_meet():
     rng = random.Random(8)
     often = jaccard.np.arange(1, 40, dtype=jaccard.np.uint64)
