@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 
 from crewcast.session import materialise
 
-#: Rows of a block, queries of a batch, and blocks that one row of summaries holds.
-BLOCK_ROWS, BATCH_QUERIES, SUMMARY_BLOCKS = 1024, 512, 256
+#: Rows of a block, queries of a batch, and the summaries of blocks and batches that meet in one group, about.
+BLOCK_ROWS, BATCH_QUERIES, SUMMARY_BLOCKS, GROUP_BATCHES = 1024, 512, 256, 4
 
 PACKED = "ids binary, terms binary, starts binary, weights binary"
 
@@ -109,17 +109,20 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _plan(batches: DataFrame, blocks: DataFrame, floors: DataFrame | None, ahead: int) -> DataFrame:
     """(query, block) work: without floors each query's ``ahead`` most promising blocks, else all blocks whose bound reaches its floor.
 
-    Every batch of queries meets every row of summaries; a row holds many blocks, so the
-    summaries are what is read against the queries, not the blocks themselves.
+    Every batch of queries meets the summary of every block, not the block itself. A few
+    batches and some summaries make a group, so a group stays as large as it is and the
+    groups grow in number, with queries times blocks.
     """
-    summaries = blocks.select("number", "found", "low", "high", F.expr(f"xxhash64(number) % {1 << 20}").alias("h"))
     groups = max(1, -(-blocks.count() // SUMMARY_BLOCKS))
-    summaries = summaries.withColumn("g", F.pmod("h", F.lit(groups))).drop("h")
+    sides = max(1, -(-batches.count() // GROUP_BATCHES))
+    summaries = blocks.select("number", "found", "low", "high", F.pmod(F.xxhash64("number"), F.lit(groups)).alias("g"))
+    summaries = summaries.withColumn("s", F.explode(F.expr(f"sequence(0L, {sides - 1}L)")))
     asked = batches.select(F.col("number").alias("batch"), "ids", "terms", "starts", "weights")
     first = floors is None
     if not first:
         asked = asked.join(floors, "batch")
-    asked = asked.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked = asked.withColumn("s", F.pmod(F.xxhash64("batch"), F.lit(sides)))
+    asked = asked.withColumn("g", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
 
     def meet(_, left: Iterator[pa.RecordBatch], right: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [r for b in right for r in b.to_pylist()]
@@ -146,7 +149,7 @@ def _plan(batches: DataFrame, blocks: DataFrame, floors: DataFrame | None, ahead
                     yield pa.RecordBatch.from_arrays(columns, ["batch", "block", "places", "bounds"])
 
     schema = "batch long, block long, places binary, bounds binary"
-    return asked.groupBy("g").cogroup(summaries.groupBy("g")).applyInArrow(_whole(meet, schema), schema)
+    return asked.groupBy("s", "g").cogroup(summaries.groupBy("s", "g")).applyInArrow(_whole(meet, schema), schema)
 
 
 def _whole(function, schema: str):

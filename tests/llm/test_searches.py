@@ -33,6 +33,27 @@ def test_exact_top_k(spark, monkeypatch, k, ahead):
     assert sorted(map(tuple, got.select("query_id", "rank", "id", "score").collect())) == best(rows, queries, k)
 
 
+def test_groups_of_the_plan_do_not_grow(spark, monkeypatch):
+    for name, size in (("BLOCK_ROWS", 4), ("BATCH_QUERIES", 2), ("SUMMARY_BLOCKS", 8)):
+        monkeypatch.setattr(topk, name, size)
+    whole = topk._whole
+
+    def watched(function, schema):
+        apply = whole(function, schema)
+
+        def check(left, right):
+            assert left.num_rows <= 16 and right.num_rows <= 32, (left.num_rows, right.num_rows)
+            return apply(left, right)
+
+        return check
+
+    monkeypatch.setattr(topk, "_whole", watched)
+    rows = [(i, [(i % 5, 1 + i % 7), (5 + i % 3, 2)]) for i in range(200)]
+    frame = spark.createDataFrame(rows, SPARSE)
+    got = topk.top_k(frame, frame, 3)
+    assert sorted(map(tuple, got.select("query_id", "rank", "id", "score").collect())) == best(rows, rows, 3)
+
+
 def test_top_k_of_few_or_none(spark):
     rows = [(1, [(0, 2)]), (2, [(0, 1)])]
     frame = spark.createDataFrame(rows, SPARSE)
