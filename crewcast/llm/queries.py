@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import chat, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity
+from crewcast.llm import chat, collocations, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity
 from crewcast.llm.common import n_words, table
 from crewcast.llm.vectors import finite_vectors
 from crewcast.session import materialise
@@ -144,3 +144,9 @@ def op4_chat_format(spark, sf_dir):
         F.array_join("roles", ",").alias("roles"),
         "rendered",
     )
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    """The 2000 strongest phrases of two to five words of each language."""
+    return collocations.ranked(collocations.collocations(table(spark, sf_dir, "documents")))

@@ -83,4 +83,33 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
 
-SQL = {"op2_exact_top_k": OP2, "op1_mix_sources": OP1, "op8_secret_scan": OP8}
+OP11 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS m FROM s),
+f AS (SELECT lang, w[i : i + m - 1] AS words, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+longer AS (
+  SELECT lang, words, max(f) AS most FROM (
+    SELECT lang, words[1 : len(words) - 1] AS words, f FROM f WHERE len(words) > 2
+    UNION ALL SELECT lang, words[2 : len(words)], f FROM f WHERE len(words) > 2) GROUP BY ALL),
+c AS (
+  SELECT f.lang, f.words, f.f AS a, unnest(range(1, len(f.words))) AS k
+  FROM f LEFT JOIN longer USING (lang, words) WHERE len(f.words) > 1 AND coalesce(most, 0) < f.f),
+cuts AS (
+  SELECT c.*, x.f AS l, y.f AS r, n.n,
+         CAST((1000::HUGEINT * c.a * n.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.words = c.words[1 : k]
+  JOIN f y ON y.lang = c.lang AND y.words = c.words[k + 1 : len(c.words)] JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+o AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score FROM best)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM o QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+SQL = {"op2_exact_top_k": OP2, "op1_mix_sources": OP1, "op8_secret_scan": OP8, "op11_collocations": OP11}
