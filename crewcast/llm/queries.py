@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import chat, collocations, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity
+from crewcast.llm import chat, collocations, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity, whitening
 from crewcast.llm.common import n_words, table
 from crewcast.llm.vectors import finite_vectors
 from crewcast.session import materialise
@@ -150,3 +150,14 @@ def op4_chat_format(spark, sf_dir):
 def op11_collocations(spark, sf_dir):
     """The 2000 strongest phrases of two to five words of each language."""
     return collocations.ranked(collocations.collocations(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    """Up to 32 whitened components of every embedding."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = found.select("id", "n", "deviation", "explained", "identity_error", F.posexplode("w").alias("at", "whitened"))
+    return each.select(
+        F.col("id").alias("vec_id"), (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get("explained", F.col("at")).alias("explained"), "identity_error",
+    )
