@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm import chat, collocations, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity, whitening
+from crewcast.llm import chat, collocations, decontamination, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity, whitening
 from crewcast.llm.common import n_words, table
 from crewcast.llm.vectors import finite_vectors
 from crewcast.session import materialise
@@ -161,3 +161,16 @@ def op12_whitening(spark, sf_dir):
         F.col("id").alias("vec_id"), (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
         F.get("explained", F.col("at")).alias("explained"), "identity_error",
     )
+
+
+@query
+def op13_decontamination(spark, sf_dir):
+    """Words of every document that lie in ten-word windows of benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    counted = found.select("doc_id", "n_words", hit.alias("n_hit"), "items")
+    return counted.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )

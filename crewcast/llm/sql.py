@@ -112,4 +112,29 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM o QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
 """
 
-SQL = {"op2_exact_top_k": OP2, "op1_mix_sources": OP1, "op8_secret_scan": OP8, "op11_collocations": OP11}
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT item, w, least(10, len(w)) AS m FROM b WHERE len(w) > 0),
+i AS (SELECT item, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM s),
+x AS (SELECT DISTINCT item, m, array_to_string(w[k : k + m - 1], ' ') AS words FROM i),
+p AS (SELECT id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM x) WHERE len(w) >= m),
+h AS (SELECT p.id, p.k, p.m, x.item FROM p JOIN x ON x.m = p.m AND x.words = array_to_string(p.w[p.k : p.k + p.m - 1], ' ')),
+n AS (SELECT id, count(DISTINCT place) AS n_hit FROM (SELECT id, unnest(range(k, k + m)) AS place FROM h) GROUP BY id),
+o AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, item FROM h WHERE item IS NOT NULL) GROUP BY id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (id) LEFT JOIN o USING (id)
+"""
+
+SQL = {
+    "op1_mix_sources": OP1,
+    "op2_exact_top_k": OP2,
+    "op8_secret_scan": OP8,
+    "op11_collocations": OP11,
+    "op13_decontamination": OP13,
+}
