@@ -299,6 +299,19 @@ def _sorted(rows: np.ndarray, counts: np.ndarray | None, groups: np.ndarray | No
     return rows[at], summed, None if groups is None else groups[order][at]
 
 
+def _pack(rows: np.ndarray) -> bytes:
+    """Leaves column by column and byte by byte, compressed: sorted ids share their upper bytes."""
+    planes = np.ascontiguousarray(rows.T).view(np.uint8).reshape(DEPTH + 1, len(rows), 4).transpose(0, 2, 1)
+    return len(rows).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:4], "little")
+    size = (DEPTH + 1) * n * 4
+    planes = np.frombuffer(pa.decompress(packed[4:], size, "zstd", asbytes=True), np.uint8).reshape(DEPTH + 1, 4, n)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int32)[:, :, 0]
+
+
 def leaves(runs: DataFrame, partition: Partition) -> DataFrame:
     """(grp, leaves): distinct truncated suffixes with their counts, by group; equal ones of a task are counted there."""
 
@@ -310,8 +323,7 @@ def leaves(runs: DataFrame, partition: Partition) -> DataFrame:
             groups = partition.groups(rows)
             rows, counts, groups = _sorted(rows[groups >= 0], None, groups[groups >= 0])
             cuts = np.flatnonzero(np.diff(groups)) + 1 if len(groups) else np.zeros(0, np.int64)
-            packed = np.column_stack([rows, counts.astype(np.int32)])
-            parts = [p.T.tobytes() for p in np.split(packed, cuts)] if len(groups) else []
+            parts = [_pack(p) for p in np.split(np.column_stack([rows, counts.astype(np.int32)]), cuts)] if len(groups) else []
             firsts = groups[np.concatenate([[0], cuts])] if len(groups) else groups
             return pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array(parts, pa.binary())], ["grp", "leaves"])
 
@@ -334,8 +346,7 @@ def subtree(group: int, packed: list[bytes], least: int) -> pa.Table:
     Sorted leaves are the tree: a node is a run of leaves with the same first words, and
     its count the sum of theirs.
     """
-    parts = [np.frombuffer(x, np.int32).reshape(DEPTH + 1, -1) for x in packed]
-    both = np.concatenate(parts, 1)
+    both = np.concatenate([_unpack(x) for x in packed], 1)
     rows, totals, _ = _sorted(np.ascontiguousarray(both[:DEPTH].T), both[DEPTH].astype(np.int64), None)
     words, counts = [], []
     differ = np.zeros(len(rows), bool)
