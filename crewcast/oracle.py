@@ -231,6 +231,16 @@ fences AS (SELECT package_name AS g, quantile_disc(label, 0.25) AS q1, quantile_
 training AS (SELECT complete.* FROM complete JOIN fences ON package_name = g
   WHERE label BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))"""
 
+FOLDED = """
+folded AS (SELECT *, CAST(CAST('0x' || substr(md5('123:' || id), 1, 8) AS BIGINT) % 10 AS INT) AS fold FROM training)"""
+
+FITS = """
+fits AS (
+  SELECT f.fold, avg(latitude) AS mx, avg(longitude) AS mz, avg(label) AS my, stddev_pop(latitude) AS dx, stddev_pop(longitude) AS dz,
+    stddev_pop(label) AS dy, corr(latitude, longitude) AS c, corr(latitude, label) AS rx, corr(longitude, label) AS rz
+  FROM (SELECT DISTINCT fold FROM folded) f JOIN folded r ON r.fold <> f.fold GROUP BY 1
+)"""
+
 CAPACITY = """
 capacity AS (
   SELECT d.day, c.crew_name, CAST(-count(b.JobID) AS INT) AS capacity
@@ -326,6 +336,8 @@ BLOCKS: dict[str, tuple[str, tuple[str, ...]]] = {
     "placed": (PLACED, ("free",)),
     "placed_near": (PLACED_NEAR, ("free",)),
     "construction": (CONSTRUCTION, ("sites",)),
+    "folded": (FOLDED, ("construction",)),
+    "fits": (FITS, ("folded",)),
     "capacity": (CAPACITY, ("jobs", "crews")),
 }
 
@@ -400,6 +412,31 @@ QUERIES: dict[str, tuple[str, str]] = {
     "training_rows": ("construction", """SELECT id, region, market, package_name, latitude, longitude,
         CAST(label AS INT) AS label FROM training"""),
     "scoring_rows": ("construction", "SELECT id, region, market, site, customer FROM base"),
+    "fold_sizes": ("folded", "SELECT fold, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS days FROM folded GROUP BY 1"),
+    "code_correlations": ("construction", """SELECT a.k AS name_a, a.v AS value_a, b.k AS name_b, b.v AS value_b, p.s AS n_rows,
+          round((p.s / n - a.s / n * b.s / n) / sqrt(a.s / n * (1 - a.s / n) * (b.s / n) * (1 - b.s / n)), 9) AS correlation
+        FROM (SELECT 'region' AS ka, region AS va, 'market' AS kb, market AS vb, count(*) AS s FROM training GROUP BY ALL
+          UNION ALL SELECT 'region', region, 'package_name', package_name, count(*) FROM training GROUP BY ALL
+          UNION ALL SELECT 'market', market, 'package_name', package_name, count(*) FROM training GROUP BY ALL) p
+        JOIN (SELECT 'region' AS k, region AS v, CAST(count(*) AS DOUBLE) AS s FROM training GROUP BY ALL
+          UNION ALL SELECT 'market', market, count(*) FROM training GROUP BY ALL) a ON a.k = ka AND a.v = va
+        JOIN (SELECT 'market' AS k, market AS v, CAST(count(*) AS DOUBLE) AS s FROM training GROUP BY ALL
+          UNION ALL SELECT 'package_name', package_name, count(*) FROM training GROUP BY ALL) b ON b.k = kb AND b.v = vb,
+        (SELECT CAST(count(*) AS DOUBLE) AS n FROM training)"""),
+    "cv_ridge_two_numbers": ("fits", """SELECT r.fold, reg AS "regParam",
+          round(avg(abs(label - my - bx * dy / dx * (latitude - mx) - bz * dy / dz * (longitude - mz))), 6) AS mae
+        FROM (SELECT *, ((1 + reg / dy) * rx - c * rz) / ((1 + reg / dy) ** 2 - c ** 2) AS bx,
+            ((1 + reg / dy) * rz - c * rx) / ((1 + reg / dy) ** 2 - c ** 2) AS bz
+          FROM fits, (SELECT unnest([0.1::DOUBLE, 0.3::DOUBLE]) AS reg)) m JOIN folded r USING (fold) GROUP BY 1, 2"""),
+    "cv_elastic_net_one_number": ("fits", """SELECT r.fold, reg AS "regParam", alpha AS "elasticNetParam",
+          round(avg(abs(label - my - b * dy / dx * (latitude - mx))), 6) AS mae
+        FROM (SELECT *, sign(rx) * greatest(abs(rx) - reg / dy * alpha, 0) / (1 + reg / dy * (1 - alpha)) AS b
+          FROM fits, (SELECT unnest([0.1::DOUBLE, 0.3::DOUBLE, 5.0::DOUBLE]) AS reg),
+            (SELECT unnest([0.0::DOUBLE, 0.3::DOUBLE, 0.5::DOUBLE, 0.8::DOUBLE, 1.0::DOUBLE]) AS alpha)) m
+          JOIN folded r USING (fold) GROUP BY 1, 2, 3"""),
+    "saved_group_means": ("construction", """SELECT id AS "JobID", region, market, package_name, refresh_date,
+          round(coalesce(m, (SELECT avg(label) FROM training)), 6) AS "JobDurationML"
+        FROM base LEFT JOIN (SELECT package_name AS g, avg(label) AS m FROM training GROUP BY 1) ON package_name = g"""),
     "mae_by_group": ("construction", """SELECT market, round(avg(abs(m - label)), 6) AS mae FROM training
         JOIN (SELECT market AS g, avg(label) AS m FROM training GROUP BY 1) ON market = g GROUP BY 1"""),
     "job_start": ("jobs", "SELECT JobID, JobStart FROM filled"),

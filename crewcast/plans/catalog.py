@@ -15,7 +15,7 @@ from crewcast.functions.dates import add_business_days, business_calendar, day_r
 from crewcast.operators import capacity, clean, features, locks, matching, neighbours, overlay, slots, triage
 from crewcast.operators.joins import join_null_safe
 from crewcast.params import Params
-from crewcast.plans import forecast
+from crewcast.plans import forecast, moments
 from crewcast.plans.allocation import Inputs, allocate, allocation_overlay, prepared_crews, triaged_jobs
 from crewcast.session import materialise, scratch_path
 from crewcast.sources.readers import load_model, read_csv, read_holidays, read_planner_inputs
@@ -189,6 +189,56 @@ def _metrics(spark, folder, model):
     return forecast.fold_metrics(fitted, views.table(spark, folder, "region"))
 
 
+@query
+def fold_sizes(spark, folder):
+    """Rows and labels of each cross-validation fold."""
+    rows = moments.folded(features.training_rows(views.construction(spark, folder), PARAMS), PARAMS)
+    return rows.groupBy(F.col(moments.FOLD).alias("fold")).agg(F.count("*").alias("n_rows"), F.sum("label").alias("days"))
+
+
+@query
+def code_correlations(spark, folder):
+    """Standardised codes: correlation of each pair of category values, from sums of pairs."""
+    rows = moments.folded(features.training_rows(views.construction(spark, folder), PARAMS), PARAMS)
+    return moments.correlations(moments.cells(rows, PARAMS), PARAMS).select(
+        "name_a", "value_a", "name_b", "value_b", "n_rows", F.round("correlation", 9).alias("correlation")
+    )
+
+
+def _numbers_only(*names):
+    return dataclasses.replace(PARAMS, model="elastic_net", categorical_cols=(), numerical_cols=names, use_numeric=True)
+
+
+def _point_errors(spark, folder, params, grid):
+    rows = features.training_rows(views.construction(spark, folder), PARAMS)
+    return forecast.point_errors(forecast.train(rows, params, {"k": [None]} | grid), views.table(spark, folder, "region"))
+
+
+@query
+def cv_ridge_two_numbers(spark, folder):
+    """Errors by fold of ridge regressions on the site's coordinates."""
+    found = _point_errors(spark, folder, _numbers_only("latitude", "longitude"), {"elasticNetParam": [0.0]})
+    return found.select("fold", "regParam", F.round("mae", 6).alias("mae"))
+
+
+@query
+def cv_elastic_net_one_number(spark, folder):
+    """Errors by fold of every elastic net of the grid on one coordinate; stronger ones, too, that leave nothing of it."""
+    grid = {"regParam": [0.1, 0.3, 5.0], "elasticNetParam": forecast.GRIDS["elastic_net"]["elasticNetParam"]}
+    found = _point_errors(spark, folder, _numbers_only("latitude"), grid)
+    return found.select("fold", "regParam", "elasticNetParam", F.round("mae", 6).alias("mae"))
+
+
+@query
+def saved_group_means(spark, folder):
+    """Open rows scored by a saved and reloaded model, the mean of the work package."""
+    rows = materialise(features.training_rows(views.construction(spark, folder), PARAMS), "training")
+    path = scratch_path(spark, "model")
+    save_model(forecast.group_mean_model(rows, "package_name"), path)
+    scored = forecast.score(load_model(path), features.scoring_rows(views.construction(spark, folder)), PARAMS)
+    return scored.select("JobID", "region", "market", "package_name", "refresh_date", F.round("JobDurationML", 6).alias("JobDurationML"))
+
+
 @query
 def cv_elastic_net(spark, folder):
     return _metrics(spark, folder, "elastic_net")

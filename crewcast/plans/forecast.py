@@ -9,12 +9,14 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.params import Params
+from crewcast.plans import moments
+from crewcast.plans.moments import LinearCodes
 
 # The search grid of each model. "k" is the number of principal components.
 GRIDS: dict[str, dict[str, list]] = {
@@ -42,10 +44,6 @@ def grid_points(params: Params, grid: dict[str, Sequence] | None = None) -> list
     return [dict(zip(values, chosen)) for chosen in product(*values.values())]
 
 
-def _numbers(params: Params) -> list[str]:
-    return list(params.numerical_cols) if params.use_numeric else []
-
-
 def encoded(rows: DataFrame, params: Params) -> list[Transformer]:
     """Fitted stages that index and one-hot encode the categories and assemble ``features``.
 
@@ -56,59 +54,18 @@ def encoded(rows: DataFrame, params: Params) -> list[Transformer]:
     index = StringIndexer(inputCols=names, outputCols=[f"{c}_index" for c in names], handleInvalid="keep").fit(rows)
     onehot = OneHotEncoder(inputCols=index.getOutputCols(), outputCols=[f"{c}_dummy" for c in names])
     onehot = onehot.fit(index.transform(rows))
-    return [index, onehot, VectorAssembler(inputCols=onehot.getOutputCols() + _numbers(params), outputCol="features")]
+    return [index, onehot, VectorAssembler(inputCols=onehot.getOutputCols() + moments.numbers_of(params), outputCol="features")]
 
 
-def principal_components(rows: DataFrame, params: Params, most: int) -> SQLTransformer:
-    """A stage that adds ``pc0``, ``pc1``, ... : the standardised codes on their first components.
+def principal_components(rows: DataFrame, params: Params, most: int) -> LinearCodes:
+    """A stage that adds ``pc0``, ``pc1``, ... : the standardised codes on their first components."""
+    one = rows.select(F.lit(0).alias(moments.FOLD), F.lit(0.0).alias("label"), *params.categorical_cols, *moments.numbers_of(params))
+    sums = moments.sums_of(moments.cells(one, params), params)
+    return _components_stage(sums.whole(), sums.keys, params, most)
 
-    The moments of the codes follow from counts per combination of categories, so the
-    correlation matrix needs one grouped pass. Its eigenvectors are found for a symmetric
-    matrix, which converges whatever its rank: codes of one category always sum to one.
-    A component of a row is a constant plus one looked-up number for each category.
-    """
-    names, numbers = list(params.categorical_cols), _numbers(params)
-    pairs = [(x, y) for i, x in enumerate(numbers) for y in numbers[i:]]
-    sums = [F.sum(x).alias(f"s_{x}") for x in numbers] + [F.sum(F.col(x) * F.col(y)).alias(f"s_{x}_{y}") for x, y in pairs]
-    cells = rows.groupBy(*names).agg(F.count("*").alias("n_rows"), *sums).collect()  # as many as combinations
-    known = {c: sorted({r[c] for r in cells if r[c] is not None}) for c in names}
-    place = {key: i for i, key in enumerate([(c, v) for c in names for v in known[c]] + numbers)}
-    size, total = len(place), sum(r["n_rows"] for r in cells)
-    first, second = np.zeros(size), np.zeros((size, size))
-    for r in cells:
-        at = [place[c, r[c]] for c in names if r[c] is not None]
-        first[at] += r["n_rows"]
-        second[np.ix_(at, at)] += r["n_rows"]
-        for x in numbers:
-            first[place[x]] += r[f"s_{x}"] or 0.0
-            second[at, place[x]] += r[f"s_{x}"] or 0.0
-            second[place[x], at] += r[f"s_{x}"] or 0.0
-        for x, y in pairs:
-            second[place[x], place[y]] += r[f"s_{x}_{y}"] or 0.0
-            second[place[y], place[x]] = second[place[x], place[y]]
-    mean = first / max(total, 1)
-    covariance = (second - total * np.outer(mean, mean)) / max(total - 1, 1)
-    spread = np.sqrt(np.maximum(covariance.diagonal(), 0.0))
-    scale = np.divide(1.0, spread, out=np.zeros(size), where=spread > 1e-12)
-    _, vectors = np.linalg.eigh(covariance * np.outer(scale, scale))
-    vectors = vectors[:, ::-1][:, :most]
-    vectors = vectors * np.where(vectors[np.abs(vectors).argmax(0), range(vectors.shape[1])] < 0, -1.0, 1.0)
-    weights = vectors * scale[:, None]
-
-    def text(value: str) -> str:
-        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    columns = []
-    for i in range(most):
-        w = weights[:, i] if i < weights.shape[1] else np.zeros(size)
-        parts = [repr(float(-(mean @ w))) + "D"]
-        for c in names:
-            if known[c]:
-                entries = ", ".join(f"{text(v)}, {float(w[place[c, v]])!r}D" for v in known[c])
-                parts.append(f"coalesce(try_element_at(map({entries}), `{c}`), 0D)")
-        parts += [f"{float(w[place[x]])!r}D * `{x}`" for x in numbers]
-        columns.append(f"{' + '.join(parts)} AS pc{i}")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+
+def _components_stage(sums: np.ndarray, keys: list, params: Params, most: int) -> LinearCodes:
+    return LinearCodes.of([f"pc{i}" for i in range(most)], params, keys, moments.components(sums, most))
 
 
 @dataclass(frozen=True)
@@ -134,6 +91,47 @@ class Fitted:
         return self.best.write()
 
 
+def train(rows: DataFrame, params: Params, grid: dict[str, Sequence] | None = None) -> Fitted:
+    """Cross-validated search, then a fit of the best grid point on all rows.
+
+    A row's fold is a hash of its id (of its columns where there is none), so folds do
+    not move with the partitioning.
+    """
+    points = grid_points(params, grid)
+    kept = moments.folded(rows, params)
+    return _train_linear(kept, points, params) if params.model == "elastic_net" else _train_trees(kept, points, params)
+
+
+def _best(errors: np.ndarray) -> int:
+    known = np.isfinite(errors).any(0)
+    return int(np.argmin(np.where(known, np.nanmean(np.where(known, errors, 0.0), axis=0), np.inf))) if known.any() else 0
+
+
+def _train_linear(kept: DataFrame, points: list[dict], params: Params) -> Fitted:
+    """All fits of the grid from the sums of each fold: the rows are counted once, and their counts read twice."""
+    counted = moments.cells(kept, params)
+    sums = moments.sums_of(counted, params)
+    most = max((p.get("k") or 0 for p in points), default=0)
+
+    def fits(matrix: np.ndarray, chosen: list[dict]) -> moments.Linear:
+        every = moments.components(matrix, most) if most else None
+        found = []
+        for p in chosen:
+            k = p.get("k")
+            outputs = moments.Linear(every.constant[:k], every.weights[:, :k]) if k else None
+            found.append(moments.elastic_net(matrix, p["regParam"], p["elasticNetParam"], outputs))
+        return moments.Linear(np.concatenate([f.constant for f in found]), np.concatenate([f.weights for f in found], 1))
+
+    errors = np.full((params.folds, len(points)), np.nan)
+    if len(sums.folds) > 1:
+        models = {k: fits(sums.without(k), points) for k in sums.folds}
+        for r in moments.fold_errors(counted, params, sums.keys, models).collect():  # folds times grid points
+            errors[r["fold"], r["point"]] = r["mae"]
+    best = points[_best(errors)]
+    stage = LinearCodes.of(["prediction"], params, sums.keys, fits(sums.whole(), [best]))
+    return Fitted(PipelineModel([stage]), points, errors)
+
+
 def _regressor(point: dict, params: Params):
     regressor = _REGRESSORS[params.model](featuresCol="features")
     if regressor.hasParam("seed"):
@@ -144,57 +142,58 @@ def _regressor(point: dict, params: Params):
     return regressor
 
 
-class _Prepared:
-    """Encoding fitted once on some rows, and what each grid point adds to it."""
+def _sliced(point: dict) -> list[Transformer]:
+    """What a grid point adds to the fold's encoding: the first components as a vector."""
+    return [VectorAssembler(inputCols=[f"pc{i}" for i in range(point["k"])], outputCol="features")] if "k" in point else []
 
-    def __init__(self, rows: DataFrame, points: list[dict], params: Params):
-        most = max((p["k"] for p in points if "k" in p), default=0)
-        self.stages = [principal_components(rows, params, most)] if most else encoded(rows, params)
 
-    def more(self, point: dict) -> list[Transformer]:
-        if "k" not in point:
-            return []
-        return [VectorAssembler(inputCols=[f"pc{i}" for i in range(point["k"])], outputCol="features")]
+def _train_trees(kept: DataFrame, points: list[dict], params: Params) -> Fitted:
+    """Fits of each fold one after the other, ``parallelism`` folds at a time; the encoding is fitted once for a fold.
 
-    def transform(self, rows: DataFrame) -> DataFrame:
-        return PipelineModel(self.stages).transform(rows)
+    Components come from the sums of all folds, which are read off the rows once.
+    """
+    most = max((p.get("k") or 0 for p in points), default=0)
+    sums = moments.sums_of(moments.cells(kept, params), params) if most else None
 
+    def stages(known: DataFrame, fold: int | None) -> list[Transformer]:
+        if not most:
+            return encoded(known, params)
+        return [_components_stage(sums.whole() if fold is None else sums.without(fold), sums.keys, params, most)]
 
-def train(rows: DataFrame, params: Params, grid: dict[str, Sequence] | None = None) -> Fitted:
-    """Cross-validated search, then a fit of the best grid point on all rows.
+    def seen(rows: DataFrame, prepared: list[Transformer]) -> DataFrame:
+        columns = [f"pc{i}" for i in range(most)] or ["features"]
+        return PipelineModel(prepared).transform(rows).select("label", *columns)
 
-    A row's fold is a hash of its id (of the whole row where there is none), so folds do
-    not move with the partitioning. The encoding is fitted once per fold and shared by all
-    grid points, of which ``parallelism`` are fitted at a time.
-    """
-    points = grid_points(params, grid)
-    named = ["id"] if "id" in rows.columns else ["label", *params.categorical_cols, *params.numerical_cols]
-    fold = F.pmod(F.xxhash64(F.lit(params.seed), *named), F.lit(params.folds)).alias("_fold")
-    kept = rows.select("label", *params.categorical_cols, *params.numerical_cols, fold).persist()
+    kept = kept.persist()
     errors = np.full((params.folds, len(points)), np.nan)
+
+    def fold_errors(fold: int) -> list[float] | None:
+        known, unseen = kept.where(F.col(moments.FOLD) != fold), kept.where(F.col(moments.FOLD) == fold)
+        if known.isEmpty() or unseen.isEmpty():
+            return None
+        prepared = stages(known, fold)
+        known, unseen = seen(known, prepared).persist(), seen(unseen, prepared).persist()
+        try:
+            out = []
+            for point in points:
+                shape = PipelineModel(_sliced(point)).transform
+                model = _regressor(point, params).fit(shape(known))
+                out.append(mean_absolute_error(model.transform(shape(unseen)), "prediction", "label").first()["mae"])
+            return out
+        finally:
+            known.unpersist()
+            unseen.unpersist()
+
     try:
         with ThreadPool(params.parallelism) as pool:
-            for k in range(params.folds):
-                known, unseen = kept.where(F.col("_fold") != k), kept.where(F.col("_fold") == k)
-                if known.isEmpty() or unseen.isEmpty():
-                    continue
-                prepared = _Prepared(known, points, params)
-                known, unseen = prepared.transform(known).persist(), prepared.transform(unseen).persist()
-
-                def error(point: dict) -> float:
-                    shape = PipelineModel(prepared.more(point)).transform
-                    model = _regressor(point, params).fit(shape(known))
-                    found = mean_absolute_error(model.transform(shape(unseen)), "prediction", "label").first()
-                    return found["mae"]
-
-                errors[k] = pool.map(error, points)
-                known.unpersist()
-                unseen.unpersist()
-        best = points[int(np.nanargmin(np.nanmean(errors, axis=0)))] if np.isfinite(errors).any() else points[0]
-        prepared = _Prepared(kept, [best], params)
-        stages = [*prepared.stages, *prepared.more(best)]
-        model = _regressor(best, params).fit(PipelineModel(stages).transform(kept))
-        return Fitted(PipelineModel([*stages, model]), points, errors)
+            for fold, found in enumerate(pool.map(fold_errors, range(params.folds), chunksize=1)):
+                if found is not None:
+                    errors[fold] = found
+        best = points[_best(errors)]
+        prepared = stages(kept, None)
+        shaped = PipelineModel(_sliced(best)).transform(seen(kept, prepared))
+        model = _regressor(best, params).fit(shaped)
+        return Fitted(PipelineModel([*prepared, *_sliced(best), model]), points, errors)
     finally:
         kept.unpersist()
 
@@ -208,6 +207,16 @@ def fold_metrics(model: Fitted, rows: DataFrame) -> DataFrame:
     return rows.sparkSession.createDataFrame(points, "grid_point int, settings string, mae double, mae_std double")
 
 
+def point_errors(model: Fitted, rows: DataFrame) -> DataFrame:
+    """A row for each fold and grid point: its settings and the mean absolute error there."""
+    names = [n for n in model.points[0] if n != "k" or model.points[0]["k"] is not None]
+    found = [
+        (fold, *[float(point[n]) for n in names], float(model.errors[fold, i]))
+        for fold in range(len(model.errors)) for i, point in enumerate(model.points) if np.isfinite(model.errors[fold, i])
+    ]
+    return rows.sparkSession.createDataFrame(found, ", ".join(["fold int", *[f"{n} double" for n in names], "mae double"]))
+
+
 def best_stage(model: Fitted) -> str:
     """The chosen regressor, as text."""
     return str(model.best.stages[-1])
@@ -224,6 +233,16 @@ def mean_absolute_error(df: DataFrame, prediction: str, label: str, *groups: str
     return df.groupBy(*groups).agg(F.avg(F.abs(F.col(prediction) - F.col(label))).alias("mae"))
 
 
+def group_mean_model(rows: DataFrame, group: str) -> PipelineModel:
+    """A model that predicts the mean label of the row's group, and the mean of all rows for a group it does not know."""
+    found = rows.groupBy(group).agg(F.sum("label").alias("s"), F.count("*").alias("n")).collect()  # a row for each group
+    mean = sum(r["s"] for r in found) / max(sum(r["n"] for r in found), 1)
+    keys = [(f"code:{group}", r[group]) for r in found if r[group] is not None]
+    weights = np.array([[r["s"] / r["n"] - mean] for r in found if r[group] is not None]).reshape(-1, 1)
+    params = Params(categorical_cols=(group,), numerical_cols=())
+    return PipelineModel([LinearCodes.of(["prediction"], params, keys, moments.Linear(np.array([mean]), weights))])
+
+
 def group_mean_prediction(df: DataFrame, group: str, label: str = "label") -> DataFrame:
     """A baseline: the mean label of the row's group."""
     means = df.groupBy(F.col(group).alias("_g")).agg(F.avg(label).alias("prediction"))
