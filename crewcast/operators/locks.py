@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import product
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.functions.dates import day_range
 from crewcast.params import Params
-from crewcast.session import materialise
 
 SITE = ("customer_id", "SiteCode")
 
@@ -39,60 +38,70 @@ def event_days(events: DataFrame, params: Params) -> DataFrame:
     return day_range(intervals, "_from", "_until").select(*scopes, "day").distinct()
 
 
-def _scopes():
-    """The equi-join cases that together make up the scope rule.
+#: Kinds of places that an event may name besides customer and site; None: no place.
+_PLACES = ("market", "region", None)
+
+#: Copies of the keys that name neither a customer nor a site: few rows that most sites look up.
+_COPIES = 32
+
+
+def _kinds() -> list[tuple[bool, bool, str | None]]:
+    """(customer named, site named, place): the cases that together make up the scope rule.
 
     An event names a customer, a site or neither (null is a wildcard), and matches on
     market, on region, or names no place at all. Customer and site both named match
     whatever the place.
     """
-    yield ("x_customer", "x_site"), ("customer_id", "SiteCode"), ()
-    for customer, site in product((True, False), repeat=2):
-        if customer and site:
-            continue
-        for place in ("market", "region", None):
-            left, right, null = [], [], []
-            (left if customer else null).append("x_customer")
-            (left if site else null).append("x_site")
-            right += (["customer_id"] if customer else []) + (["SiteCode"] if site else [])
-            if place:
-                left.append(f"x_{place}")
-                right.append(place.capitalize())
-            else:
-                null += ["x_market", "x_region"]
-            yield tuple(left), tuple(right), tuple(null)
+    return [(True, True, None)] + [(c, s, p) for c, s in ((True, False), (False, True), (False, False)) for p in _PLACES]
+
+
+def _key(kind: int, customer: Column | None, site: Column | None, place: Column | None, copy: Column) -> Column:
+    none = F.lit(None).cast("string")
+    named = {"customer": customer, "site": site, "place": place}
+    parts = [F.coalesce(none if c is None else c, F.lit("")).alias(n) for n, c in named.items()]
+    return F.struct(F.lit(kind).alias("kind"), *parts, copy.cast("int").alias("copy"))
+
+
+def event_keys(days: DataFrame) -> DataFrame:
+    """``(key, days)``: the day set of every key that events lock, kinds told apart by a tag."""
+    keys = []
+    for kind, (customer, site, place) in enumerate(_kinds()):
+        named = [F.col(f"x_{c}") for c, on in (("customer", customer), ("site", site)) if on]
+        if place:
+            named.append(F.col(f"x_{place}"))
+        nulls = [F.col(f"x_{c}") for c, on in (("customer", customer), ("site", site)) if not on]
+        if not place and not (customer and site):
+            nulls += [F.col("x_market"), F.col("x_region")]
+        fits = reduce(lambda a, b: a & b, [c.isNotNull() for c in named] + [c.isNull() for c in nulls])
+        key = _key(kind, F.col("x_customer") if customer else None, F.col("x_site") if site else None, F.col(f"x_{place}") if place else None, F.lit(0))
+        keys.append(F.when(fits, key))
+    tagged = days.select("day", F.explode(F.array_compact(F.array(*keys))).alias("key"))
+    sets = tagged.groupBy("key").agg(F.collect_set("day").alias("days"))  # at most the days of the calendar
+    wide = F.col("key.customer").eqNullSafe("") & F.col("key.site").eqNullSafe("") & ~F.col("key.kind").isin(0)
+    copies = F.when(wide, F.sequence(F.lit(0), F.lit(_COPIES - 1))).otherwise(F.array(F.lit(0)))
+    copied = sets.withColumn("_copy", F.explode(copies))
+    return copied.select(F.col("key").withField("copy", F.col("_copy")).alias("key"), "days")
 
 
 def event_locks(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame:
     """``(customer_id, SiteCode, day)`` locked by events.
 
-    Works on distinct sites. Each case reduces its events to one day set per key (at
-    most one entry per calendar day) and looks it up by key, so neither events times
-    sites nor repeated events per key reach a join.
+    Each site is listed under the ten keys that may lock it and joined once with the day
+    sets of the keys. The keys that most sites share (a place, or everywhere) are few, so
+    each has some copies, and a site looks up one of them by a hash of its own.
     """
-    days = materialise(event_days(events, params), "event_days")  # looked at once per case
     sites = jobs.select(*SITE, "Market", "Region").distinct()
-    found = []
-    for i, (left, right, null) in enumerate(_scopes()):
-        kept = days
-        for c in left:
-            kept = kept.where(F.col(c).isNotNull())
-        for c in null:
-            kept = kept.where(F.col(c).isNull())
-        if not left:  # a worldwide event: one day set for all sites
-            everywhere = kept.agg(F.collect_set("day")).scalar()
-            continue
-        name = f"_days{i}"
-        per_key = kept.groupBy(*[F.col(c).alias(f"_k{i}_{c}") for c in left]).agg(
-            F.collect_set("day").alias(name)
-        )
-        condition = F.lit(True)
-        for c, d in zip(left, right, strict=True):
-            condition = condition & (F.col(d) == F.col(f"_k{i}_{c}"))
-        sites = sites.join(per_key, condition, "left").drop(*[f"_k{i}_{c}" for c in left])
-        found.append(F.coalesce(F.col(name), F.array().cast("array<date>")))
-    merged = sites.select(*SITE, F.explode(F.array_distinct(F.concat(everywhere, *found))).alias("day"))
-    return merged.distinct()
+    spread = F.pmod(F.xxhash64(*SITE), F.lit(_COPIES))
+    keys = []
+    for kind, (customer, site, place) in enumerate(_kinds()):
+        named = [F.col(c) for c, on in (("customer_id", customer), ("SiteCode", site)) if on] + ([F.col(place.capitalize())] if place else [])
+        fits = reduce(lambda a, b: a & b, [c.isNotNull() for c in named], F.lit(True))
+        copy = spread if not customer and not site else F.lit(0)
+        key = _key(kind, F.col("customer_id") if customer else None, F.col("SiteCode") if site else None, F.col(place.capitalize()) if place else None, copy)
+        keys.append(F.when(fits, key))
+    listed = sites.select(*SITE, F.explode(F.array_compact(F.array(*keys))).alias("key"))
+    found = listed.join(event_keys(event_days(events, params)), "key")
+    return found.select(*SITE, F.explode("days").alias("day")).distinct()
 
 
 def lock_table(jobs: DataFrame, events: DataFrame, weather: DataFrame, params: Params) -> DataFrame:

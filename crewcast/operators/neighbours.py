@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.functions.geo import cell, haversine_km, reachable_cells
+from crewcast.session import materialise
 
 
 def located_sites(jobs: DataFrame) -> DataFrame:
@@ -17,28 +18,44 @@ def located_sites(jobs: DataFrame) -> DataFrame:
     )
 
 
+#: Sites of one customer in a cell that one key holds; a more crowded cell is cut into parts.
+CELL_SITES = 512
+
+
+def crowded_cells(placed: DataFrame) -> DataFrame:
+    """``(customer_id, cell, parts)`` of the cells with more than ``CELL_SITES`` sites."""
+    counted = placed.groupBy("customer_id", "cell").agg(F.count("*").alias("n"))
+    return counted.where(F.col("n") > CELL_SITES).select("customer_id", "cell", F.ceil(F.col("n") / CELL_SITES).cast("int").alias("parts"))
+
+
 def near_sites(sites: DataFrame, km: float) -> DataFrame:
     """``(customer_id, site_a, site_b, km)`` for pairs of one customer nearer than ``km``.
 
     Each pair appears once, ``site_a < site_b``. A grid-cell equi-join finds the
-    candidates, so only sites of neighbouring cells are compared.
+    candidates, so only sites of neighbouring cells are compared. A crowded cell is cut
+    into parts by a hash of its sites; the sites around it look into each part, so that one
+    customer with all sites in a cell is still compared by many tasks.
     """
-    left = sites.select(
-        "customer_id",
-        F.col("SiteCode").alias("site_a"),
-        F.col("Latitude").alias("lat_a"),
-        F.col("Longitude").alias("lon_a"),
-        F.explode(reachable_cells(F.col("Latitude"), F.col("Longitude"), km)).alias("cell"),
-    )
-    right = sites.select(
+    placed = sites.select(
         "customer_id",
         F.col("SiteCode").alias("site_b"),
         F.col("Latitude").alias("lat_b"),
         F.col("Longitude").alias("lon_b"),
         cell(F.col("Latitude"), F.col("Longitude"), km).alias("cell"),
     )
+    crowded = materialise(crowded_cells(placed), "crowded-cells")
+    looking = sites.select(
+        "customer_id",
+        F.col("SiteCode").alias("site_a"),
+        F.col("Latitude").alias("lat_a"),
+        F.col("Longitude").alias("lon_a"),
+        F.explode(reachable_cells(F.col("Latitude"), F.col("Longitude"), km)).alias("cell"),
+    )
+    parts = F.coalesce("parts", F.lit(1))
+    right = placed.join(crowded, ["customer_id", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("site_b"), parts))
+    left = looking.join(crowded, ["customer_id", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
     distance = haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
-    pairs = left.join(right, ["customer_id", "cell"]).where("site_a < site_b")
+    pairs = left.drop("parts").join(right.drop("parts"), ["customer_id", "cell", "part"]).where("site_a < site_b")
     return pairs.select("customer_id", "site_a", "site_b", distance.alias("km")).where(F.col("km") < km)
 
 

@@ -198,6 +198,12 @@ slots AS (
   WHERE s.day <= DATE '1998-08-30'
 )"""
 
+BUSY = """
+busy AS (
+  SELECT LockVendor AS v, CrewIdBooked AS c, least(JobStart, e.day) AS a, e.day + 2 AS b
+  FROM triaged t JOIN calendar c ON c.day = t.JobStart JOIN workdays e ON e.ord = c.ord + t.JobDuration + 1 WHERE phase = 1
+)"""
+
 FREE = """
 free AS (
   SELECT * FROM slots s WHERE NOT EXISTS (SELECT 1 FROM locks l WHERE l.customer_id = s.customer_id
@@ -332,6 +338,7 @@ BLOCKS: dict[str, tuple[str, tuple[str, ...]]] = {
     "locks": (LOCKS, ("regional", "events")),
     "calendar": (CALENDAR, ()),
     "slots": (SLOTS, ("triaged", "calendar")),
+    "busy": (BUSY, ("triaged", "calendar")),
     "free": (FREE, ("slots", "locks")),
     "placed": (PLACED, ("free",)),
     "placed_near": (PLACED_NEAR, ("free",)),
@@ -488,10 +495,18 @@ QUERIES: dict[str, tuple[str, str]] = {
         JOIN {POINTS} b ON a.customer_id = b.customer_id AND a.SiteCode < b.SiteCode) WHERE km < 3.0"""),
     "candidate_slots": ("slots", 'SELECT JobID, "offset", slot_start, slot_end FROM slots'),
     "site_free_slots": ("free", 'SELECT JobID, "offset", slot_start, slot_end FROM free'),
-    "crew_free_slots": ("slots", """SELECT f.Market, f.VendorBooked, f.need_key, slot_start, slot_end,
+    "crew_free_slots": ("slots busy", """SELECT f.Market, f.VendorBooked, f.need_key, slot_start, slot_end,
+        CAST(count(*) AS INT) AS n_crews, arg_min(VendorID, "rank") AS VendorID, arg_min(crew_name, "rank") AS crew_name
+        FROM (SELECT DISTINCT Market, VendorBooked, need_key, slot_start, slot_end FROM slots) f JOIN ranked r ON """
+        + SAME_POOL.format("r") + """ AND slot_start >= ValidFrom AND slot_end <= ValidUntil
+        WHERE NOT EXISTS (SELECT 1 FROM busy WHERE v = VendorID AND c = crew_name AND a <= slot_end + 2 AND slot_start <= b)
+        GROUP BY 1, 2, 3, 4, 5"""),
+    "valid_crew_slots": ("slots", """SELECT f.Market, f.VendorBooked, f.need_key, slot_start, slot_end,
         CAST(count(*) AS INT) AS n_crews, arg_min(VendorID, "rank") AS VendorID, arg_min(crew_name, "rank") AS crew_name
         FROM (SELECT DISTINCT Market, VendorBooked, need_key, slot_start, slot_end FROM slots) f JOIN ranked r ON """
         + SAME_POOL.format("r") + """ AND slot_start >= ValidFrom AND slot_end <= ValidUntil GROUP BY 1, 2, 3, 4, 5"""),
+    "busy_crew_days": ("busy", """SELECT v AS VendorID, c AS crew_name, count(DISTINCT day) AS n_days, min(day) AS first_day, max(day) AS last_day
+        FROM (SELECT v, c, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM busy WHERE v IS NOT NULL) GROUP BY 1, 2"""),
     "first_slot": ("free", """SELECT JobID, "offset", slot_start, slot_end, VendorID, crew_name FROM (
         SELECT JobID, "offset", slot_start, slot_end, r.VendorID, r.crew_name,
           row_number() OVER (PARTITION BY JobID ORDER BY "offset", "rank") AS rn

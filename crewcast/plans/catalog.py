@@ -448,11 +448,30 @@ def site_free_slots(spark, folder):
 
 @query
 def crew_free_slots(spark, folder):
+    """Crews free in each pool's slots: valid, and not kept by a booked job."""
+    crews, calendar = materialise(_crews(spark, folder), "crews"), business_calendar(spark, PARAMS)
+    jobs = materialise(_triaged(spark, folder, crews), "triaged")
+    found = slots.candidate_slots(jobs, calendar, PARAMS)
+    return slots.crew_options(found, crews, slots.busy_spans(jobs, calendar, PARAMS), PARAMS)
+
+
+@query
+def valid_crew_slots(spark, folder):
+    """Crews valid in each pool's slots, whether booked or not."""
     crews = materialise(_crews(spark, folder), "crews")
     found = slots.candidate_slots(_triaged(spark, folder, crews), business_calendar(spark, PARAMS), PARAMS)
     return slots.crew_options(found, crews)
 
 
+@query
+def busy_crew_days(spark, folder):
+    """Days on which booked jobs keep each crew."""
+    jobs = materialise(_triaged(spark, folder), "triaged")
+    spans = slots.busy_spans(jobs, business_calendar(spark, PARAMS), PARAMS)
+    days = day_range(spans, "busy_from", "busy_to").groupBy("VendorID", "crew_name")
+    return days.agg(F.count_distinct("day").alias("n_days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
 @query
 def first_slot(spark, folder):
     crews = materialise(_crews(spark, folder), "crews")

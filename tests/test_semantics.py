@@ -241,6 +241,57 @@ def test_near_sites_per_customer(spark):
     assert [(r.customer_id, r.site_a, r.site_b) for r in got] == [("c", "a", "b")]
 
 
+def test_crowded_cells_are_cut(spark, monkeypatch):
+    """All sites of one customer in one cell: the same pairs, dealt over many keys."""
+    monkeypatch.setattr(neighbours, "CELL_SITES", 10)
+    r = random.Random(3)
+    rows = [("c", f"s{i}", 10 + r.random() / 200, 20 + r.random() / 200) for i in range(120)]
+    rows += [("d", f"s{i}", 10 + r.random(), 20 + r.random()) for i in range(40)]
+    sites = spark.createDataFrame(rows, "customer_id string, SiteCode string, Latitude double, Longitude double")
+    got = {(x.customer_id, x.site_a, x.site_b) for x in neighbours.near_sites(sites, 0.4).collect()}
+
+    def km(a, b):
+        p, q = math.radians(a[2]), math.radians(b[2])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[3] - a[3]) / 2) ** 2
+        return 2 * 6373 * math.asin(math.sqrt(h))
+
+    want = {(a[0], *sorted((a[1], b[1]))) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and km(a, b) < 0.4}
+    assert got == want and len(want) > 1000
+    placed = sites.select("customer_id", cell(F.col("Latitude"), F.col("Longitude"), 0.4).alias("cell"))
+    assert neighbours.crowded_cells(placed).agg(F.max("parts")).first()[0] >= 3
+
+
+def test_busy_crews_leave_the_slots(spark):
+    """Counts and best crews of slots against a plain look at every crew."""
+    from crewcast.operators import slots
+    from crewcast.operators.triage import BOOKED
+
+    r = random.Random(9)
+    calendar = business_calendar(spark, P)
+    listed = [crew("v%d" % (i % 2), f"k{i}", "M" if i % 7 else "N", "A" if i % 3 else "A|B", float(i % 5), -40 + i % 4 * 20, 60 + i % 3 * 30) for i in range(40)]
+    crews = clean.clean_crews(spark.createDataFrame(listed, CREW_TYPES))
+    crews = matching.with_have(crews)
+    booked = [(f"v{i % 2}" if i % 5 else None, f"k{i % 25}", day(r.randint(-20, 40)), r.randint(1, 15), BOOKED) for i in range(60)]
+    jobs = spark.createDataFrame(booked, "LockVendor string, CrewIdBooked string, JobStart date, JobDuration int, phase int")
+    spans = slots.busy_spans(jobs, calendar, P).collect()
+    wanted = {(v, need, day(a), day(a + n)) for v in (None, "v0") for need in ("A", "A|B") for a in range(2, 40, 3) for n in (1, 9, 30)}
+    frame = spark.createDataFrame([("M", *w) for w in wanted], "Market string, VendorBooked string, need_key string, slot_start date, slot_end date")
+    got = {tuple(x)[1:5]: (x.n_crews, x.VendorID, x.crew_name) for x in slots.crew_options(frame, crews, slots.busy_spans(jobs, calendar, P), P).collect()}
+    want = {}
+    for v, need, a, b in wanted:
+        free = []
+        for vendor, name, market, _, first, last, score, skills in listed:
+            if market != "M" or (v and vendor != v) or not set(need.split("|")) <= set(skills.split("|")) or a < first or b > last:
+                continue
+            until = b + dt.timedelta(days=P.job_downtime)
+            if not any(s.VendorID == vendor and s.crew_name == name and s.busy_from <= until and a <= s.busy_to for s in spans):
+                free.append((score, vendor, name))
+        if free:
+            want[v, need, a, b] = (len(free), *max(free)[1:])
+    assert got == want and len(want) > 50
+    assert any(n < max(m for m, *_ in want.values()) for n, *_ in want.values())
+
+
 def test_rank_of_a_hot_group(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 10 == 0, "cold").when(F.col("id") % 10 == 1, None).otherwise("hot").alias("k"),
