@@ -67,9 +67,7 @@ def business_calendar(spark: SparkSession, params: Params, holidays: DataFrame |
     if holidays is None:
         days = days.withColumn("is_business", F.col("workday"))
     else:
-        off = select_holidays(
-            holidays, params.country_code, params.calendar_start_year, params.calendar_end_year
-        ).withColumn("off", F.lit(True))
+        off = select_holidays(holidays, params.country_code, first.year, last.year).withColumn("off", F.lit(True))
         days = days.join(F.broadcast(off), "day", "left").withColumn(
             "is_business", F.col("workday") & F.col("off").isNull()
         )
@@ -80,27 +78,30 @@ def business_calendar(spark: SparkSession, params: Params, holidays: DataFrame |
 
 
 def holiday_days(holidays: DataFrame | None, params: Params) -> list[dt.date]:
-    """Holidays as a Python list; never more than 366 entries per planning year."""
+    """Holidays as a Python list, over the same years as the calendar; never more than 366 entries per planning year."""
     if holidays is None:
         return []
-    chosen = select_holidays(
-        holidays, params.country_code, params.calendar_start_year, params.calendar_end_year
-    )
+    chosen = select_holidays(holidays, params.country_code, params.calendar_first.year, params.calendar_last.year)
     return sorted(row["day"] for row in chosen.collect())
 
 
 def add_business_days(df: DataFrame, start: str, count: Column, out: str, calendar: DataFrame) -> DataFrame:
     """Roll ``start`` forward to a business day, then move ``count`` business days on.
 
-    Two equi-joins against the broadcast calendar; a day outside it gives null.
+    Two equi-joins against the broadcast calendar. A null start gives null; a day outside
+    the calendar stops the job, since its end would be unknown: widen the planning years.
     """
     rolled = F.broadcast(calendar.select(F.col("day").alias("_from"), F.col("ord").alias("_ord")))
     target = F.broadcast(
         calendar.where("is_business").select(F.col("day").alias(out), F.col("ord").alias("_target"))
     )
+    outside = F.raise_error(F.concat(F.lit(f"{out}: a day outside the planning calendar, from "), F.col(start).cast("string")))
+    want = F.when(F.col(start).isNotNull() & F.col("_ord").isNull(), outside.cast("int")).otherwise(F.col("_ord") + count)
+    known = F.when(F.col("_want").isNotNull() & F.col("_target").isNull(), outside.cast("date")).otherwise(F.col(out))
     return (
         df.join(rolled, F.col(start) == F.col("_from"), "left")
-        .withColumn("_want", F.col("_ord") + count)
+        .withColumn("_want", want)
         .join(target, F.col("_want") == F.col("_target"), "left")
+        .withColumn(out, known)
         .drop("_from", "_ord", "_want", "_target")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewcast.functions.dates import whole_days
@@ -32,6 +32,19 @@ def group_quantiles(df: DataFrame, value: str, group: str, exact: bool = False)
     return df.groupBy(group).agg(pair).select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
 
 
+def day_sketches(df: DataFrame, value: str, group: str, day: Column, k: int = 400) -> DataFrame:
+    """``(day, group, sketch)``: a mergeable sketch of each day's values, so that later fences need no old rows."""
+    known = df.where(F.col(value).isNotNull())
+    return known.groupBy(day.alias("day"), group).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, group: str) -> DataFrame:
+    """``(group, n_rows, q1, q3)`` from the sketches of any days, ranks right to about a percent."""
+    merged = sketches.groupBy(group).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    quantiles = [F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(n) for q, n in ((0.25, "q1"), (0.75, "q3"))]
+    return merged.select(group, F.kll_sketch_get_n_double("sketch").alias("n_rows"), *quantiles)
+
+
 def within_fences(df: DataFrame, value: str, group: str, exact: bool = False) -> DataFrame:
     """Rows inside the closed Tukey fences of their group.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from crewcast.functions.dates import add_business_days
+from crewcast.functions.dates import add_business_days, later
 from crewcast.operators.joins import join_null_safe
 from crewcast.operators.locks import SITE, lock_sets, meets_lock
 from crewcast.operators.matching import POOL, crew_classes, crew_order, pool_matches, pools_of
@@ -28,9 +28,7 @@ def wanted_start(jobs: DataFrame, params: Params) -> DataFrame:
         .withColumns(
             {
                 "last_offset": F.col("JobStartMaxOffset") - F.greatest(F.datediff(today, "_start"), F.lit(0)),
-                "first_day": F.greatest(
-                    "_start", F.date_add(today, params.job_start_buffer)
-                ),
+                "first_day": later(F.col("_start"), F.date_add(today, params.job_start_buffer)),
             }
         )
         .drop("_start")

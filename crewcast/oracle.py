@@ -414,6 +414,7 @@ QUERIES: dict[str, tuple[str, str]] = {
         UNION ALL SELECT 'event markets', count(DISTINCT x_market), 1 FROM special"""),
     "duration_label": ("construction", "SELECT id, CAST(label AS INT) AS label FROM labelled"),
     "quantiles_by_group": ("", f"SELECT g AS event_type, q1, q3 FROM {QUARTILES}"),
+    "sketched_quartiles": ("", """SELECT event_type, count(value) AS n_rows, true AS q1_near, true AS q3_near FROM events GROUP BY 1"""),
     "outlier_fences": ("", f"""SELECT event_id, event_type, value FROM events JOIN {QUARTILES} ON event_type = g
         WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)"""),
     "training_rows": ("construction", """SELECT id, region, market, package_name, latitude, longitude,
@@ -554,9 +555,14 @@ QUERIES: dict[str, tuple[str, str]] = {
         JOIN (SELECT day, row_number() OVER (ORDER BY day) - 1 AS ord FROM open_days WHERE o = 1) w
           ON w.ord = c.ord + o_orderkey % 15"""),
     "archived_files": ("construction", "SELECT id, market, civil_start FROM construction"),
-    "latest_planner_files": ("jobs_raw crews events", """SELECT 'jobs' AS stage, count(*) AS n_rows FROM jobs_raw
-        UNION ALL SELECT 'crews', count(*) FROM crews_raw UNION ALL SELECT 'events', count(*) FROM special
-        UNION ALL SELECT 'weather', count(*) FROM event_sites WHERE event_type = 'error'"""),
+    "latest_planner_files": ("jobs_raw crews events", """SELECT 'jobs' AS stage, JobID AS key, customer_id || '|' || SiteCode || '|' || Market
+          || '|' || JobCreateDate || '|' || coalesce(CAST(JobStartDateForecast AS VARCHAR), '') AS row FROM jobs_raw
+        UNION ALL SELECT 'crews', crew_name, VendorID || '|' || Market || '|' || coalesce(CAST(ValidFrom AS VARCHAR), '') || '|' || ValidUntil
+          || '|' || Skills1 FROM crews_raw
+        UNION ALL SELECT 'events', coalesce(x_customer, ''), coalesce(x_site, '') || '|' || coalesce(x_market, '') || '|'
+          || coalesce(x_region, '') || '|' || a || '|' || b FROM special
+        UNION ALL SELECT 'weather', customer_id, SiteCode || '|' || CAST(DATE '1998-06-01' + (d - 1) * 3 + CAST(event_id % 3 AS INT) AS DATE)
+          FROM event_sites WHERE event_type = 'error'"""),
     "ingest_drops": ("jobs", "SELECT JobID, Market, JobCreateDate, CrewIdBooked, JobDurationML FROM jobs"),
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,18 +126,17 @@ def filter_and_sort(spark, folder):
 
 @query
 def stage_counts(spark, folder):
-    """Rows and columns of the inputs and of what cleaning keeps, and the markets that events name."""
-    events = _events(spark, folder)
-    counts = clean.row_counts(
-        {
-            "raw jobs": views.jobs(spark, folder, PARAMS),
-            "clean jobs": _cleaned(spark, folder),
-            "clean crews": _crews(spark, folder),
-            "clean events": events,
-        }
-    )
-    markets = clean.row_counts({"event markets": events.select("Market").dropna().distinct()})
-    return counts.unionByName(markets)
+    """Rows and columns of the inputs and of what cleaning keeps, and the markets that events name: counted on the way."""
+    counts = clean.StageCounts()
+    raw = counts.watch("raw jobs", views.jobs(spark, folder, PARAMS))
+    kept = counts.watch("clean jobs", clean.clean_jobs(raw, PARAMS))
+    crews = counts.watch("clean crews", _crews(spark, folder))
+    events = counts.watch("clean events", _events(spark, folder), F.collect_set("Market").alias("markets"))
+    for name, df in {"jobs": kept, "crews": crews, "events": events}.items():
+        materialise(df, f"clean-{name}")
+    markets = [("event markets", len(counts.figures("clean events")["markets"]), 1)]
+    found = counts.table(spark)
+    return found.unionByName(spark.createDataFrame(markets, found.schema))
 
 
 # forecasting
@@ -158,6 +158,22 @@ def outlier_fences(spark, folder):
     return features.within_fences(rows, "value", "event_type")
 
 
+@query
+def sketched_quartiles(spark, folder):
+    """Quartiles from daily sketches: the last day's is added to those stored, and no old row is read again."""
+    rows = views.table(spark, folder, "events")
+    day = F.to_date("ts")
+    last = rows.agg(F.max(day).alias("d")).first()["d"]
+    path = scratch_path(spark, "sketches")
+    for part in (rows.where(day < F.lit(last)), rows.where(day == F.lit(last))):
+        features.day_sketches(part, "value", "event_type", day).write.mode("append").parquet(path)
+    found = features.sketched_quantiles(spark.read.parquet(path), "event_type")
+    named = rows.join(found.select(F.col("event_type").alias("_g"), "n_rows", "q1", "q3"), F.col("event_type") == F.col("_g"))
+    below = [F.avg(F.when(F.col("value") <= F.col(q), 1.0).otherwise(0.0)) for q in ("q1", "q3")]
+    near = [(F.abs(share - wanted) < 0.02).alias(f"{q}_near") for share, wanted, q in zip(below, (0.25, 0.75), ("q1", "q3"))]
+    return named.groupBy("event_type").agg(F.max("n_rows").alias("n_rows"), *near)
+
+
 @query
 def training_rows(spark, folder):
     rows = features.training_rows(views.construction(spark, folder), PARAMS)
@@ -737,6 +753,15 @@ def latest_planner_files(spark, folder):
         write_named_csv(typed.limit(3), f"{root}/old/{name}.csv")
         write_named_csv(typed, f"{root}/new/{name}.csv")
     found = read_planner_inputs(spark, root)
-    return clean.row_counts(
-        {"jobs": found.jobs, "crews": found.crews, "events": found.events, "weather": found.weather}
-    ).drop("n_columns")
+
+    def rows(stage, df, key, *columns):
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+        return df.select(F.lit(stage).alias("stage"), F.coalesce(F.col(key), F.lit("")).alias("key"), F.concat_ws("|", *texts).alias("row"))
+
+    parts = [
+        rows("jobs", found.jobs.withColumn("Market", F.upper("Market")), "JobID", "customer_id", "SiteCode", "Market", "JobCreateDate", "JobStartDateForecast"),
+        rows("crews", found.crews.withColumn("Market", F.upper("Market")), "crew_name", "VendorID", "Market", "ValidFrom", "ValidUntil", "Skills1"),
+        rows("events", found.events.withColumns({c: F.upper(c) for c in ("Market", "Region")}), "CustomerID", "SiteCode", "Market", "Region", "ValidFrom", "ValidUntil"),
+        rows("weather", found.weather, "CustomerID", "SiteID", "Date"),
+    ]
+    return reduce(DataFrame.unionByName, parts)

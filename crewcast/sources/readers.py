@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,19 +30,16 @@ def read_construction(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame | None:
-    """The most recently written file called ``name`` below a folder, or None.
+    """The most recently written file, or folder of part files, called ``name`` below a folder, or None.
 
     Only file names and times are looked at to choose; rows are read once.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", name)
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path", "modificationTime")
-    )
-    newest = listing.orderBy(F.col("modificationTime").desc(), F.col("path").desc()).first()
-    return None if newest is None else read_csv(spark, newest["path"], schema)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "modificationTime")
+    place = F.regexp_extract("path", rf"^(.*/{re.escape(name)})(/[^/]+)?$", 1)
+    found = listing.select(place.alias("place"), "modificationTime").where("place != ''")
+    written = found.groupBy("place").agg(F.max("modificationTime").alias("at"))
+    newest = written.orderBy(F.col("at").desc(), F.col("place").desc()).first()
+    return None if newest is None else read_csv(spark, newest["place"], schema)
 
 
 def require_tables(**tables: DataFrame | None) -> None:

@@ -72,15 +72,8 @@ def publish_table(spark: SparkSession, name: str, path: str, sample: DataFrame)
 
 
 def write_named_csv(df: DataFrame, path: str) -> None:
-    """One CSV file of the given name, as planners hand it over; its rows pass through one task."""
-    spark = df.sparkSession
-    write_csv(df.coalesce(1), f"{path}.parts")
-    files, place = _files(spark, path)
-    [part] = [s.getPath() for s in files.listStatus(place(f"{path}.parts")) if s.getPath().getName().endswith(".csv")]
-    files.delete(place(path), False)
-    if not files.rename(part, place(path)):
-        raise OSError(f"could not name {path}")
-    files.delete(place(f"{path}.parts"), True)
+    """CSV under the given name: a folder of part files, written by as many tasks as there are."""
+    write_csv(df, path)
 
 
 def drop_files(spark: SparkSession, source: str, folder: str) -> None:
