@@ -543,6 +543,13 @@ QUERIES: dict[str, tuple[str, str]] = {
         CAST(day(refresh_date) AS INT) AS "day", market, count(*) AS n_rows FROM base GROUP BY 1, 2, 3, 4"""),
     "overlay_file": ("triaged", """SELECT CAST(ResourceStatus AS VARCHAR) AS ResourceStatus, '#' AS VendorId,
         count(*) AS n_rows FROM triaged WHERE ResourceStatus IS NOT NULL GROUP BY 1"""),
+    "published_versions": ("construction", """SELECT CAST(year(refresh_date) AS INT) AS "year", CAST(month(refresh_date) AS INT) AS "month",
+          CAST(day(refresh_date) AS INT) AS "day", count(*) AS n_rows,
+          CAST(sum(civil_end - civil_start + CASE WHEN day(refresh_date) % 3 = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS days, min(id) AS first_id
+        FROM base WHERE day(refresh_date) % 3 = 0 OR month(refresh_date) <= 6 GROUP BY 1, 2, 3"""),
+    "newest_of_drops": ("jobs_raw", """SELECT JobID, customer_id, JobDurationML + CASE WHEN k % 3 < 2 THEN 1 WHEN k % 2 = 0 THEN 2 ELSE 0 END AS JobDurationML,
+          DATE '1998-06-01' - CASE WHEN k % 3 < 2 THEN 0 WHEN k % 2 = 0 THEN 1 ELSE 2 END AS refresh_date
+        FROM (SELECT *, CAST(JobID AS BIGINT) AS k FROM jobs_raw)"""),
     "construction_csv": ("construction", "SELECT id, market, civil_start, tower_end, latitude FROM construction"),
     "planner_files": ("jobs_raw crews events", """SELECT 'jobs' AS stage, count(*) AS n_rows FROM jobs_raw
         UNION ALL SELECT 'crews', count(*) FROM crews_raw UNION ALL SELECT 'events', count(*) FROM special

@@ -23,14 +23,17 @@ from crewcast.sources.readers import load_model, read_csv, read_holidays, read_p
 from crewcast.sources.writers import (
     archive,
     drop_files,
+    publish_days,
     publish_table,
+    publish_view,
+    read_whole,
     save_model,
     write_csv,
     write_named_csv,
     write_overlay,
     write_predictions,
 )
-from crewcast.streaming.drops import drop_stream, latest_rows, run_on_drops
+from crewcast.streaming.drops import drop_stream, latest_rows, newest_rows, run_on_drops, table_handler
 
 PARAMS = Params(placeholder_crew="No real crew")
 NEAR_KM = 3.0
@@ -627,6 +630,20 @@ def published_table(spark, folder):
     return spark.table(name).groupBy("year", "month", "day", "market").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def published_versions(spark, folder):
+    """Two versions of a published table: the second replaces some days and adds others, the rest stays."""
+    root, name = scratch_path(spark, "versions"), "published_versions_of_days"
+    rows = _predictions(spark, folder)
+    publish_days(rows.where(F.month("refresh_date") <= 6), root, "refresh_date")
+    publish_view(spark, name, root)
+    later = rows.where(F.dayofmonth("refresh_date") % 3 == 0)
+    publish_days(later.withColumn("JobDurationML", F.col("JobDurationML") + 1), root, "refresh_date")
+    publish_view(spark, name, root)
+    found = spark.table(name).groupBy("year", "month", "day")
+    return found.agg(F.count("*").alias("n_rows"), F.sum("JobDurationML").alias("days"), F.min("JobID").alias("first_id"))
+
+
 @query
 def overlay_file(spark, folder):
     """The settled overlay rows written as CSV and read back as text."""
@@ -702,6 +719,25 @@ def ingest_drops(spark, folder):
     return found.select("JobID", "Market", "JobCreateDate", "CrewIdBooked", "JobDurationML")
 
 
+@query
+def newest_of_drops(spark, folder):
+    """Three job drops, the stream started anew for each: the newest row of every job, the third drop's being late for many."""
+    root = scratch_path(spark, "newest")
+    key = F.col("JobID").cast("long")
+
+    def drop(kept, days_ago, more):
+        jobs = views.jobs(spark, folder, PARAMS).where(kept)
+        return jobs.withColumns({"JobDurationML": F.col("JobDurationML") + more, "refresh_date": F.date_sub(F.lit(PARAMS.as_of), days_ago)})
+
+    for rows in (drop(key % 3 > 0, 2, 0), drop(key % 3 < 2, 0, 1), drop(key % 2 == 0, 1, 2)):
+        _write_drop(rows, schemas.JOB_SITE, f"{root}/new")
+        drop_files(spark, f"{root}/new", f"{root}/in")
+        stream = newest_rows(drop_stream(spark, f"{root}/in", schemas.JOB_SITE), "JobID", "refresh_date")
+        run_on_drops(stream, table_handler(f"{root}/table"), f"{root}/state", mode="complete").awaitTermination()
+    found = clean.parse_dates(read_whole(spark, f"{root}/table"), schemas.JOB_SITE_DATES)
+    return found.select("JobID", "customer_id", "JobDurationML", F.col("refresh_date").cast("date").alias("refresh_date"))
+
+
 def _holidays(spark, folder):
     """Two made-up countries' holidays: some days of a month on which orders came in."""
     days = views.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +18,7 @@ from crewcast.operators.overlay import text_overlay, typed_overlay
 from crewcast.plans.forecast import score
 from crewcast.operators.features import scoring_rows
 from crewcast.sources.readers import load_model
-from crewcast.sources.writers import write_overlay, write_predictions
+from crewcast.sources.writers import publish_whole, write_overlay, write_predictions
 
 log = logging.getLogger(__name__)
 POLL = "10 minutes"  # fixed value: how often a folder is looked at
@@ -34,11 +35,34 @@ def drop_stream(spark: SparkSession, folder: str, schema: T.StructType, archive:
     return reader.csv(folder)
 
 
+def newest_rows(stream: DataFrame, key: str, newest: str) -> DataFrame:
+    """One row per key over all drops so far: the newest, ties settled by the remaining columns.
+
+    The rows are kept as state of the stream, so a drop is only compared with what is
+    known of its keys and no earlier file is read again. A row that comes late, with an
+    older ``newest`` than the known one, changes nothing; a null counts as oldest. Run it
+    with ``mode="complete"`` to get the whole table after each drop. For state beyond the
+    executors' memory choose Spark's RocksDB state store.
+    """
+    rest = [c for c in stream.columns if c not in (key, newest)]
+    best = F.max(F.struct(newest, *rest)).alias("_row")
+    return stream.groupBy(key).agg(best).select(key, "_row.*").select(*stream.columns)
+
+
+def table_handler(root: str) -> Callable[[DataFrame, int], None]:
+    """Publishes each batch as the whole table; a batch that runs again leaves what it had published."""
+
+    def handle(batch: DataFrame, number: int) -> None:
+        publish_whole(batch, root, number)
+
+    return handle
+
+
 def run_on_drops(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], state: str, once: bool = True
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], state: str, once: bool = True, mode: str = "append"
 ) -> StreamingQuery:
     """Call ``handle`` per batch of new files; ``state`` remembers what was done."""
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", state)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", state)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=POLL)).start()
 
 

@@ -6,6 +6,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crewcast import Params, schemas, views
 from crewcast.operators import clean, features
@@ -247,6 +248,69 @@ def test_read_files_go_to_the_archive(spark, tmp_path):
     assert moved and {*moved, *[f for f in os.listdir(f"{tmp_path}/in") if f.endswith(".csv")]} == {"0.csv", "1.csv", "2.csv"}
 
 
+def days_frame(spark, rows):
+    return spark.createDataFrame([(dt.date(2024, 3, d), v) for d, v in rows], "refresh_date date, v int")
+
+
+def test_a_reader_sees_the_old_or_the_new_version(spark, tmp_path):
+    root = f"{tmp_path}/table"
+    writers.publish_days(days_frame(spark, [(1, 10), (2, 20), (2, 21)]), root, "refresh_date")
+    writers.publish_view(spark, "seen_versions", root)
+    before = spark.table("seen_versions").select("day", "v")
+    old_files = {f for _, _, names in os.walk(root) for f in names}
+    values = lambda df: sorted(tuple(r) for r in df.collect())
+    # the second version's data is there, its manifest not yet
+    switch, seen = writers._switch, []
+    try:
+        writers._switch = lambda *a: seen.append(values(writers.read_published(spark, root).select("day", "v"))) or switch(*a)
+        writers.publish_days(days_frame(spark, [(2, 99), (3, 30)]), root, "refresh_date")
+    finally:
+        writers._switch = switch
+    old, new = [(1, 10), (2, 20), (2, 21)], [(1, 10), (2, 99), (3, 30)]
+    assert seen == [old] and values(spark.table("seen_versions").select("day", "v")) == old
+    writers.publish_view(spark, "seen_versions", root)
+    assert values(spark.table("seen_versions").select("day", "v")) == new
+    assert values(before) == old and values(writers.read_published(spark, root, 0).select("day", "v")) == old
+    assert values(writers.read_published(spark, root).select("day", "v")) == new
+    assert old_files <= {f for _, _, names in os.walk(root) for f in names}
+    written = {d.split("/")[-1] for d, _, names in os.walk(f"{root}/data/_version=1") if any(n.endswith(".parquet") for n in names)}
+    assert written == {"day=2", "day=3"}  # the day that stayed was not written again
+    with pytest.raises(OSError, match="somebody else"):
+        writers._switch(spark.range(1), root, 1)
+
+
+def test_versions_without_rows(spark, tmp_path):
+    root = f"{tmp_path}/table"
+    with pytest.raises(ValueError, match="nothing is published"):
+        writers.read_published(spark, root)
+    writers.publish_days(days_frame(spark, [(1, 10)]), root, "refresh_date")
+    writers.publish_days(days_frame(spark, []), root, "refresh_date")
+    assert [r["v"] for r in writers.read_published(spark, root).collect()] == [10]
+    for _ in range(4):
+        writers.publish_days(days_frame(spark, [(2, 5)]), root, "refresh_date")
+        writers.publish_view(spark, "kept_versions", root)
+    names = {t.name for t in spark.catalog.listTables() if t.name.startswith("kept_versions")}
+    assert names == {"kept_versions", "kept_versions__v4", "kept_versions__v5"}
+
+
+def test_newest_rows_over_restarts_and_late_rows(spark, tmp_path):
+    schema = T.StructType.fromDDL("JobID string, refresh_date string, note string")
+    drops_of = [
+        [("a", "2024-01-02", "first"), ("b", "2024-01-02", "first"), ("b", "2024-01-02", "later in order")],
+        [("a", "2024-01-03", "second"), ("c", None, "no day"), ("b", "2024-01-01", "late")],
+        [("a", "2024-01-02", "late"), ("c", "2023-01-01", "old but known"), ("d", "2024-01-05", "new")],
+    ]
+    os.makedirs(f"{tmp_path}/in")
+    for n, rows in enumerate(drops_of):
+        put(f"{tmp_path}/in/{n}.csv", "\n".join(["JobID,refresh_date,note", *[",".join(x or "" for x in r) for r in rows]]) + "\n")
+        for _ in range(2):  # the second start finds nothing new
+            stream = drops.newest_rows(drops.drop_stream(spark, f"{tmp_path}/in", schema), "JobID", "refresh_date")
+            drops.run_on_drops(stream, drops.table_handler(f"{tmp_path}/out"), f"{tmp_path}/state", mode="complete").awaitTermination()
+        os.remove(f"{tmp_path}/in/{n}.csv")  # no later batch can read it
+    got = {r.JobID: r.note for r in writers.read_whole(spark, f"{tmp_path}/out").collect()}
+    assert got == {"a": "second", "b": "later in order", "c": "old but known", "d": "new"}
+
+
 def test_intermediates_can_be_discarded(spark):
     from crewcast.session import discard_intermediates, materialise
 
