@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import suppress
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +18,22 @@ from crewcast.session import materialise
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def lean(function):
+    """The generator function, which at its end gives freed memory back to the system.
+
+    Spark's Python workers outlive their tasks and wait beside the JVM of the next stage.
+    """
+
+    @wraps(function)
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # glibc only
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -63,3 +83,21 @@ def running_sums(
     return joined.select(
         *[c for c in df.columns if c not in sums], *[(F.col(c) + F.col(f"_s{i}")).alias(c) for i, c in enumerate(sums)]
     )
+
+
+def smallest_by_hash(df: DataFrame, key: Column, most: int, cells: int = 4096) -> DataFrame:
+    """Rows with the smallest hashes of ``key``: all, or as many as fit ``most`` when cut between cells of hashes.
+
+    Counts of cells decide where to cut, so no task sees more than its own rows.
+    """
+    total = df.count()
+    if total <= most:
+        return df
+    place = F.shiftrightunsigned(F.xxhash64(key), 11) / float(1 << 53)
+    top = min(1.0, 2 * most / total)
+    cell = F.floor(place / F.lit(top) * cells)
+    counts = dict(df.where(place < top).groupBy(cell.alias("c")).count().collect())  # a row for each cell
+    kept, cut = 0, 0
+    while cut < cells and kept + counts.get(cut, 0) <= most:
+        kept, cut = kept + counts.get(cut, 0), cut + 1
+    return df.where(place < F.lit(top * cut / cells))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crewcast.llm.common import lean, smallest_by_hash
 from crewcast.session import materialise
 
 #: Letters of other scripts that look like Latin ones.
@@ -39,6 +40,9 @@ STEMS = (4, 5, 6, 7)
 #: Occurrences of an entry in one document that count at most when entries are learnt.
 MOST_TIMES = 4
 
+#: Features are rounded to this step when the curve is fitted, so that equal ones are counted together.
+CURVE_STEP = 0.01
+
 
 def fold(text: str) -> str:
     """Lower case without accents, look-alikes and digits as the letters they stand for, words apart by one space."""
@@ -94,10 +98,16 @@ class Matcher:
                 excused.append((start, end))
             else:
                 found[start] = max(weight, found.get(start, 0.0))
-        for a, b in excused:
-            for start in [s for s in found if a <= s < b]:
-                del found[start]
-        return found
+        if not excused:
+            return found
+        kept, until, k = {}, -1, 0
+        excused.sort()
+        for start in sorted(found):
+            while k < len(excused) and excused[k][0] <= start:
+                until, k = max(until, excused[k][1]), k + 1
+            if start >= until:
+                kept[start] = found[start]
+        return kept
 
     def features(self, text: str) -> tuple[float, float]:
         """Weight per word, and whole weight, both on a log scale."""
@@ -136,12 +146,12 @@ def _counted(rows: Iterable[tuple[Counter, int]], flush: int) -> Iterator[pa.Rec
 COUNTS = "term string, bad long, good long, docs long"
 
 
-def _totals(labelled: DataFrame, terms_of, flush: int = 500_000) -> DataFrame:
+def _totals(labelled: DataFrame, terms_of, flush: int = 300_000) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         yield from _counted(((terms_of(t), y) for t, y in rows), flush)
 
-    counted = labelled.select("text", "label").mapInArrow(count, COUNTS).groupBy("term")
+    counted = labelled.select("text", "label").mapInArrow(lean(count), COUNTS).groupBy("term")
     return counted.agg(*[F.sum(c).alias(c) for c in ("bad", "good", "docs")])
 
 
@@ -167,27 +177,30 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     most_rows: int = 60_000,
-    most_terms: int = 20_000,
     least_docs: int = 8,
     least_odds: float = 1.2,
     least_sigmas: float = 6.0,
 ) -> Lexicon:
     """Learn the lexicon from labelled rows.
 
-    Of the labelled ids the ``most_rows`` smallest by hash are used (a documented bound
-    of the sample); equal texts of a label count once. Three quarters of the texts give the entries: words and word beginnings in
-    at least ``least_docs`` toxic documents, whose rate there is ``exp(least_odds)`` times
-    that of the others and ``least_sigmas`` deviations above it; the weight is the log of
-    the two rates' quotient. Phrases around an entry that are no more common in toxic
-    documents become exceptions. The last quarter fits the curve from weight per word and
-    whole weight to the chance of label 1.
+    Of the labelled ids those with the smallest hashes are used, at most ``most_rows`` (a
+    documented bound of the sample); equal texts of a label count once. Three quarters of
+    the texts give the entries: words and word beginnings in at least ``least_docs`` toxic
+    documents, whose rate there is ``exp(least_odds)`` times that of the others and
+    ``least_sigmas`` deviations above it; the weight is the log of the two rates' quotient.
+    Of one document a term counts ``MOST_TIMES`` times at most, so that a long text does
+    not settle a term alone. All entries that pass are used: a text has at most five for
+    each word, so the sample bounds their number. Phrases around an entry in five or more
+    other documents' places that are no more common in toxic documents become exceptions.
+    The last quarter fits the curve from weight per word and whole weight (both logs, taken
+    to the nearest ``CURVE_STEP`` when the curve is fitted) to the chance of label 1.
 
     Null ids, labels and texts give nothing to learn; of repeated ids the larger label
     counts. Without toxic labels the lexicon is empty and every score is the same.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = known.groupBy("id").agg(F.max("label").alias("label"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(most_rows)
+    known = smallest_by_hash(materialise(known, "toxic-labels"), F.col("id"), most_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropna()
     part = F.pmod(F.xxhash64(F.lit("part"), F.col("text")), F.lit(4))
     sample = texts.join(F.broadcast(known), "id").select("text", "label").distinct().withColumn("part", part)
@@ -199,11 +212,10 @@ def learn(
     odds = F.log((F.col("bad") + 1) / expected)
     entries = counted.where(F.col("docs") >= least_docs).withColumn("odds", odds)
     entries = entries.where((odds >= least_odds) & (F.col("bad") - expected >= least_sigmas * F.sqrt(F.greatest(expected, F.lit(1.0)))))
-    rows = entries.orderBy(F.desc(F.col("odds") * F.col("bad")), "term").limit(most_terms).collect()
-    weights = {r["term"]: float(r["odds"]) for r in rows}
+    weights = {r["term"]: float(r["odds"]) for r in entries.select("term", "odds").collect()}  # bounded by the sample
     plain = Matcher(Lexicon(weights))
     pairs = _totals(first, lambda t: _phrases(plain, t)).where((F.col("good") >= 5) & (F.col("bad") <= F.col("good") * (bad_n / good_n)))
-    exceptions = frozenset(r["term"] for r in pairs.orderBy(F.desc("good"), "term").limit(most_terms).collect())
+    exceptions = frozenset(r["term"] for r in pairs.select("term").collect())  # bounded by the sample
     return Lexicon(weights, exceptions, _curve(Lexicon(weights, exceptions), last))
 
 
@@ -211,13 +223,14 @@ def _curve(lexicon: Lexicon, rows: DataFrame) -> tuple[float, ...]:
     """Logistic regression on two features; the sums of its Newton steps come from grouped rows."""
 
     @F.arrow_udf("a double, b double")
+    @lean
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(lexicon)
         for texts in batches:
             found = np.array([matcher.features(t.as_py()) for t in texts]).reshape(-1, 2)
             yield pa.StructArray.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
-    cells = rows.select(features("text").alias("f"), "label").select(F.round("f.a", 2).alias("a"), F.round("f.b", 2).alias("b"), "label")
+    cells = rows.select(features("text").alias("f"), "label").select(*[(F.round(F.col(f"f.{c}") / CURVE_STEP) * CURVE_STEP).alias(c) for c in "ab"], "label")
     cells = cells.groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("label").alias("y")).toPandas()  # within the sample's bound
     if not len(cells):
         return Lexicon.curve
@@ -241,6 +254,7 @@ def scorer(lexicon: Lexicon):
     """
 
     @F.arrow_udf(T.DoubleType())
+    @lean
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(lexicon)
         for texts in batches:
