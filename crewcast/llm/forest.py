@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from crewcast.llm.common import running_sums, smallest_by_hash
 from crewcast.session import materialise
 
 #: Rows of a leaf that a task holds at a time.
@@ -112,15 +113,20 @@ def grow(sample: np.ndarray, reach: float, trees: int, leaf: int, seed: int) ->
 
 
 def _classes(rows: DataFrame, k: int) -> DataFrame:
-    """(id, ids, v): each distinct vector once, with the ``k`` + 1 smallest ids that have it.
+    """(id, first, ids, v): each distinct vector once, with the ``k`` + 1 smallest ids that have it, as often as rows do.
 
     Equal vectors have equal products, and ties go to smaller ids, so no other row of
-    them can be among the k nearest of a query.
+    them can be among the k nearest of a query. ``id`` numbers the vectors in the order of
+    their ``first`` ids.
     """
     order = Window.partitionBy("v").orderBy("id")
-    first = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
-    grouped = first.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    return materialise(grouped.select(F.get("ids", F.lit(0)).alias("id"), "ids", "v"), "forest-classes")
+    first = rows.withColumn("r", F.dense_rank().over(order)).where(F.col("r") <= k + 1)
+    counted = first.groupBy("v", "id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+    grouped = counted.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("id", "n"))).alias("ids"))
+    ids = F.flatten(F.transform("ids", lambda x: F.array_repeat(x["id"], x["n"])))
+    named = grouped.select(F.get("ids.id", F.lit(0)).alias("first"), ids.alias("ids"), "v", F.lit(0).alias("id"))
+    numbered = running_sums(named, [F.col("first")], {"id": F.lit(1).cast("long")}, [F.col("v")])
+    return materialise(numbered.select("id", "first", "ids", "v"), "forest-classes")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -146,11 +152,12 @@ def nearest(
     """(query_id, rank, id, score): about the ``k`` rows of the largest inner product with each query.
 
     ``rows`` and ``queries`` have ``id`` (long) and ``v`` (array of double, one length, no
-    null, not all zero); ids are not repeated. A row is no candidate of the query with its
-    own id; equal scores go to the smaller id; with fewer candidates all are returned.
+    null, not all zero). A row is no candidate of the query with its own id; rows that
+    repeat an id are candidates each, queries that do must be given once; equal scores go
+    to the smaller id; with fewer candidates all are returned.
 
-    The trees are grown on the ``sample_rows`` distinct vectors with the smallest hash (a
-    documented bound); every distinct vector is put into a leaf of each tree. A query
+    The trees are grown on distinct vectors with the smallest hashes, at most ``sample_rows``
+    (a documented bound); every distinct vector is put into a leaf of each tree. A query
     takes leaves from one queue over all trees until they hold ``search_least`` rows, or
     ``search_share`` of the number of distinct vectors if that is more (a row counts once
     for each tree). All rows of these
@@ -166,7 +173,7 @@ def nearest(
     row = classes.agg(F.max(norm2).alias("reach"), F.count("*").alias("n")).first()
     if not row["n"]:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
-    sample = classes.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow()
+    sample = smallest_by_hash(classes, F.col("first"), sample_rows).orderBy("id").select("v").toArrow()
     forest = grow(_matrix(sample.column(0).combine_chunks()), row["reach"], trees, leaf_rows, seed)
     n_trees = len(forest.roots)
 
@@ -284,11 +291,13 @@ def _compare(most: int):
                     if not ids:
                         continue
                     row_ids, matrix = np.concatenate(ids), np.concatenate(vectors)
+                    reach = np.sqrt((matrix * matrix).sum(1).max())
                 scores = part @ matrix.T
                 n = min(most, matrix.shape[0])
                 top = np.argpartition(scores, matrix.shape[0] - n, axis=1)[:, -n:]
                 rough = np.take_along_axis(scores, top, 1)
-                keep = rough >= b.column(5)[s:e].to_numpy()[:, None] - 1e-9
+                slack = 1e-12 * reach * np.sqrt((part * part).sum(1))  # rounding of the products
+                keep = rough >= (b.column(5)[s:e].to_numpy() - slack)[:, None]
                 out.append((np.repeat(all_ids[s:e], n)[keep.ravel()], row_ids[top][keep], rough[keep]))
                 held += out[-1][0].size
                 if held > 2 * least + 1_000_000:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from crewcast.llm import chat, collocations, decontamination, forest, jaccard, lattice, mixing, pieces, quality, secrets, topk, toxicity, whitening
 from crewcast.llm.common import n_words, table
-from crewcast.llm.vectors import finite_vectors
+from crewcast.llm.vectors import finite_vectors, one_of_each_id
 from crewcast.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,9 +102,10 @@ def op10_ngram_jaccard(spark, sf_dir):
 def op2_exact_top_k(spark, sf_dir):
     """The 5 largest inner products of every 50th vector, components as whole 256ths."""
     rows = finite_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    whole = F.transform("v", lambda x, i: F.struct(i.cast("long").alias("t"), F.floor(F.lit(256.0) * x).cast("long").alias("w")))
-    rows = materialise(rows.select("id", F.filter(whole, lambda x: x["w"] != 0).alias("v")), "topk-rows")
-    found = topk.top_k(rows, rows.where("id % 50 = 0"), 5)
+    whole = F.transform("v", lambda x: F.floor(F.lit(256.0) * x).cast("long")).alias("v")
+    rows = materialise(rows.select("id", whole), "topk-rows")
+    listed = F.filter(F.transform("v", lambda w, i: F.struct(i.cast("long").alias("t"), w.alias("w"))), lambda x: x["w"] != 0)
+    found = topk.top_k(rows.withColumn("v", listed), one_of_each_id(rows.where("id % 50 = 0")).withColumn("v", listed), 5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
@@ -113,7 +114,7 @@ def op3_random_projection_forest(spark, sf_dir):
     """About the 20 nearest vectors of every 20th vector, by inner product."""
     rows = finite_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     rows = materialise(rows.where(F.exists("v", lambda x: x != 0)), "forest-rows")
-    found = forest.nearest(rows, rows.where("id % 20 = 0"), 20)
+    found = forest.nearest(rows, one_of_each_id(rows.where("id % 20 = 0")), 20)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 

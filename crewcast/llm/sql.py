@@ -76,9 +76,10 @@ WITH r AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+q AS (SELECT vec_id, max(v) AS v FROM r WHERE vec_id % 50 = 0 GROUP BY vec_id),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-  FROM r q, r c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+  FROM q, r c WHERE q.vec_id <> c.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """

@@ -1,10 +1,13 @@
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from crewcast.llm import forest, topk
+from crewcast.llm.queries import QUERIES
+from crewcast.llm.sql import SQL
 from crewcast.llm.vectors import finite_vectors
 
 SPARSE = "id long, v array<struct<t:long,w:long>>"
@@ -67,7 +70,7 @@ def test_odd_vectors_take_no_part(spark):
     rows = [(1, [1.0, 2.0]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [float("inf"), 1.0]), (None, [1.0, 1.0]), (6, [0.0, 1.0]), (6, [0.0, 1.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit("x"))
     got = finite_vectors(frame, "vec_id", "embedding").collect()
-    assert sorted((r["id"], r["v"]) for r in got) == [(1, [1.0, 2.0]), (6, [0.0, 1.0])]
+    assert sorted((r["id"], r["v"]) for r in got) == [(1, [1.0, 2.0]), (6, [0.0, 1.0]), (6, [0.0, 1.0])]
 
 
 def dense(spark, rows):
@@ -102,3 +105,51 @@ def test_forest_of_few_or_none(spark):
     assert got == [(3, 1, 2, 4.0), (3, 2, 1, 2.0)]
     assert forest.nearest(rows.limit(0), rows, 5).collect() == []
     assert forest.nearest(rows, rows.limit(0), 5).collect() == []
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, small, tmp_path_factory):
+    """Embeddings with rows that repeat an id, some of them queries, with other vectors and with the same."""
+    folder = str(tmp_path_factory.mktemp("repeated"))
+    table = spark.read.parquet(f"{small}/embeddings.parquet")
+    other = table.where("vec_id between 4 and 9").withColumns({"vec_id": F.col("vec_id") % 2 * 50 + 3, "embedding": F.transform("embedding", lambda x: x * 2)})
+    more = table.where("vec_id = 12").withColumn("vec_id", F.explode(F.array(*[F.lit(i) for i in (0, 20, 50, 50, 60, 61, 61)])))
+    odd = spark.createDataFrame([(7, None), (7, [float("nan")] * 64), (None, [1.0] * 64)], "vec_id long, embedding array<float>")
+    table.unionByName(other).unionByName(more).unionByName(odd.withColumn("label", F.lit(0))).write.parquet(f"{folder}/embeddings.parquet")
+    return folder
+
+
+def test_repeated_ids_are_candidates_each(spark, repeated):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{repeated}/embeddings.parquet/*.parquet'")
+    want = con.execute(SQL["op2_exact_top_k"]).fetchall()
+    got = QUERIES["op2_exact_top_k"](spark, repeated).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_forest_query_recall_and_exact_scores(spark, repeated):
+    rows = [(r["vec_id"], np.array(r["embedding"], float)) for r in spark.read.parquet(f"{repeated}/embeddings.parquet").collect() if r["vec_id"] is not None and r["embedding"]]
+    rows = [(i, v) for i, v in rows if np.isfinite(v).all() and v.any()]
+    asked = {}
+    for i, v in rows:
+        if i % 20 == 0 and (i not in asked or v.tolist() > asked[i].tolist()):
+            asked[i] = v
+    got = QUERIES["op3_random_projection_forest"](spark, repeated).collect()
+    found, hits = {}, 0
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert set(found) == set(asked)
+    for q, v in asked.items():
+        scored = sorted(((-float(v @ x), i) for i, x in rows if i != q))[:20]
+        mine = found[q]
+        assert len(mine) == 20 and [s for _, s in mine] == sorted((s for _, s in mine), reverse=True)
+        known = {}
+        for i, x in rows:
+            known.setdefault(i, []).append(float(v @ x))
+        assert all(min(abs(s - t) for t in known[i]) < 1e-12 for i, s in mine) and q not in [i for i, _ in mine]
+        left = [i for _, i in scored]
+        for i, _ in mine:
+            if i in left:
+                left.remove(i)
+                hits += 1
+    assert hits / (20 * len(asked)) >= 0.9
