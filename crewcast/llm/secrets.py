@@ -245,17 +245,52 @@ def span_text(spans: Column) -> Column:
     )
 
 
-def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with each span replaced; overlapping spans are masked as one."""
-    state = "struct<at:bigint,parts:array<string>>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts")).cast(state)
+def _root(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(n)).cast("int"))
+
+
+def _reach(ends: Column) -> Column:
+    """Largest of 0 and the earlier ends, before each and after all; by blocks, so that long arrays stay cheap."""
+    n = F.size(ends)
+
+    def largest(part: Column) -> Column:
+        return F.coalesce(F.array_max(part), F.lit(0).cast("long"))
+
+    def found(block: Column) -> Column:
+        heads = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")), lambda b: largest(F.slice(ends, b * block + 1, block)))
+        return let(heads, lambda h: F.transform(F.sequence(F.lit(0), n), lambda i: F.greatest(
+            largest(F.slice(h, F.lit(1), F.floor(i / block).cast("int"))), largest(F.slice(ends, i - i % block + 1, i % block))
+        )))
+
+    return let(_root(n), found)
+
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.when(s["start"] >= a["at"], F.array(F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mask)))
-        parts = F.concat(a["parts"], F.coalesce(gap, F.array().cast("array<string>")))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), parts.alias("parts")).cast(state)
+def _pieces(text: Column, gaps: Column, mask: str) -> Column:
+    """The texts of (start, end) gaps, in order, with the mask between: read from stretches of the text, not each from its start."""
 
-    def finish(a: Column) -> Column:
-        return F.concat(F.array_join(a["parts"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.length(text)))
+    def piece(of: Column, start: Column, end: Column) -> Column:
+        return F.substring(of, (start + 1).cast("int"), (end - start).cast("int"))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+    def stretch(some: Column) -> Column:
+        base, last = F.element_at(some, 1)["start"], F.element_at(some, -1)["end"]
+        return let(F.struct(piece(text, base, last).alias("text"), base.alias("base")), lambda x: F.array_join(
+            F.transform(some, lambda g: piece(x["text"], g["start"] - x["base"], g["end"] - x["base"])), mask
+        ))
+
+    def joined(block: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / block).cast("int"))
+        return F.array_join(F.transform(blocks, lambda b: let(F.slice(gaps, b * block + 1, block), stretch)), mask)
+
+    return let(_root(F.size(gaps)), joined)
+
+
+def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
+    """The text with each span replaced; overlapping spans are masked as one.
+
+    What is kept are the gaps between the spans, sorted by start, from the largest end so
+    far to the next start. The work grows with the text times the root of the spans.
+    """
+    starts = F.array_append(F.transform(spans, lambda s: s["start"]), F.length(text).cast("long"))
+    reach = let(F.transform(spans, lambda s: s["end"]), _reach)
+    gaps = F.filter(F.zip_with(reach, starts, lambda a, b: F.struct(a.alias("start"), b.alias("end"))), lambda g: g["start"] <= g["end"])
+    return F.when(F.size(spans) > 0, let(gaps, lambda g: _pieces(text, g, mask))).otherwise(text)

@@ -1,6 +1,8 @@
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from crewcast.llm import secrets
 
@@ -57,6 +59,32 @@ def test_mask(documents):
     assert got == {1: "é [SECRET], [SECRET]!", 2: "plain", 3: None}
 
 
+def test_mask_of_overlapping_spans(spark):
+    def plain(text, spans):
+        out, at = [], 0
+        for a, b in spans:
+            if a >= at:
+                out += [text[at:a], "[SECRET]"]
+            at = max(at, b)
+        return "".join(out) + text[at:]
+
+    rng, rows = random.Random(1), []
+    for i in range(200):
+        text = "".join(rng.choice("abé中 😀") for _ in range(rng.randint(1, 60)))
+        starts = sorted(rng.randrange(len(text)) for _ in range(rng.randint(0, 30)))
+        rows.append((i, text, sorted(("k", a, min(len(text), a + rng.randint(1, 9))) for a in starts)))
+    frame = spark.createDataFrame(rows, "id long, text string, s array<struct<kind:string,start:long,end:long>>")
+    got = dict(frame.select("id", secrets.masked(frame["text"], frame["s"])).collect())
+    assert got == {i: plain(t, [(a, b) for _, a, b in s]) for i, t, s in rows}
+
+
+def test_very_many_secrets_in_a_text(documents):
+    n = 20_000
+    frame = secrets.find_secrets(documents([(1, "é token=abcdef12; " * n)]), out="f")
+    [row] = frame.select(F.size("f").alias("n"), secrets.masked(frame["text"], frame["f"]).alias("m")).collect()
+    assert row["n"] == n and row["m"] == "é [SECRET]; " * n
+
+
 def test_trigram_queries():
     kinds = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.BASE}
     assert kinds["hex"] == []
