@@ -27,12 +27,38 @@ def test_like_the_library(documents):
 
 
 def test_small_tables_and_portions(monkeypatch):
-    monkeypatch.setattr(pieces, "TABLE_CHUNKS", 3)
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 800)
     table, sp = pieces.ChunkTable(MODEL), pieces.processor(MODEL)
     for part in pieces.portions(["a b c d", "", "b c e " * 9, "a"]):
         ids, decoded = pieces.encode_batch(table, part)
         assert ids.to_pylist() == sp.encode(part) and decoded.to_pylist() == part
-    assert [len(p) for p in pieces.portions(["x" * 1_500_000, "x" * 1_500_000, "y"])] == [1, 2]
+    assert [len(p) for p in pieces.portions(["x" * 400_000, "x" * 300_000, "y"])] == [1, 2]
+
+
+def test_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(pieces, "PORTION_CHARS", 11)
+    monkeypatch.setattr(pieces, "LONG_CHUNK", 5)
+    table, sp = pieces.ChunkTable(MODEL), pieces.processor(MODEL)
+    rng = random.Random(3)
+    parts = ["a", "the ", " ", "   ", "▁", " ▁ ", "中" * 9, "word ", "\n", "internationalisation "]
+    for text in ["", " ", *["".join(rng.choice(parts) for _ in range(rng.randint(1, 60))) for _ in range(300)]]:
+        assert "".join(pieces.parts_of(text)) == text
+        ids, decoded = pieces.encode_batch(table, [text])
+        assert ids.to_pylist() == [sp.encode(text)] and decoded.to_pylist() == [sp.decode(sp.encode(text))]
+
+
+def test_the_table_is_bounded_by_bytes():
+    """Texts without white space are one chunk each and are not kept; short ones are, up to the bound."""
+    table, sp = pieces.ChunkTable(MODEL), pieces.processor(MODEL)
+    long = ["".join(chr(0x4E00 + (7 * i + 13 * j) % 9000) for j in range(2000)) for i in range(5000)]
+    for part in pieces.portions(long):
+        ids, _ = pieces.encode_batch(table, part)
+    assert ids.to_pylist()[-1] == sp.encode(long[-1])
+    assert not table.rows and table.used == 0
+    for i in range(60):
+        pieces.encode_batch(table, [" ".join(f"w{i}x{j}" for j in range(20_000)), ""])
+        assert table.used <= pieces.TABLE_BYTES + 20_000_000
+    assert len(table.rows) < 500_000
 
 
 def test_empty_table(documents):
