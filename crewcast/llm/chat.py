@@ -12,17 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crewcast.llm.common import fresh
+from crewcast.operators.ranking import spread_rank
 from crewcast.session import materialise
 
 ROLES = ("user", "assistant", "system")
 
-#: Words that name a speaker.
-SPEAKERS = {
-    "user": ("user", "human", "q", "question", "customer", "prompt", "instruction"),
-    "assistant": ("assistant", "ai", "bot", "a", "answer", "model", "response"),
-    "system": ("system", "context", "s", "setup"),
-}
-
 #: Ways in which raw transcripts mark a speaker; 0, 1, 2 are the roles.
 STYLES = (
     ("User: ", "Assistant: ", "System: "),
@@ -39,70 +34,128 @@ N_STATES = 2 * len(ROLES)
 #: Turns of a conversation in one part. Parts are parsed apart and joined at their ends.
 PART_TURNS = 64
 
-_ROLE_OF = {word: i for i, role in enumerate(ROLES) for word in SPEAKERS[role]}
-_MARKER = re.compile(r"^\s*[#*\s]*(?:\[(\w+)\]|<\|(\w+)\|>|(\w+)\**\s*:)\s*", re.IGNORECASE)
+#: A marker: a short head in brackets, between bars or before a colon, at the start of a line.
+_MARKER = re.compile(r"^[#*\s]*(?:\[([^\[\]\n]{1,24})\]|<\|([^|\n]{1,24})\|>|([^\s:\[\]<>|][^:\n]{0,23}?)\**\s*:(?=\s|$))\s*")
+
+#: Words of a head at most.
+HEAD_WORDS = 3
+
+#: Heads that a transcript repeats but learning did not meet count by their order of appearance, up to so many.
+NEW_HEADS = 3
 
-#: Values of each line feature: speaker marker, length, question, empty line.
-SIZES = (len(ROLES) + 1, 8, 2, 2)
+#: Symbols of the marker feature before those of the heads learnt: no marker, then new heads.
+PLAIN = 1 + NEW_HEADS
 
+#: A head is learnt if one line in so many, or more, has it; so there are no more heads than that.
+HEAD_SHARE = 10_000
 
-def marker(line: str) -> tuple[int, int]:
-    """Role that a line's marker names (0 for none, else 1 + role) and where the words begin."""
+#: Values of the other line features: length, question, empty line.
+SIZES = (8, 2, 2)
+
+
+def head_of(line: str) -> tuple[str | None, int]:
+    """The head of a line's marker in lower case, and where the words after it begin."""
     found = _MARKER.match(line)
-    role = _ROLE_OF.get(next(g for g in found.groups() if g).lower()) if found else None
-    return (0, 0) if role is None else (1 + role, found.end())
+    head = next(g for g in found.groups() if g).strip().lower() if found else ""
+    return (head, found.end()) if head and len(head.split()) <= HEAD_WORDS else (None, 0)
 
 
-def features(line: str) -> tuple[int, ...]:
-    kind, at = marker(line)
-    words = line[at:].strip()
-    return kind, min(7, len(words).bit_length() // 2 if len(words) < 64 else len(words).bit_length() - 3), int(words.endswith("?")), int(not words)
+@dataclass(frozen=True)
+class Marked:
+    """The lines of a text: symbol of the marker (0: none), where the words begin, and the other features."""
+
+    symbols: np.ndarray
+    starts: list[int]
+    others: np.ndarray
+
+
+def marked(lines: list[str], heads: dict[str, int]) -> Marked:
+    """Heads learnt have symbols of their own; others are markers if the text repeats them, told apart by their order."""
+    found = [head_of(x) for x in lines]
+    times = Counter(h for h, _ in found if h is not None)
+    new: dict[str, int] = {}
+    symbols, starts, others = [], [], []
+    for line, (head, at) in zip(lines, found):
+        symbol = heads.get(head, 0)
+        if not symbol and head is not None and times[head] > 1:
+            symbol = 1 + min(new.setdefault(head, len(new)), NEW_HEADS - 1)
+        symbols.append(symbol)
+        starts.append(at if symbol else 0)
+        words = line[starts[-1] :].strip()
+        size = min(7, len(words).bit_length() // 2 if len(words) < 64 else len(words).bit_length() - 3)
+        others.append((size, int(words.endswith("?")), int(not words)))
+    return Marked(np.array(symbols, int), starts, np.array(others, int).reshape(len(lines), len(SIZES)))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Logs of the chances of the first state, of the next state, and of feature values in a state."""
+    """Logs of the chances of the first state, of the next state, and of feature values in a state; heads and their symbols."""
 
     start: np.ndarray
     step: np.ndarray
     emit: tuple[np.ndarray, ...]
+    heads: dict[str, int]
 
     def lines(self, lines: list[str]) -> np.ndarray:
-        found = np.array([features(x) for x in lines], int).reshape(len(lines), len(SIZES))
-        return sum(table[:, found[:, i]] for i, table in enumerate(self.emit)).T
+        found = marked(lines, self.heads)
+        columns = [found.symbols, *found.others.T]
+        return sum(table[:, c] for table, c in zip(self.emit, columns)).T
 
 
 def learn(transcripts: DataFrame, add: float = 0.2) -> Model:
     """Count states, steps and features over transcripts with ``text`` and ``truth`` (state of each line, -1 unknown).
 
-    The counts are summed over all rows; what comes to the driver is the tables' size.
+    What marks a speaker is learnt, not given: any short head in brackets, between bars or
+    before a colon that is frequent enough becomes a symbol, with its chances in each
+    state. All lines are counted once more as if no head were known, which gives the
+    chances of new heads by their order. The counts are summed over all rows; what comes
+    to the driver is the tables' size.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            columns = [[k[i] for k in found] for i in range(3)] + [list(found.values())]
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["what", "a", "b", "n"])
+            found.clear()
+            return out
+
         for b in batches:
             for text, truth, part in zip(*(c.to_pylist() for c in b.columns)):
-                last = -1
-                for i, (line, state) in enumerate(zip(text.split("\n"), truth)):
+                lines, last = text.split("\n"), -1
+                shapes = marked(lines, {})
+                for i, (line, state) in enumerate(zip(lines, truth)):
                     if state >= 0:
                         if last >= 0:
-                            found["step", last, state] += 1
+                            found["step", last, str(state)] += 1
                         elif i == 0 and part == 0:
-                            found["start", 0, state] += 1
-                        for k, v in enumerate(features(line)):
-                            found[f"emit{k}", state, v] += 1
+                            found["start", 0, str(state)] += 1
+                        found["emit0", state, str(shapes.symbols[i])] += 1
+                        head, _ = head_of(line)
+                        if head is not None:
+                            found["head", state, head] += 1
+                        for k, v in enumerate(shapes.others[i].tolist(), 1):
+                            found[f"emit{k}", state, str(v)] += 1
                     last = state
-        columns = [[k[i] for k in found] for i in range(3)] + [list(found.values())]
-        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["what", "a", "b", "n"])
-
-    counted = transcripts.select("text", "truth", "first").mapInArrow(count, "what string, a int, b int, n long")
+            if len(found) > 200_000:
+                yield flush()
+        yield flush()
+
+    counted = transcripts.select("text", "truth", "first").mapInArrow(count, "what string, a int, b string, n long")
+    counted = materialise(counted.groupBy("what", "a", "b").agg(F.sum("n").alias("n")), "chat-counts")
+    lines = counted.where("what = 'emit0'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = counted.where("what = 'head'").groupBy("b").agg(F.sum("n").alias("n")).where((F.col("n") > 1) & (F.col("n") * HEAD_SHARE >= lines))
+    heads = {r["b"]: PLAIN + i for i, r in enumerate(often.select("b").orderBy("b").collect())}
     tables = {"start": np.full((1, N_STATES), add), "step": np.full((N_STATES, N_STATES), add)}
-    tables |= {f"emit{k}": np.full((N_STATES, n), add) for k, n in enumerate(SIZES)}
-    for r in counted.groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect():
-        tables[r["what"]][r["a"], r["b"]] += r["n"]
+    tables |= {f"emit{k}": np.full((N_STATES, n), add) for k, n in enumerate((PLAIN + len(heads), *SIZES))}
+    for r in counted.where("what != 'head'").collect():
+        tables[r["what"]][r["a"], int(r["b"])] += r["n"]
+    for r in counted.where("what = 'head'").join(F.broadcast(often.select("b")), "b").collect():  # within the share
+        tables["emit0"][r["a"], heads[r["b"]]] += r["n"]
     logs = {k: np.log(t / t.sum(1, keepdims=True)) for k, t in tables.items()}
-    return Model(logs["start"][0], logs["step"], tuple(logs[f"emit{k}"] for k in range(len(SIZES))))
+    return Model(logs["start"][0], logs["step"], tuple(logs[f"emit{k}"] for k in range(1 + len(SIZES))), heads)
 
 
 def through(model: Model, lines: list[str]) -> np.ndarray:
@@ -145,16 +198,17 @@ def _ends(model: Model, parts: list[list[str]] | list[np.ndarray]) -> list[tuple
     return [(None, ends[0]), *zip(ends, ends[1:])]
 
 
-def render(lines: list[str], states: list[int]) -> tuple[list[str], str]:
-    """Roles of the turns, and the canonical text: each turn between its role's tag and an end tag."""
+def render(lines: list[str], states: list[int], heads: dict[str, int]) -> tuple[list[str], str]:
+    """Roles of the turns, and the canonical text: each turn between its role's tag and an end tag.
+
+    A marker is taken off where a turn starts.
+    """
     turns: list[tuple[int, list[str]]] = []
-    for line, state in zip(lines, states):
-        kind, at = marker(line)
-        words = line[at:].strip() if kind else line.strip()
+    for line, state, at in zip(lines, states, marked(lines, heads).starts):
         if not turns or state % 2 == 0 or turns[-1][0] != state // 2:
-            turns.append((state // 2, [words]))
+            turns.append((state // 2, [line[at:].strip()]))
         else:
-            turns[-1][1].append(words)
+            turns[-1][1].append(line.strip())
     text = "".join(f"<|{ROLES[r]}|>\n" + "\n".join(x).strip("\n") + "\n<|end|>\n" for r, x in turns)
     return [ROLES[r] for r, _ in turns], text
 
@@ -169,8 +223,11 @@ def parse(transcripts: DataFrame, model: Model) -> DataFrame:
     very long conversation is spread over tasks with the result of one Viterbi pass.
 
     Defined cases: an empty text is one empty line; null texts count as empty; a null id
-    is an id; rows that repeat an id and part are decoded each, with one state at a seam.
+    is an id; rows that repeat an id and part are decoded each, with one state at a seam;
+    names of other columns are kept, an underscore is appended to an added one that clashes.
     """
+    n_key, n_part, n_before, n_after, n_done, k = fresh(transcripts, "_key", "_part", "before", "after", "_d", "_k")
+    states, roles, rendered = fresh(transcripts, "states", "roles", "rendered")
     source = transcripts.withColumn("text", F.coalesce("text", F.lit("")))
     key = F.coalesce(F.col("id").cast("string"), F.lit("null"))
     counts = source.groupBy(key.alias("_key")).agg(F.countDistinct("part").alias("_n")).where("_n > 1").select("_key")
@@ -201,8 +258,8 @@ def parse(transcripts: DataFrame, model: Model) -> DataFrame:
         columns = [table["_key"], table["_part"], pa.array([a for a, _ in found], pa.int32()), pa.array([b for _, b in found], pa.int32())]
         return pa.table(columns, names=["_key", "_part", "before", "after"])
 
-    known = small.groupBy("_key").applyInArrow(seams, "_key string, _part long, before int, after int")
-    joined = source.withColumn("_k", key).join(known, (F.col("_k") == F.col("_key")) & (F.col("part") == F.col("_part")), "left")
+    known = small.groupBy("_key").applyInArrow(seams, "_key string, _part long, before int, after int").toDF(n_key, n_part, n_before, n_after)
+    joined = source.withColumn(k, key).join(known, (F.col(k) == F.col(n_key)) & (F.col("part") == F.col(n_part)), "left")
 
     @F.arrow_udf("states array<int>, roles array<string>, rendered string")
     def decode(text: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
@@ -210,43 +267,46 @@ def parse(transcripts: DataFrame, model: Model) -> DataFrame:
         for t, a, b in zip(text.to_pylist(), before.to_pylist(), after.to_pylist()):
             lines = t.split("\n")
             states = viterbi(model, lines, a, b)
-            roles, rendered = render(lines, states)
+            roles, rendered = render(lines, states, model.heads)
             out.append({"states": states, "roles": roles, "rendered": rendered})
         kind = pa.struct([("states", pa.list_(pa.int32())), ("roles", pa.list_(pa.string())), ("rendered", pa.string())])
         return pa.array(out, kind)
 
-    decoded = joined.withColumn("_d", decode("text", "before", "after"))
-    return decoded.select(*transcripts.columns, "_d.states", "_d.roles", "_d.rendered")
+    decoded = joined.withColumn(n_done, decode("text", n_before, n_after))
+    found = [F.col(f"{n_done}.{c}").alias(n) for c, n in (("states", states), ("roles", roles), ("rendered", rendered))]
+    return decoded.select(*[F.col(f"`{c}`") for c in transcripts.columns], *found)
 
 
 def raw_transcripts(
     conversations: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
-    """(id, part, first, text, truth): conversations as the raw text that a dump of chats holds.
+    """(id, style, part, first, text, truth): conversations as the raw text that a dump of chats holds.
 
-    A hash of the id picks the way speakers are marked; about one marker in six is
-    missing. ``truth`` is the state of each line. Turns stand in parts of ``PART_TURNS``;
-    ``first`` is 0 for the first part. Rows without a turn are dealt over parts before the
-    others; equal turns go by text, then role.
+    A hash of the id picks the way speakers are marked (``style``); about one marker in six
+    is missing. ``truth`` is the state of each line. Turns stand in parts of at most
+    ``PART_TURNS``, whatever their numbers; ``first`` is 0 for the first part. Rows without
+    a turn stand before the others; equal turns go by a hash of role and text.
     """
-    n = F.col(turn_col).cast("long")
-    part = F.when(n.isNull(), -1 - F.pmod(F.xxhash64(text_col, role_col), F.lit(1024))).otherwise(F.floor(n / PART_TURNS)).cast("long")
     role = F.array_position(F.array(*map(F.lit, ROLES)), F.coalesce(F.col(role_col), F.lit(""))).cast("int") - 1
-    style = F.get(F.array(*[F.array(*map(F.lit, s)) for s in STYLES]), F.pmod(F.xxhash64(F.lit("style"), id_col), F.lit(len(STYLES))).cast("int"))
+    number = F.pmod(F.xxhash64(F.lit("style"), id_col), F.lit(len(STYLES))).cast("int")
+    heads = F.get(F.array(*[F.array(*map(F.lit, s)) for s in STYLES]), number)
     marked = F.pmod(F.xxhash64(F.lit("mark"), id_col, turn_col, text_col), F.lit(6)) > 0
     text = F.coalesce(F.col(text_col), F.lit(""))
-    shown = F.when(marked & (role >= 0), F.concat(F.get(style, role), text)).otherwise(text)
+    shown = F.when(marked & (role >= 0), F.concat(F.get(heads, role), text)).otherwise(text)
     states = F.transform(F.split(text, "\n"), lambda x, i: F.when(role < 0, -1).otherwise(2 * role + (i > 0).cast("int")))
     turns = conversations.select(
-        F.col(id_col).alias("id"), part.alias("part"), F.struct(n.alias("turn"), text.alias("text"), role.alias("role"), shown.alias("shown"), states.alias("states")).alias("t")
-    )
-    parts = turns.groupBy("id", "part").agg(F.array_sort(F.collect_list("t")).alias("ts"))  # about PART_TURNS turns
-    first = parts.groupBy("id").agg(F.min("part").alias("least"))
-    parts = parts.join(first.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")))
+        F.col(id_col).alias("id"), number.alias("style"), F.coalesce(F.col(turn_col).cast("long"), F.lit(-(2**62))).alias("turn"),
+        F.xxhash64(text_col, role_col).alias("tie"), shown.alias("shown"), states.alias("states"),
+    )
+    placed = spread_rank(turns, ["id"], ["turn", "tie"], "pos")
+    placed = placed.withColumn("part", F.floor(F.col("pos") / PART_TURNS).cast("long"))
+    turn = F.struct("pos", "shown", "states")
+    parts = placed.groupBy("id", "style", "part").agg(F.array_sort(F.collect_list(turn)).alias("ts"))  # PART_TURNS turns at most
     return parts.select(
         "id",
+        "style",
         "part",
-        (F.col("part") - F.col("least")).alias("first"),
+        F.col("part").alias("first"),
         F.array_join(F.transform("ts", lambda x: x["shown"]), "\n").alias("text"),
         F.flatten(F.transform("ts", lambda x: x["states"])).alias("truth"),
     )

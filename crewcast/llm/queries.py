@@ -130,16 +130,18 @@ def op6_lattice_scores(spark, sf_dir):
 
 @query
 def op4_chat_format(spark, sf_dir):
-    """Every conversation, as a raw transcript, parsed and rendered; a fifth of them is held out."""
+    """Every conversation, as a raw transcript, parsed and rendered; a fifth of them is held out, and so is a way of marking."""
     raw = materialise(chat.raw_transcripts(table(spark, sf_dir, "conversations")), "chat-raw")
     held_out = toxicity.fold_of(F.col("id"), 5) == 0
-    model = chat.learn(raw.where(~held_out))
+    new_style = F.col("style") == len(chat.STYLES) - 1
+    model = chat.learn(raw.where(~held_out & ~new_style))
     parsed = chat.parse(raw, model)
     right = F.size(F.filter(F.zip_with("states", "truth", lambda a, b: F.floor(a / 2) == F.floor(b / 2)), lambda x: x))
     return parsed.select(
         F.col("id").alias("conv_id"),
         "part",
         held_out.alias("held_out"),
+        new_style.alias("new_style"),
         F.size("states").cast("long").alias("n_lines"),
         right.cast("long").alias("n_right"),
         F.array_join("roles", ",").alias("roles"),

@@ -1,4 +1,5 @@
 import math
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -147,7 +148,7 @@ def test_chat_roles_and_rendering(spark):
     assert len(got) == 20 and np.mean(right) >= 0.97
     assert all(len(r["states"]) == len(r["text"].split("\n")) for r in got)
     lines = ["User: hi there", "more", "Assistant: yes"]
-    assert chat.render(lines, [0, 1, 2]) == (["user", "assistant"], "<|user|>\nhi there\nmore\n<|end|>\n<|assistant|>\nyes\n<|end|>\n")
+    assert chat.render(lines, [0, 1, 2], {"user": 4, "assistant": 5}) == (["user", "assistant"], "<|user|>\nhi there\nmore\n<|end|>\n<|assistant|>\nyes\n<|end|>\n")
 
 
 def test_parts_give_the_path_of_the_whole(spark, monkeypatch):
@@ -161,6 +162,52 @@ def test_parts_give_the_path_of_the_whole(spark, monkeypatch):
     assert parts == whole
 
 
+def test_new_ways_of_marking(spark):
+    """A style that was never learnt is read by the order in which its heads appear."""
+    raw = chat.raw_transcripts(conversations(spark, 240)).cache()
+    model = chat.learn(raw.where("style != 5 and style != 0"))
+    assert "instruction" in model.heads and "prompt" not in model.heads and "user" in model.heads  # from [user]
+    got = chat.parse(raw.where("style = 5"), model).collect()
+    right = [a // 2 == b // 2 for r in got for a, b in zip(r["states"], r["truth"])]
+    assert len(got) > 20 and np.mean(right) >= 0.95
+    assert np.mean(["<|prompt|>" in r["rendered"] for r in got]) < 0.2  # a head that stands once is no marker
+
+
+def test_heads():
+    heads = {"### x": 9}
+    assert chat.head_of("[User] hi") == ("user", 7) and chat.head_of("<|model|> yes") == ("model", 10)
+    assert chat.head_of("**Dr Who**: hi") == ("dr who", 12) and chat.head_of("### Response: a") == ("response", 14)
+    assert chat.head_of("at 10:30 we met") == (None, 0) and chat.head_of("one two three four: x") == (None, 0) and chat.head_of("") == (None, 0)
+    found = chat.marked(["Bob: a", "Ann: b", "Bob: c", "Note: once", "Ann: d", "plain"], heads)
+    assert found.symbols.tolist() == [1, 2, 1, 0, 2, 0] and found.starts == [5, 5, 5, 0, 5, 0]
+
+
+def test_viterbi_against_all_paths():
+    rng = np.random.default_rng(4)
+
+    def logs(*shape):
+        table = rng.random(shape) + 0.01
+        return np.log(table / table.sum(-1, keepdims=True))
+
+    heads = {"user": 4, "bot": 5}
+    model = chat.Model(logs(6), logs(6, 6), (logs(6, 6), *[logs(6, n) for n in chat.SIZES]), heads)
+    for text in ("User: a?\nb", "x\n\nbot: yes", "User: q?\nmore and more words\nbot: a\nUser: z", "Al: 1\nBo: 2\nAl: 3"):
+        lines = text.split("\n")
+        emitted = model.lines(lines)
+        score = lambda path, before: sum(emitted[i, s] for i, s in enumerate(path)) + (model.start if before is None else model.step[before])[path[0]] + sum(model.step[a, b] for a, b in zip(path, path[1:]))  # noqa: E731, B023
+        for before, after in ((None, None), (2, None), (None, 3), (1, 4)):
+            paths = [p for p in itertools.product(range(6), repeat=len(lines)) if after is None or p[-1] == after]
+            best = max(paths, key=lambda p: score(p, before))  # noqa: B023
+            assert tuple(chat.viterbi(model, lines, before, after)) == best
+
+
+def test_turns_that_repeat_a_number_are_dealt(spark):
+    frame = spark.range(700).selectExpr("1L as conv_id", "if(id < 300, 7L, null) as turn", "'user' as role", "concat('t', id) as text")
+    raw = chat.raw_transcripts(frame).collect()
+    assert len(raw) == 11 and max(len(r["truth"]) for r in raw) == chat.PART_TURNS
+    assert sorted(r["first"] for r in raw) == list(range(11))
+
+
 def test_chat_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, None, "x"), (None, 1, "tool", ""), (None, 0, "user", "a"), (2, 70, "assistant", "b\n\nc"), (2, 1, "user", "q?")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
