@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewcast.llm.common import fresh
+from crewcast.llm.common import fresh, lean
 from crewcast.operators.components import label_nodes
 from crewcast.session import materialise
 
@@ -26,6 +26,9 @@ MOST_FREQUENT = 500_000
 CROWD = 16
 BLOCK_NODES = 128
 
+#: Shingles of a block's nodes together, about; a block of longer texts has fewer nodes.
+BLOCK_SHINGLES = 200_000
+
 #: Rows of two ids that may go to every task.
 BROADCAST_ROWS = 500_000
 
@@ -130,8 +133,9 @@ def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1
     """Shingles that come up often, with their count.
 
     A task counts about ``each`` shingles at a time and reports those it meets ``least``
-    times; the ``most`` with the largest sums make the list. It only decides the order
-    in which shingles are taken, so a count that is too low costs time, never a link.
+    times; those with the largest sums make the list, at most ``most``, cut where a
+    histogram of the sums (64 cells to a doubling) says. It only decides the order in
+    which shingles are taken, so a count that is too low costs time, never a link.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +157,14 @@ def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1
         if held:
             yield report()
 
-    counted = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "h").limit(most).toArrow()
+    counted = docs.select("text").mapInArrow(lean(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = materialise(counted.withColumn("cell", F.floor(F.log2("n") * 64).cast("int")), "jaccard-counts")
+    cut, kept = 1 << 20, 0
+    for cell, n in sorted(counted.groupBy("cell").count().collect(), reverse=True):  # 64 rows for each doubling
+        if kept + n > most:
+            break
+        cut, kept = cell, kept + n
+    rows = counted.where(F.col("cell") >= cut).select("h", "n").toArrow()
     return Orders(rows["h"].to_numpy().view(np.uint64), rows["n"].to_numpy())
 
 
@@ -180,7 +190,7 @@ def _described(docs: DataFrame, orders: Orders, least: tuple[int, int]) -> DataF
                 ["uid", "id", "n", "digest", "prefix"],
             )
 
-    return docs.select("uid", "id", "text").mapInArrow(describe, "uid long, id long, n long, digest binary, prefix array<long>")
+    return docs.select("uid", "id", "text").mapInArrow(lean(describe), "uid long, id long, n long, digest binary, prefix array<long>")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -224,12 +234,14 @@ def _blocks(held: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, comp, block) of the holders of crowded shingles, and the pairs of blocks that share such a shingle.
 
     A node goes with its most crowded shingle, and the nodes of one shingle are dealt over
-    blocks of about ``BLOCK_NODES``, so that what is alike stands together and the pairs of
-    blocks grow far slower than the pairs of nodes.
+    blocks of about ``BLOCK_NODES``, or fewer if these have more than ``BLOCK_SHINGLES``
+    shingles, so that what is alike stands together and the pairs of blocks grow far slower
+    than the pairs of nodes.
     """
-    node = held.groupBy("node", "comp").agg(F.max(F.struct("holders", "token")).alias("top"))
-    sizes = node.groupBy(F.col("top.token").alias("_t")).agg(F.count("*").alias("_size"))
-    dealt = F.pmod(F.xxhash64("node"), F.ceil(F.col("_size") / BLOCK_NODES))
+    node = held.groupBy("node", "comp").agg(F.max(F.struct("holders", "token")).alias("top"), F.max("n").alias("n"))
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    sizes = node.groupBy(F.col("top.token").alias("_t")).agg(parts.alias("_parts"))
+    dealt = F.pmod(F.xxhash64("node"), F.col("_parts"))
     placed = node.join(sizes, F.col("top.token") == F.col("_t")).select("node", "comp", F.xxhash64("_t", dealt).alias("block"))
     placed = materialise(placed, "jaccard-blocks")
     found = held.select("token", F.col("node").alias("_n")).join(placed, F.col("_n") == F.col("node"))
@@ -246,7 +258,7 @@ def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders:
     """
     rows = texts.select(F.col("node").alias("_n"), "text").join(_sent(placed), F.col("node") == F.col("_n"))
     packed = rows.groupBy("block").agg(F.collect_list(F.struct("node", "comp", "text")).alias("rows"))
-    packed = materialise(packed, "jaccard-packed")  # about BLOCK_NODES rows each
+    packed = materialise(packed, "jaccard-packed")  # about BLOCK_NODES texts or BLOCK_SHINGLES shingles each
     both = pairs.join(packed.withColumnsRenamed({"block": "x", "rows": "left"}), "x")
     both = both.join(packed.withColumnsRenamed({"block": "y", "rows": "right"}), "y")
 
@@ -275,7 +287,7 @@ def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders:
                 yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     with _small_batches(both.sparkSession, 16):  # a row holds two blocks
-        return materialise(both.select("left", "right").mapInArrow(compare, "a long, b long"), "jaccard-links")
+        return materialise(both.select("left", "right").mapInArrow(lean(compare), "a long, b long"), "jaccard-links")
 
 
 @contextmanager
@@ -359,7 +371,7 @@ def _links(pairs: DataFrame, texts: DataFrame, orders: Orders, least: tuple[int,
                 keep.append(near and least[1] * common >= least[0] * (len(mine) + len(yours) - common))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "b_text", "a_text").mapInArrow(verify, "a long, b long")
+    return pairs.select("a", "b", "b_text", "a_text").mapInArrow(lean(verify), "a long, b long")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, repeated: bool) -> DataFrame:
@@ -367,7 +379,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, repeated: bool) -> DataFrame:
     wanted = materialise(nodes.select("node", "digest", F.col("id").alias("_id")), "jaccard-wanted")
     found = docs.join(_sent(wanted), F.col("id") == F.col("_id")).select("node", "digest", "text")
     if repeated:  # rows that repeat an id may have other texts or blank ones
-        found = found.mapInArrow(_right_texts, "node long, digest binary, text string").dropDuplicates(["node"])
+        found = found.mapInArrow(lean(_right_texts), "node long, digest binary, text string").dropDuplicates(["node"])
     return materialise(found.select("node", "text"), "jaccard-texts")
 
 

@@ -95,16 +95,18 @@ def mix_sources(
     inside = Window.partitionBy(src, piece).orderBy(key, F.col(id_col), n_size)
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn(before, F.coalesce(F.sum(n_size).over(inside), F.lit(0)))
-    starts = starts.drop("n").toDF(*[f"_mix_{c}" for c in starts.drop("n").columns])
-    joined = placed.join(starts, (F.col(src) == F.col("_mix_src")) & (F.col(piece) == F.col("_mix_piece")))
-    whole, n = F.col("_mix_source_size"), F.col(n_size)
-    budget = F.floor(F.col("_mix_target") + 0.5).cast("long")
-    epochs = F.when(whole > 0, F.expr("floor(_mix_target + 0.5) div _mix_source_size")).otherwise(F.lit(0)).cast("long")
+    theirs = starts.drop("n").columns
+    mine = dict(zip(theirs, fresh(placed, *[f"_mix_{c}" for c in theirs])))
+    starts = starts.select(*[F.col(c).alias(n) for c, n in mine.items()])
+    joined = placed.join(starts, (F.col(src) == F.col(mine["src"])) & (F.col(piece) == F.col(mine["piece"])))
+    whole, n = F.col(mine["source_size"]), F.col(n_size)
+    budget = F.floor(F.col(mine["target"]) + 0.5).cast("long")
+    epochs = F.when(whole > 0, F.expr(f"floor(`{mine['target']}` + 0.5) div `{mine['source_size']}`")).otherwise(F.lit(0)).cast("long")
     rest = budget - epochs * whole
-    last = F.greatest(F.lit(0), F.least(n, rest - F.col("_mix_start") - F.col(before)))
+    last = F.greatest(F.lit(0), F.least(n, rest - F.col(mine["start"]) - F.col(before)))
     out = {
         n_all: whole,
-        n_target: F.col("_mix_target"),
+        n_target: F.col(mine["target"]),
         n_taken: epochs * n + last,
         n_copies: epochs + F.when((last == n) & (n > 0), 1).otherwise(0),
         n_cut: F.when(last < n, last).otherwise(0),
