@@ -14,8 +14,20 @@ from crewcast.session import materialise
 TOXIC = 0.7
 
 
+#: Bytes of texts that go to a Python worker at a time, about.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on texts reach Python in small batches, whatever their length: both sides of the pipe hold one each."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("bB") or 0) not in range(1, BATCH_BYTES + 1):
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic; two thirds of the labels teach the lexicon."""
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels").where(toxicity.fold_of(F.col("doc_id"), 3) != 1)
     score = toxicity.scorer(toxicity.learn(docs, labels))
     return docs.where(score("text") < TOXIC)
@@ -23,6 +35,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the smallest id."""
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
@@ -41,10 +54,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids and the text that these decode to."""
-    encoded = docs.withColumn("_e", pieces.encoder(pieces.read_model(PIECES))("text"))
+    """The documents with their token ids and the text that these decode to; added names get an underscore where one is taken."""
+    small_batches(spark)
+    found, count, ids = fresh(docs, "_e", "n_tokens", "ids")
+    encoded = docs.withColumn(found, pieces.encoder(pieces.read_model(PIECES))("text"))
     columns = [F.col(c) for c in docs.columns if c not in ("text", "n_chars")]
-    return encoded.select(*columns, F.size("_e.ids").cast("long").alias("n_tokens"), F.col("_e.ids").alias("ids"), F.col("_e.decoded").alias("text"))
+    parts = [F.size(f"{found}.ids").cast("long").alias(count), F.col(f"{found}.ids").alias(ids), F.col(f"{found}.decoded").alias("text")]
+    return encoded.select(*columns, *parts)
 
 
 STAGES = [
