@@ -36,24 +36,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _written: list[str] = []
 
 
-def discard_intermediates(spark: SparkSession) -> int:
-    """Delete the tables that ``materialise`` has written; call it once results are stored."""
+def written_so_far() -> int:
+    """How many tables ``materialise`` has written: a mark for ``discard_intermediates``."""
+    return len(_written)
+
+
+def discard_intermediates(spark: SparkSession, since: int = 0, keep_last: bool = False) -> int:
+    """Delete the tables that ``materialise`` has written since a mark; call it once results are stored.
+
+    With ``keep_last`` the last one stays, such as the result that the others led to.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    last = [_written.pop()] if keep_last and len(_written) > since else []
     done = 0
-    while _written:
+    while len(_written) > since:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         done += bool(path.getFileSystem(conf).delete(path, True))
+    _written.extend(last)
     return done
 
 
-def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), kept: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors and, unlike a checkpoint, keeps
-    column pruning and filter pushdown for later reads.
+    column pruning and filter pushdown for later reads. A table that is ``kept`` is not
+    one that ``discard_intermediates`` deletes.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    _written.append(path)
+    if not kept:
+        _written.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,10 +10,11 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from crewcast.operators.ranking import spread_rank
 from crewcast.params import Params
 from crewcast.plans.allocation import Inputs
+from crewcast.session import materialise
 
 # The market segments of the customer table, used as skills.
 SKILLS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -88,25 +89,31 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("l_orderkey")
 
 
-def jobs(spark: SparkSession, folder: str, params: Params) -> DataFrame:
-    """One job per order at the customer's site."""
-    key, created = F.col("o_orderkey"), F.col("created")
-    today = F.lit(params.as_of)
-    nation = Window.partitionBy("s_nationkey")
+@cache
+def _numbered_suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers with their number ``nth`` within the nation, found without a task that sees a whole nation."""
     suppliers = table(spark, folder, "supplier").select(
         "s_nationkey",
+        "s_suppkey",
         F.col("s_name").alias("booked_name"),
         F.concat(F.lit("V"), (F.col("s_suppkey") % 5).cast("string")).alias("booked_vendor"),
-        (F.row_number().over(nation.orderBy("s_suppkey")) - 1).alias("nth"),
-        F.count("*").over(nation).alias("n_suppliers"),
     )
+    ranked = spread_rank(suppliers, ["s_nationkey"], ["s_suppkey"], "nth").drop("s_suppkey")
+    return materialise(ranked, "numbered-suppliers", kept=True)
+
+
+def jobs(spark: SparkSession, folder: str, params: Params) -> DataFrame:
+    """One job per order at the customer's site."""
+    key, created = F.col("o_orderkey"), F.col("created")
+    today = F.lit(params.as_of)
+    suppliers = _numbered_suppliers(spark, folder)
     base = order_lines(spark, folder).join(sites(spark, folder), F.col("o_custkey") == F.col("c_custkey"))
-    counts = suppliers.select(F.col("s_nationkey").alias("cn"), "n_suppliers").distinct()
+    counts = suppliers.groupBy(F.col("s_nationkey").alias("cn")).agg(F.count("*").alias("n_suppliers"))
     base = base.join(counts, F.col("c_nationkey") == F.col("cn"), "left").withColumn(
         "pick", F.when(F.col("n_suppliers") > 0, key % F.col("n_suppliers"))
     )
     base = base.join(
-        suppliers.drop("n_suppliers"),
+        suppliers,
         (F.col("c_nationkey") == F.col("s_nationkey")) & (F.col("pick") == F.col("nth")),
         "left",
     )

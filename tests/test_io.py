@@ -319,3 +319,14 @@ def test_intermediates_can_be_discarded(spark):
     assert os.path.isdir(folder)
     assert discard_intermediates(spark) >= 1
     assert not os.path.exists(folder)
+
+
+def test_what_led_to_a_result_can_be_discarded(spark):
+    from crewcast.session import discard_intermediates, materialise, written_so_far
+
+    before = materialise(spark.range(2), "before")
+    mark = written_so_far()
+    steps = [materialise(spark.range(n), f"step-{n}") for n in (3, 4, 5)]
+    assert discard_intermediates(spark, mark, keep_last=True) == 2
+    assert steps[2].count() == 5 and before.count() == 2 and written_so_far() == mark + 1
+    assert discard_intermediates(spark, mark, keep_last=True) == 0
