@@ -57,3 +57,12 @@ def test_empty_and_odd_documents(spark, small, tmp_path):
             stage(spark, docs, small).write.parquet(f"{tmp_path}/{case}{k}")
             docs = spark.read.parquet(f"{tmp_path}/{case}{k}")
         assert docs.count() == 0 if case == "empty" else docs.count() >= 1
+
+
+def test_run_leaves_its_result_only(spark, small):
+    from crewcast.session import written_so_far
+
+    mark = written_so_far()
+    rows = corpus_pipeline.run(spark, small)
+    assert written_so_far() == mark + 1
+    assert rows.count() > 0 and {"doc_id", "ids", "n_tokens", "text"} <= set(rows.columns)
