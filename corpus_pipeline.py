@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from crewcast.llm import jaccard, mixing, pieces, secrets, toxicity
 from crewcast.llm.common import fresh, table
 from crewcast.llm.queries import PIECES
-from crewcast.session import materialise
+from crewcast.session import discard_intermediates, materialise, written_so_far
 
 #: Documents with this score or more are rejected.
 TOXIC = 0.7
@@ -76,7 +76,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; what a stage wrote on its way, and the stage before it, goes once its result is stored."""
+    docs, mark = table(spark, sf_dir, "documents"), written_so_far()
     for k, (_, stage) in enumerate(STAGES):
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        discard_intermediates(spark, mark, keep_last=True)
     return docs
