@@ -574,5 +574,28 @@ QUERIES: dict[str, tuple[str, str]] = {
 }
 
 
+#: The business calendar without the holidays of one country.
+HOLIDAY_CALENDAR = """
+days AS (SELECT CAST(unnest(generate_series(DATE '1990-01-01', DATE '2010-12-31', INTERVAL 1 DAY)) AS DATE) AS day),
+open_days AS (
+  SELECT day, CAST(isodow(day) <= 5 AND NOT (day(day) IN (1, 15)
+    AND day IN (SELECT CAST(o_orderdate AS DATE) FROM orders)) AS INT) AS o FROM days
+),
+calendar AS (SELECT day, o = 1 AS is_business, CAST(sum(o) OVER (ORDER BY day) - o AS INT) AS ord FROM open_days),
+workdays AS (SELECT day, ord FROM calendar WHERE is_business)"""
+
+#: Planner jobs whose predicted duration is the mean label of their market.
+PREDICTED_JOBS = JOBS_RAW.strip().replace("jobs_raw AS (", "jobs_given AS (") + """,
+jobs_raw AS (
+  SELECT g.* REPLACE (round(coalesce(m, w), 6) AS JobDurationML) FROM jobs_given g
+    LEFT JOIN (SELECT market AS mk, avg(label) AS m FROM training GROUP BY 1) ON mk = Market,
+    (SELECT avg(label) AS w FROM training)
+)"""
+
+
 def sql() -> dict[str, str]:
-    return {name: with_blocks(blocks, select) for name, (blocks, select) in QUERIES.items()}
+    found = {name: with_blocks(blocks, select) for name, (blocks, select) in QUERIES.items()}
+    placed = with_blocks("construction placed", _overlay("placed", False))
+    found["allocate_with_holidays"] = placed.replace(CALENDAR.strip(), HOLIDAY_CALENDAR.strip())
+    found["allocate_predicted"] = placed.replace(JOBS_RAW.strip(), PREDICTED_JOBS)
+    return found

@@ -540,6 +540,30 @@ def allocation_text(spark, folder):
     return allocation_overlay(views.inputs(spark, folder, PARAMS), PARAMS)
 
 
+@query
+def allocate_with_holidays(spark, folder):
+    """Placements that also pass over the holidays of a country."""
+    params = dataclasses.replace(PARAMS, country_code="AA")
+    inputs = dataclasses.replace(views.inputs(spark, folder, params), holidays=materialise(_holidays(spark, folder), "holidays"))
+    return overlay.typed_overlay(allocate(inputs, params))
+
+
+@query
+def allocate_predicted(spark, folder):
+    """The whole way: a model trained on construction records, saved and reloaded, scores the planner's jobs, which are then placed."""
+    rows = materialise(features.training_rows(views.construction(spark, folder), PARAMS), "training")
+    path = scratch_path(spark, "model")
+    save_model(forecast.group_mean_model(rows, "market"), path)
+    jobs, none = views.jobs(spark, folder, PARAMS), F.lit(None).cast("string")
+    to_score = jobs.select(
+        F.col("JobID").alias("id"), none.alias("region"), F.upper("Market").alias("market"), none.alias("package_name"),
+        F.col("Latitude").alias("latitude"), F.col("Longitude").alias("longitude"), "refresh_date",
+    )
+    scored = forecast.score(load_model(path), to_score, PARAMS).withColumn("JobDurationML", F.round("JobDurationML", 6))
+    inputs = dataclasses.replace(views.inputs(spark, folder, PARAMS), jobs=overlay.with_predictions(jobs, scored))
+    return overlay.typed_overlay(allocate(inputs, PARAMS))
+
+
 @query
 def coded_overlay(spark, folder):
     """The overlay rows that triage settles alone."""
