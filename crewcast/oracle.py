@@ -574,6 +574,15 @@ QUERIES: dict[str, tuple[str, str]] = {
 }
 
 
+#: The split of one category's codes that lowers the squared error most, of each fold's training rows.
+ONE_SPLIT = """SELECT r.fold, round(avg(abs(label - CASE WHEN region = g THEN m1 ELSE m0 END)), 6) AS mae
+  FROM (SELECT c.fold, g, s / n AS m1, (all_s - s) / (all_n - n) AS m0,
+      row_number() OVER (PARTITION BY c.fold ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC) AS nth
+    FROM (SELECT f.fold, region AS g, count(*)::DOUBLE AS n, sum(label)::DOUBLE AS s,
+        sum(count(*)::DOUBLE) OVER (PARTITION BY f.fold) AS all_n, sum(sum(label)::DOUBLE) OVER (PARTITION BY f.fold) AS all_s
+      FROM (SELECT DISTINCT fold FROM folded) f JOIN folded r ON r.fold <> f.fold GROUP BY 1, 2) c) b
+    JOIN folded r ON r.fold = b.fold WHERE nth = 1 GROUP BY 1"""
+
 #: The business calendar without the holidays of one country.
 HOLIDAY_CALENDAR = """
 days AS (SELECT CAST(unnest(generate_series(DATE '1990-01-01', DATE '2010-12-31', INTERVAL 1 DAY)) AS DATE) AS day),
@@ -596,6 +605,7 @@ jobs_raw AS (
 def sql() -> dict[str, str]:
     found = {name: with_blocks(blocks, select) for name, (blocks, select) in QUERIES.items()}
     placed = with_blocks("construction placed", _overlay("placed", False))
+    found |= dict.fromkeys(("cv_forest_of_one_split", "cv_boosting_of_one_split"), with_blocks("folded", ONE_SPLIT))
     found["allocate_with_holidays"] = placed.replace(CALENDAR.strip(), HOLIDAY_CALENDAR.strip())
     found["allocate_predicted"] = placed.replace(JOBS_RAW.strip(), PREDICTED_JOBS)
     return found

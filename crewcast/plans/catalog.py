@@ -248,6 +248,25 @@ def cv_elastic_net_one_number(spark, folder):
     return found.select("fold", "regParam", "elasticNetParam", F.round("mae", 6).alias("mae"))
 
 
+def _stump_errors(spark, folder, model, grid):
+    params = dataclasses.replace(PARAMS, model=model, categorical_cols=("region",))
+    rows = features.training_rows(views.construction(spark, folder), PARAMS)
+    found = forecast.point_errors(forecast.train(rows, params, grid), views.table(spark, folder, "region"))
+    return found.select("fold", F.round("mae", 6).alias("mae"))
+
+
+@query
+def cv_forest_of_one_split(spark, folder):
+    """Errors by fold of a forest of one tree with one split, on the codes of one category; all rows grow it."""
+    return _stump_errors(spark, folder, "random_forest", {"maxDepth": [1], "numTrees": [1], "bootstrap": [False]})
+
+
+@query
+def cv_boosting_of_one_split(spark, folder):
+    """Errors by fold of one boosting step with one split, which is the same tree."""
+    return _stump_errors(spark, folder, "gradient_boosting", {"maxDepth": [1], "maxIter": [1]})
+
+
 @query
 def saved_group_means(spark, folder):
     """Open rows scored by a saved and reloaded model, the mean of the work package."""
