@@ -20,9 +20,7 @@ BATCH_BYTES = 8 << 20
 
 def small_batches(spark: SparkSession) -> None:
     """From here on texts reach Python in small batches, whatever their length: both sides of the pipe hold one each."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("bB") or 0) not in range(1, BATCH_BYTES + 1):
-        spark.conf.set(key, f"{BATCH_BYTES}b")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
