@@ -36,6 +36,7 @@ def near_sites(sites: DataFrame, km: float) -> DataFrame:
     into parts by a hash of its sites; the sites around it look into each part, so that one
     customer with all sites in a cell is still compared by many tasks.
     """
+    sites = materialise(sites.select("customer_id", "SiteCode", "Latitude", "Longitude"), "sites")  # looked at three times
     placed = sites.select(
         "customer_id",
         F.col("SiteCode").alias("site_b"),
@@ -43,7 +44,6 @@ def near_sites(sites: DataFrame, km: float) -> DataFrame:
         F.col("Longitude").alias("lon_b"),
         cell(F.col("Latitude"), F.col("Longitude"), km).alias("cell"),
     )
-    crowded = materialise(crowded_cells(placed), "crowded-cells")
     looking = sites.select(
         "customer_id",
         F.col("SiteCode").alias("site_a"),
@@ -51,11 +51,15 @@ def near_sites(sites: DataFrame, km: float) -> DataFrame:
         F.col("Longitude").alias("lon_a"),
         F.explode(reachable_cells(F.col("Latitude"), F.col("Longitude"), km)).alias("cell"),
     )
-    parts = F.coalesce("parts", F.lit(1))
-    right = placed.join(crowded, ["customer_id", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("site_b"), parts))
-    left = looking.join(crowded, ["customer_id", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    left, right, keys = looking, placed, ["customer_id", "cell"]
+    if not crowded_cells(placed).isEmpty():
+        crowded = materialise(crowded_cells(placed), "crowded-cells")
+        parts = F.coalesce("parts", F.lit(1))
+        right = placed.join(crowded, keys, "left").withColumn("part", F.pmod(F.xxhash64("site_b"), parts)).drop("parts")
+        left = looking.join(crowded, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+        keys = [*keys, "part"]
     distance = haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
-    pairs = left.drop("parts").join(right.drop("parts"), ["customer_id", "cell", "part"]).where("site_a < site_b")
+    pairs = left.join(right, keys).where("site_a < site_b")
     return pairs.select("customer_id", "site_a", "site_b", distance.alias("km")).where(F.col("km") < km)
 
 
