@@ -10,11 +10,10 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from crewcast.operators.ranking import spread_rank
 from crewcast.params import Params
 from crewcast.plans.allocation import Inputs
-from crewcast.session import materialise
 
 # The market segments of the customer table, used as skills.
 SKILLS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -89,17 +88,21 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("l_orderkey")
 
 
-@cache
 def _numbered_suppliers(spark: SparkSession, folder: str) -> DataFrame:
-    """Suppliers with their number ``nth`` within the nation, found without a task that sees a whole nation."""
+    """Suppliers with their number ``nth`` within the nation: those of earlier runs of keys, plus the earlier ones of their own run."""
     suppliers = table(spark, folder, "supplier").select(
         "s_nationkey",
         "s_suppkey",
+        F.floor(F.col("s_suppkey") / 1000).alias("run"),
         F.col("s_name").alias("booked_name"),
         F.concat(F.lit("V"), (F.col("s_suppkey") % 5).cast("string")).alias("booked_vendor"),
     )
-    ranked = spread_rank(suppliers, ["s_nationkey"], ["s_suppkey"], "nth").drop("s_suppkey")
-    return materialise(ranked, "numbered-suppliers", kept=True)
+    earlier = Window.partitionBy("s_nationkey").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = suppliers.groupBy("s_nationkey", "run").agg(F.count("*").alias("n"))
+    starts = runs.select("s_nationkey", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("s_nationkey", "run").orderBy("s_suppkey")) - 1
+    numbered = suppliers.withColumn("within", inside).join(starts, ["s_nationkey", "run"])
+    return numbered.select("s_nationkey", "booked_name", "booked_vendor", (F.col("start") + F.col("within")).alias("nth"))
 
 
 def jobs(spark: SparkSession, folder: str, params: Params) -> DataFrame:
