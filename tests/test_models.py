@@ -4,9 +4,10 @@ import dataclasses
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from crewcast import Params, views
@@ -107,3 +108,46 @@ def test_elastic_net_against_conditions_of_the_least():
         assert np.allclose(slope[b != 0], -s * mixture * np.sign(b[b != 0]), atol=1e-9)
         assert (np.abs(slope[b == 0]) <= s * mixture + 1e-9).all()
         assert found.constant[0] == pytest.approx(y.mean() - x.mean(0) @ found.weights[:, 0])
+
+
+@pytest.mark.parametrize(("model", "grid", "regressor"), [
+    ("decision_tree", {"k": [4], "maxDepth": [4]}, DecisionTreeRegressor),
+    ("gradient_boosting", {"maxDepth": [2], "maxIter": [3]}, GBTRegressor),
+])
+def test_trees_of_counted_rows_are_those_of_the_rows(rows, model, grid, regressor):
+    """Fitted on one row for each combination of features, as MLlib fits them on every row."""
+    params = dataclasses.replace(NET, model=model)
+    fitted = forecast.train(rows, params, grid)
+    point = fitted.points[0]
+    shaped = PipelineModel(fitted.best.stages[:-1]).transform(rows)
+    plain = regressor(**{k: v for k, v in point.items() if k != "k"}, seed=params.seed).fit(shaped).transform(shaped)
+    want = {r["id"]: r["prediction"] for r in plain.select("id", "prediction").collect()}
+    got = {r["id"]: r["prediction"] for r in fitted.transform(rows).select("id", "prediction").collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-6) for k in want)
+
+
+@pytest.mark.parametrize("model", ["decision_tree", "random_forest", "gradient_boosting"])
+def test_trees_count_the_rows_once_and_grow_on_groups(spark, rows, monkeypatch, model):
+    """However many rows there are, a tree gets one for each combination of features that it sees."""
+    grids = {"decision_tree": {"k": [2], "maxDepth": [2]}, "random_forest": {"maxDepth": [2], "numTrees": [2]}, "gradient_boosting": {"maxDepth": [2], "maxIter": [1]}}
+    reads, sizes = [], []
+    cells, fit = moments.cells, forecast._fit
+    monkeypatch.setattr(moments, "cells", lambda *a: reads.append(1) or cells(*a))
+    monkeypatch.setattr(forecast, "_fit", lambda point, known, *a: sizes.append(known.count()) or fit(point, known, *a))
+    many = rows.withColumn("id", F.explode(F.array(*[F.concat("id", F.lit(f"/{i}")) for i in range(5)])))
+    forecast.train(many, Params(model=model, folds=2), grids[model])
+    assert reads == [1] and max(sizes) <= rows.select(*Params().categorical_cols).distinct().count()
+
+
+def test_draws_of_a_forest_are_those_of_single_rows(spark):
+    """Numbers drawn for a cell have mean and variance of n rows drawn one by one, and do not hang on the partitioning."""
+    cells = spark.range(2000).select(F.lit(0).alias("_fold"), F.col("id").cast("string").alias("market"), F.lit(3).alias("label"), F.lit(40).alias("n_rows"))
+    for sampling, variance in (((True, 1.0), 40.0), ((False, 0.5), 10.0)):
+        found = [
+            {r.market: r.d for r in df.withColumn("d", forecast._draws(df, ["_fold", "market", "label"], sampling, 3, 1)).collect()}
+            for df in (cells, cells.repartition(5))
+        ]
+        assert found[0] == found[1]
+        drawn = np.array(list(found[0].values()))
+        assert np.allclose(drawn.mean(0), 40 * sampling[1], rtol=0.03) and np.allclose(drawn.var(0), variance, rtol=0.15)
+        assert abs(np.corrcoef(drawn.T)[0, 1]) < 0.1
