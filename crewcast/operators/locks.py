@@ -83,8 +83,8 @@ def event_keys(days: DataFrame) -> DataFrame:
     return copied.select(F.col("key").withField("copy", F.col("_copy")).alias("key"), "days")
 
 
-def event_locks(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame:
-    """``(customer_id, SiteCode, day)`` locked by events.
+def _event_sets(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame:
+    """``(customer_id, SiteCode, days)``: for each key that locks a site the days it locks.
 
     Each site is listed under the ten keys that may lock it and joined once with the day
     sets of the keys. The keys that most sites share (a place, or everywhere) are few, so
@@ -100,17 +100,40 @@ def event_locks(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame
         key = _key(kind, F.col("customer_id") if customer else None, F.col("SiteCode") if site else None, F.col(place.capitalize()) if place else None, copy)
         keys.append(F.when(fits, key))
     listed = sites.select(*SITE, F.explode(F.array_compact(F.array(*keys))).alias("key"))
-    found = listed.join(event_keys(event_days(events, params)), "key")
-    return found.select(*SITE, F.explode("days").alias("day")).distinct()
+    return listed.join(event_keys(event_days(events, params)), "key").select(*SITE, "days")
+
+
+def _united(sets: DataFrame) -> DataFrame:
+    """``(customer_id, SiteCode, locked_days)``: the sets of each site as one, sorted; a site's sets are never spread to a row a day."""
+    lists = sets.groupBy(*SITE).agg(F.collect_set("days").alias("sets"))
+    return lists.select(*SITE, F.array_sort(F.array_distinct(F.flatten("sets"))).alias("locked_days"))
+
+
+def event_locks(jobs: DataFrame, events: DataFrame, params: Params) -> DataFrame:
+    """``(customer_id, SiteCode, day)`` locked by events."""
+    return lock_days(_united(_event_sets(jobs, events, params)))
+
+
+def site_locks(jobs: DataFrame, events: DataFrame, weather: DataFrame, params: Params) -> DataFrame:
+    """All site locks known before placement: one row per site with its sorted ``locked_days``, bounded by the calendar."""
+    bad = weather_locks(weather).select(*SITE, F.array("day").alias("days"))
+    return _united(_event_sets(jobs, events, params).unionByName(bad))
 
 
 def lock_table(jobs: DataFrame, events: DataFrame, weather: DataFrame, params: Params) -> DataFrame:
-    """All site locks known before placement, one row per site and day."""
-    return event_locks(jobs, events, params).unionByName(weather_locks(weather)).distinct()
+    """The same locks, one row per site and day."""
+    return lock_days(site_locks(jobs, events, weather, params))
+
+
+def lock_days(locks: DataFrame) -> DataFrame:
+    """A row per site and day, of such a table or of sets."""
+    return locks.select(*SITE, F.explode("locked_days").alias("day")) if "locked_days" in locks.columns else locks
 
 
 def lock_sets(locks: DataFrame) -> DataFrame:
-    """Sorted day set per site; its size is bounded by the calendar."""
+    """Sorted day set per site, of a table with a row per site and day or of sets, which stay as they are."""
+    if "locked_days" in locks.columns:
+        return locks
     return locks.groupBy(*SITE).agg(F.array_sort(F.collect_set("day")).alias("locked_days"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from crewcast.functions.dates import add_business_days, later
 from crewcast.operators.joins import join_null_safe
-from crewcast.operators.locks import SITE, lock_sets, meets_lock
+from crewcast.operators.locks import SITE, lock_days, lock_sets, meets_lock
 from crewcast.operators.matching import POOL, crew_classes, crew_order, pool_matches, pools_of
 from crewcast.operators.ranking import spread_rank
 from crewcast.operators.triage import BOOKED, FORECAST
@@ -171,7 +171,7 @@ def next_locks(locks: DataFrame, calendar: DataFrame, days: range) -> DataFrame:
     starts before and ends after it.
     """
     numbered = calendar.select("day", F.col("ord").alias("to"), (F.col("ord") - F.when(F.col("is_business"), 0).otherwise(1)).alias("from"))
-    dated = locks.join(F.broadcast(numbered), "day").where(F.col("from") >= days.start)
+    dated = lock_days(locks).join(F.broadcast(numbered), "day").where(F.col("from") >= days.start)
     listed = dated.groupBy(*SITE).agg(F.collect_set(F.struct("from", "to")).alias("held"))
 
     def soonest(day: Column) -> Column:

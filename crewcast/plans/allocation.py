@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from crewcast.operators.clean import clean_crews, clean_events, clean_jobs, parse_dates
-from crewcast.operators.locks import lock_table
+from crewcast.operators.locks import site_locks
 from crewcast.operators.matching import add_region, count_qualified, with_have, with_need
 from crewcast.operators.overlay import text_overlay, typed_overlay, with_placements
 from crewcast.operators.placement import place_jobs
@@ -47,7 +47,7 @@ def allocate(inputs: Inputs, params: Params) -> DataFrame:
     crews = materialise(prepared_crews(inputs.crews), "crews")
     jobs = materialise(triaged_jobs(inputs.jobs, crews, params), "triaged")
     weather = parse_dates(inputs.weather, ["Date"])
-    locks = lock_table(jobs, clean_events(inputs.events), weather, params)
+    locks = site_locks(jobs, clean_events(inputs.events), weather, params)
     placed = place_jobs(jobs, crews, locks, params, inputs.holidays)
     return with_placements(jobs, placed)
 
