@@ -61,7 +61,12 @@ def within_fences(df: DataFrame, value: str, group: str, exact: bool = False) ->
 
 
 def training_rows(construction: DataFrame, params: Params) -> DataFrame:
-    labelled = add_label(base_features(construction))
+    return training_rows_of(base_features(construction), params)
+
+
+def training_rows_of(base: DataFrame, params: Params) -> DataFrame:
+    """Training rows of records that are unique already."""
+    labelled = add_label(base)
     complete = require(labelled, [*params.numerical_cols, *params.categorical_cols])
     return within_fences(complete, "label", "package_name")
 

@@ -81,7 +81,7 @@ def _events(spark, folder) -> DataFrame:
 
 def _locks(spark, folder, jobs=None) -> DataFrame:
     jobs = _regional(spark, folder) if jobs is None else jobs
-    return locks.lock_table(jobs, _events(spark, folder), views.weather(spark, folder, PARAMS), PARAMS)
+    return locks.site_locks(jobs, _events(spark, folder), views.weather(spark, folder, PARAMS), PARAMS)
 
 
 # cleaning
@@ -270,10 +270,12 @@ def cv_boosting_of_one_split(spark, folder):
 @query
 def saved_group_means(spark, folder):
     """Open rows scored by a saved and reloaded model, the mean of the work package."""
-    rows = materialise(features.training_rows(views.construction(spark, folder), PARAMS), "training")
+    base = features.scoring_rows(views.construction(spark, folder))
+    # joined once for training and scoring, in the columns that these read
+    base = materialise(base.select("id", *PARAMS.categorical_cols, *PARAMS.numerical_cols, "refresh_date", "civil_start", "tower_end"), "records")
     path = scratch_path(spark, "model")
-    save_model(forecast.group_mean_model(rows, "package_name"), path)
-    scored = forecast.score(load_model(path), features.scoring_rows(views.construction(spark, folder)), PARAMS)
+    save_model(forecast.group_mean_model(features.training_rows_of(base, PARAMS), "package_name"), path)
+    scored = forecast.score(load_model(path), base, PARAMS)
     return scored.select("JobID", "region", "market", "package_name", "refresh_date", F.round("JobDurationML", 6).alias("JobDurationML"))
 
 
@@ -570,10 +572,10 @@ def allocate_with_holidays(spark, folder):
 @query
 def allocate_predicted(spark, folder):
     """The whole way: a model trained on construction records, saved and reloaded, scores the planner's jobs, which are then placed."""
-    rows = materialise(features.training_rows(views.construction(spark, folder), PARAMS), "training")
+    rows = features.training_rows(views.construction(spark, folder), PARAMS)
     path = scratch_path(spark, "model")
     save_model(forecast.group_mean_model(rows, "market"), path)
-    jobs, none = views.jobs(spark, folder, PARAMS), F.lit(None).cast("string")
+    jobs, none = materialise(views.jobs(spark, folder, PARAMS), "jobs"), F.lit(None).cast("string")
     to_score = jobs.select(
         F.col("JobID").alias("id"), none.alias("region"), F.upper("Market").alias("market"), none.alias("package_name"),
         F.col("Latitude").alias("latitude"), F.col("Longitude").alias("longitude"), "refresh_date",
@@ -677,7 +679,7 @@ def published_table(spark, folder):
 def published_versions(spark, folder):
     """Two versions of a published table: the second replaces some days and adds others, the rest stays."""
     root, name = scratch_path(spark, "versions"), "published_versions_of_days"
-    rows = _predictions(spark, folder)
+    rows = materialise(_predictions(spark, folder), "predictions")
     publish_days(rows.where(F.month("refresh_date") <= 6), root, "refresh_date")
     publish_view(spark, name, root)
     later = rows.where(F.dayofmonth("refresh_date") % 3 == 0)

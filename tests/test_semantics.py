@@ -379,3 +379,35 @@ def test_vendor_columns_come_from_the_data(spark):
     assert capacity.column_names(df, "v") == ["a", "b"]
     with pytest.raises(ValueError, match="more than 1"):
         capacity.column_names(df, "v", 1)
+
+
+def test_locks_are_one_row_per_site(spark):
+    """The day sets of all sources are united in a site's row; no row a day is made on the way, and overlaps count once."""
+    jobs = spark.createDataFrame([("c", "s", "M", "R"), ("c", "t", "M", "R"), (None, "u", "M", "R")], "customer_id string, SiteCode string, Market string, Region string")
+    events = spark.createDataFrame(
+        [("c", "s", None, None, day(1), day(2)), ("c", None, None, None, day(2), day(3)), (None, None, "M", None, day(3), day(3))],
+        "CustomerID string, SiteCode string, Market string, Region string, ValidFrom date, ValidUntil date",
+    )
+    weather = spark.createDataFrame([("c", "s", day(3)), ("c", "s", day(0)), ("d", "x", day(5)), ("d", "x", day(5)), ("d", None, day(5))], "CustomerID string, SiteID string, Date date")
+    want = {("c", "s"): [0, 1, 2, 3], ("c", "t"): [2, 3], (None, "u"): [3], ("d", "x"): [5]}
+    sets = locks.site_locks(jobs, events, weather, P)
+    got = {(r.customer_id, r.SiteCode): [(d - day(0)).days for d in r.locked_days] for r in locks.lock_sets(sets).collect()}
+    assert got == want and sets.count() == 4
+    days = locks.lock_table(jobs, events, weather, P)
+    again = {(r.customer_id, r.SiteCode): [(d - day(0)).days for d in r.locked_days] for r in locks.lock_sets(days).collect()}
+    assert again == want
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(days" not in plan
+
+
+@pytest.mark.parametrize(("name", "written"), [("saved_group_means", "records"), ("published_versions", "predictions")])
+def test_construction_records_are_joined_once(spark, small, monkeypatch, name, written):
+    """What both steps of the query read is written once; neither joins the line items again."""
+    from crewcast.plans import catalog
+
+    made, joins = [], []
+    materialise, construction = catalog.materialise, catalog.views.construction
+    monkeypatch.setattr(catalog, "materialise", lambda df, name, *a: made.append(name) or materialise(df, name, *a))
+    monkeypatch.setattr(catalog.views, "construction", lambda *a: joins.append(1) or construction(*a))
+    assert catalog.QUERIES[name](spark, small).count() > 0
+    assert made == [written] and joins == [1]
