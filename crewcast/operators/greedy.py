@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,17 +66,17 @@ class Calendar:
     def __init__(self, rules: Rules, first: int, last: int, longest: int) -> None:
         week = sum(c == "1" for c in rules.weekmask)
         margin = 30 + 7 * (abs(longest) + len(rules.holidays)) // week
-        self.days = rules.business_days(first - margin, last + margin)
+        self.days: list[int] = rules.business_days(first - margin, last + margin).tolist()
 
     def index(self, day: int) -> int:
         """Position of ``day`` after rolling forward."""
-        return int(np.searchsorted(self.days, day))
+        return bisect_left(self.days, day)
 
 
 def first_end(jobs: pd.DataFrame, rules: Rules, calendar: Calendar) -> int:
     """Earliest day a search can end on; before its start only if a duration is negative."""
     shortest = min(int(jobs["JobDuration"].min()) + rules.buffer, 0)
-    return int(calendar.days[calendar.index(rules.today + rules.start_buffer) + shortest])
+    return calendar.days[calendar.index(rules.today + rules.start_buffer) + shortest]
 
 
 def span(first: int, last: int, base: int) -> int:
@@ -83,6 +84,25 @@ def span(first: int, last: int, base: int) -> int:
     return ((1 << (last - first + 1)) - 1) << (first - base) if last >= first else 0
 
 
+class Pool:
+    """Row numbers of the crews that qualify, best first, and how far each search has got.
+
+    Crews are only ever taken, so a row that was not free for a slot never becomes free, and
+    is not free for a longer slot from the same day either: the next search starts behind it.
+    """
+
+    def __init__(self, rows: np.ndarray) -> None:
+        self.rows = rows
+        self.passed: dict[int, dict[int, int]] = {}
+
+    def begin(self, start: int, end: int) -> int:
+        """Number of leading rows that are known not to be free from ``start`` to ``end``."""
+        known = self.passed.setdefault(start, {})
+        if end not in known:
+            known[end] = max((n for e, n in known.items() if start <= e <= end), default=0)
+        return known[end]
+
+
 class Crews:
     """Candidate crews in order of preference and the days they are taken.
 
@@ -102,7 +122,7 @@ class Crews:
         self.valid_until = self.rows["ValidUntil"].to_numpy(dtype=np.int64)
         self.taken = np.zeros((len(self.keys), self.width), dtype=bool)
         self.intervals: dict[int, list[tuple[int, int]]] = {}
-        self.pools: dict[tuple, np.ndarray] = {}
+        self.pools: dict[tuple, Pool] = {}
         busy = state[state["busy_from"].notna()]
         for v, c, a, b in zip(busy["VendorID"], busy["crew_name"], busy["busy_from"], busy["busy_to"], strict=True):
             self.take(self.key(v, c), int(a), int(b))
@@ -121,8 +141,8 @@ class Crews:
         if key < len(self.taken):
             self.taken[key, self._window(first, last)] = True
 
-    def pool(self, market: str | None, vendor: str | None, need: str | None) -> np.ndarray:
-        """Row numbers of the qualified crews, best first."""
+    def pool(self, market: str | None, vendor: str | None, need: str | None) -> Pool:
+        """The qualified crews."""
         if not isinstance(vendor, str):
             vendor = None
         if not isinstance(need, str):
@@ -138,21 +158,23 @@ class Crews:
                 for h in self.rows["have_key"][ok].unique()
             }
             ok &= self.rows["have_key"].map(lambda h: good.get(h, False)).to_numpy(dtype=bool)
-            self.pools[name] = np.flatnonzero(ok)
+            self.pools[name] = Pool(np.flatnonzero(ok))
         return self.pools[name]
 
-    def first_free(self, rows: np.ndarray, start: int, end: int, last: int) -> int:
+    def first_free(self, pool: Pool, start: int, end: int, last: int) -> int:
         """First row valid from ``start`` to ``end`` and free to ``last``; -1 if none."""
+        rows, at, size = pool.rows, pool.begin(start, end), 64
         window = self._window(min(start, end), last)
-        at, size = 0, 64
         while at < len(rows):
             part = rows[at : at + size]
             ok = (self.valid_from[part] <= start) & (self.valid_until[part] >= end)
             ok[ok] = ~self.taken[self.key_of[part[ok]], window].any(axis=1)
             hit = int(ok.argmax())
             if ok[hit]:
+                pool.passed[start][end] = at + hit
                 return int(part[hit])
             at, size = at + size, 4 * size
+        pool.passed[start][end] = len(rows)
         return -1
 
 
@@ -206,7 +228,7 @@ def place_batch(jobs: pd.DataFrame, state: pd.DataFrame, rules: Rules) -> pd.Dat
     calendar = Calendar(rules, first, last, longest)
     days = calendar.days
     base = first - 1
-    last_end = int(days[calendar.index(rules.plan_end) + longest]) + rules.downtime
+    last_end = days[calendar.index(rules.plan_end) + longest] + rules.downtime
     crews = Crews(state, min(rules.today + rules.start_buffer, first_end(jobs, rules, calendar)), last_end)
     sites = Sites(jobs, base, rules.near_km)
     out = []
@@ -218,7 +240,7 @@ def place_batch(jobs: pd.DataFrame, state: pd.DataFrame, rules: Rules) -> pd.Dat
         chosen = None
         if job.phase == 1:
             start = job.start_day
-            end = int(days[calendar.index(start) + length])
+            end = days[calendar.index(start) + length]
             key = crews.key(job.LockVendor, job.CrewIdBooked)
             busy_first = min(start, end)
             if sites.locked[site] & span(start, end, base):
@@ -230,18 +252,18 @@ def place_batch(jobs: pd.DataFrame, state: pd.DataFrame, rules: Rules) -> pd.Dat
                 chosen = (job.LockVendor, job.CrewIdBooked, key, busy_first, start, end)
         else:
             status = 4
-            rows = crews.pool(job.Market, job.VendorBooked, job.need_key)
+            pool = crews.pool(job.Market, job.VendorBooked, job.need_key)
             tries = job.JobStartMaxOffset - max(rules.today - job.start_day, 0)
             at = calendar.index(max(job.start_day, rules.today + rules.start_buffer))
             for i in range(at, at + tries + 1):
-                start = int(days[i])
+                start = days[i]
                 if start > rules.plan_end:
                     break
-                end = int(days[i + length])
+                end = days[i + length]
                 if sites.locked[site] & span(start, end, base):
                     status = 6
                     continue
-                row = crews.first_free(rows, start, end, end + rules.downtime)
+                row = crews.first_free(pool, start, end, end + rules.downtime)
                 if row >= 0:
                     status = 0
                     vendor, crew = crews.rows["VendorID"].iat[row], crews.rows["crew_name"].iat[row]

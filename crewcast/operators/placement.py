@@ -2,8 +2,10 @@
 
 The greedy is sequential only within a component (see ``components``). Components are
 placed in parallel: small ones share a task, one with more than ``window_jobs`` jobs or
-crews is cut into consecutive windows of its placement order. A window sees the locks left by the
-earlier windows through the table of placements, so the result equals one long pass
+crews is cut into consecutive windows of its placement order. A round gives a task the next
+windows of a component, as many as make up ``ROUND_JOBS`` jobs, and the task goes through them in
+order: the number of rounds does not depend on how small a window is. A round sees the locks left
+by the earlier rounds through the table of placements, so the result equals one long pass
 for every window size, and no task ever holds a whole large component.
 """
 
@@ -34,6 +36,9 @@ from crewcast.session import materialise, scratch_path
 # the tasks get this code with the job, so workers need no copy of the package
 cloudpickle.register_pickle_by_value(greedy)
 
+#: Jobs of a component that one round places; windows may be smaller, or larger.
+ROUND_JOBS = 20_000
+
 CREW = ["VendorID", "crew_name"]
 CLASS = ["Market", "VendorID", "have_key"]
 JOB_COLUMNS = (
@@ -98,11 +103,11 @@ def _place_whole(jobs: DataFrame, crews: DataFrame, sizes: DataFrame, rules: Rul
 
 
 class _Windows:
-    """Components with many jobs or crews, placed window by window."""
+    """Components with many jobs or crews, placed in rounds of windows."""
 
     def __init__(self, jobs: DataFrame, crews: DataFrame, params: Params, rules: Rules) -> None:
         self.spark = jobs.sparkSession
-        self.params, self.rules, self.limit = params, rules, params.window_jobs
+        self.params, self.rules, self.limit = params, rules, max(params.window_jobs, ROUND_JOBS)
         self.block = max(self.limit // 16, 1)
         length = F.col("JobDuration") + params.job_buffer
         # days a search needs at least; null for a job that is never given up early
@@ -142,7 +147,7 @@ class _Windows:
         )
 
     def placed(self) -> DataFrame:
-        """Results of the windows so far."""
+        """Results of the rounds so far."""
         if not self.rounds:
             return self.spark.createDataFrame([], RESULT_SCHEMA)
         paths = [f"{self.base}/{i}" for i in range(self.rounds)]
@@ -191,10 +196,10 @@ class _Windows:
         close = here.join(there, ["customer_id", "cell"]).where(distance < km)
         own = sites.join(done.withColumnRenamed("s", "SiteCode"), list(SITE))
         own = own.select(*SITE, "site_from", "site_to")
-        days = close.select(*SITE, "site_from", "site_to").unionByName(own).withColumn(
-            "d", F.explode(F.sequence("site_from", "site_to"))
-        )
-        return days.groupBy(*SITE).agg(F.collect_set("d").alias("near_days"))
+        # spans begin and end within the plan, so a site has few different ones however many placements are near
+        spans = close.select(*SITE, "site_from", "site_to").unionByName(own).distinct().groupBy(*SITE)
+        listed = spans.agg(F.collect_list(F.sequence("site_from", "site_to")).alias("spans"))
+        return listed.select(*SITE, F.array_distinct(F.flatten("spans")).alias("near_days"))
 
     def _state(self, window: DataFrame, gaps: DataFrame, shortest: int | None) -> DataFrame:
         reach = (self.rounds + 1) * self.limit
@@ -321,7 +326,7 @@ def place_jobs(
     live = batch_rows(jobs)
     sites = None
     if params.site_distance_min is not None:
-        sites = located_sites(jobs)
+        sites = materialise(located_sites(jobs), "located")  # looked at three times
         near = sites.limit(2).count() > 1  # a single site locks nothing
     rules = Rules.of(params, holiday_days(holidays, params), near)
     tagged, owned = components(live, crews, sites, params.site_distance_min if near else None)

@@ -5,12 +5,14 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from crewcast import Params, views
 from crewcast.operators.components import label_nodes
 from crewcast.operators.locks import lock_table
 from crewcast.operators.clean import clean_events
+from crewcast.operators import greedy, placement
 from crewcast.operators.placement import place_jobs
 from crewcast.plans.allocation import prepared_crews, triaged_jobs
 from crewcast.schemas import HOLIDAYS
@@ -132,6 +134,34 @@ def test_windows_when_crews_run_out(spark):
     assert {0, 4, 6} <= {s for s, *_ in got.values()}
 
 
+def test_rounds_do_not_depend_on_the_window(spark, monkeypatch):
+    """A component of 70 windows is placed in one round; small rounds give the same."""
+    rounds, plain = [], placement._Windows.run
+    monkeypatch.setattr(placement._Windows, "run", lambda self: (plain(self), rounds.append(self.rounds))[0])
+    case, params = random_case(30, markets=1), dataclasses.replace(BASE, window_jobs=1, site_distance_min=1.6)
+    once = check(spark, case, params)
+    monkeypatch.setattr(placement, "ROUND_JOBS", 24)
+    assert check(spark, case, dataclasses.replace(params, window_jobs=24)) == once
+    assert rounds[0] == 1 < rounds[1]
+
+
+def test_a_search_starts_behind_the_crews_that_are_taken():
+    """Later jobs of a pool do not look again at crews that were not free, nor do longer ones."""
+    pool, looked = greedy.Pool(np.arange(200)), []
+    crews = greedy.Crews.__new__(greedy.Crews)
+    crews.first, crews.intervals = 0, {}
+    crews.key_of, crews.taken = np.arange(200), np.zeros((200, 40), dtype=bool)
+    crews.valid_from, crews.valid_until = np.zeros(200, dtype=int), np.full(200, 30)
+    for n in range(200):
+        row = crews.first_free(pool, 3, 5, 7)
+        assert row == n
+        crews.take(row, 3, 7)
+        looked.append(pool.begin(3, 5))
+    assert looked == list(range(200))
+    assert crews.first_free(pool, 3, 5, 7) == -1 and pool.begin(3, 5) == pool.begin(3, 9) == 200
+    assert crews.first_free(pool, 3, 4, 6) == -1 and crews.first_free(pool, 8, 9, 11) == 0
+
+
 def test_more_crews_than_a_window(spark):
     """Crews that cannot be reached yet stay out of the task."""
     jobs, _, events, weather = random_case(60, n_jobs=14, markets=1, n_events=0)
