@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.window import Window
 
 from crewcast.functions.dates import add_business_days, later
 from crewcast.operators.joins import join_null_safe
-from crewcast.operators.locks import SITE, lock_days, lock_sets, meets_lock
+from crewcast.operators.locks import SITE, lock_days, lock_sets
 from crewcast.operators.matching import POOL, crew_classes, crew_order, pool_matches, pools_of
 from crewcast.operators.ranking import spread_rank
 from crewcast.operators.triage import BOOKED, FORECAST
@@ -55,9 +56,40 @@ def candidate_slots(jobs: DataFrame, calendar: DataFrame, params: Params) -> Dat
 
 def site_free_slots(jobs: DataFrame, locks: DataFrame, calendar: DataFrame, params: Params) -> DataFrame:
     """Candidate slots without a locked day of the site."""
-    # the locked days join the jobs, not their many slots
-    held = candidate_slots(jobs.join(lock_sets(locks), list(SITE), "left"), calendar, params)
-    return held.where(~meets_lock(F.col("slot_start"), F.col("slot_end"))).drop("locked_days")
+    # the locks join the jobs, not their many slots; a slot looks up the next locked day in one step
+    first = params.as_of + dt.timedelta(days=params.job_start_buffer)
+    soonest = next_locked_days(locks, first, params.plan_end)
+    # only jobs that have slots carry them; slots start from the first to the last day of the plan
+    wanted = jobs.where(F.col("phase") >= FORECAST).join(soonest, list(SITE), "left")
+    lock = F.get("next_locked", F.datediff("slot_start", F.lit(first)))
+    free = candidate_slots(wanted, calendar, params).where(lock.isNull() | (lock > F.col("slot_end")))
+    return free.drop("next_locked")
+
+
+def run_lengths(held: Column, at: Callable[[Column], Column], value: Callable[[Column], Column], first: int, last: int) -> Column:
+    """For each number from ``first`` the ``value`` of the next entry of ``held`` that lies at it or after it.
+
+    ``held`` is sorted by ``at``; of entries at one number the first counts. The result ends at the last entry or at ``last``. Each
+    entry fills the numbers since the entry before, so a site costs its entries, not
+    entries times days.
+    """
+
+    def until(x: Column) -> Column:
+        return F.least(at(x), F.lit(last))
+
+    def run(x: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(first - 1)).otherwise(until(F.get(held, i - 1)))
+        return F.array_repeat(value(x), until(x) - before)
+
+    return F.flatten(F.transform(held, run))
+
+
+def next_locked_days(locks: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """``(*SITE, next_locked)``: for each day from ``first`` to ``last`` the next locked day at or after it."""
+    epoch = dt.date(1970, 1, 1)
+    coming = lock_sets(locks).withColumn("held", F.filter("locked_days", lambda d: d >= F.lit(first)))
+    filled = run_lengths(F.col("held"), F.unix_date, lambda d: d, (first - epoch).days, (last - epoch).days)
+    return coming.select(*SITE, filled.alias("next_locked"))
 
 
 #: Columns whose crews are alike but for their rank.
@@ -172,12 +204,9 @@ def next_locks(locks: DataFrame, calendar: DataFrame, days: range) -> DataFrame:
     """
     numbered = calendar.select("day", F.col("ord").alias("to"), (F.col("ord") - F.when(F.col("is_business"), 0).otherwise(1)).alias("from"))
     dated = lock_days(locks).join(F.broadcast(numbered), "day").where(F.col("from") >= days.start)
-    listed = dated.groupBy(*SITE).agg(F.collect_set(F.struct("from", "to")).alias("held"))
-
-    def soonest(day: Column) -> Column:
-        return F.array_min(F.transform(F.filter("held", lambda x: x["from"] >= day), lambda x: x["to"]))
-
-    return listed.select(*SITE, F.transform(_numbers(days), soonest).alias("next_lock"))
+    listed = dated.groupBy(*SITE).agg(F.array_sort(F.collect_set(F.struct("from", "to"))).alias("held"))
+    filled = run_lengths(F.col("held"), lambda x: x["from"], lambda x: x["to"], days.start, days.stop - 1)
+    return listed.select(*SITE, filled.alias("next_lock"))
 
 
 def first_slot(

@@ -44,8 +44,7 @@ def known_crew(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     """Adds ``CrewKnown`` and the vendor a booked crew is locked under.
 
     ``LockVendor`` is the booked vendor, or the crew's vendor when only one vendor
-    lists that crew. Jobs without a booking get a join key of their own, so that
-    their nulls do not pile up in one partition.
+    lists that crew. Jobs without a booking take no part in the join.
     """
     names = crews.groupBy(F.col("crew_name").alias("_name")).agg(
         F.min("VendorID").alias("_low"), F.max("VendorID").alias("_high")
@@ -53,21 +52,14 @@ def known_crew(jobs: DataFrame, crews: DataFrame) -> DataFrame:
     names = names.select(
         "_name", F.lit(True).alias("_listed"), F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias("_vendor")
     )
-    keyed = jobs.withColumns(
-        {
-            "_booked": F.col("CrewIdBooked").isNotNull(),
-            "_key": F.coalesce("CrewIdBooked", F.concat(F.lit("\u0000"), "JobID")),
-        }
-    )
-    joined = keyed.join(
-        names, (F.col("_key") == F.col("_name")) & (F.col("_booked") == F.col("_listed")), "left"
+    booked = jobs.where(F.col("CrewIdBooked").isNotNull()).join(names, F.col("CrewIdBooked") == F.col("_name"), "left")
+    booked = booked.withColumns(
+        {"CrewKnown": F.col("_listed").isNotNull(), "LockVendor": F.coalesce("VendorBooked", "_vendor")}
+    ).drop("_name", "_listed", "_vendor")
+    unbooked = jobs.where(F.col("CrewIdBooked").isNull())
+    return booked.unionByName(
+        unbooked.withColumns({"CrewKnown": F.lit(False), "LockVendor": F.lit(None).cast("string")})
     )
-    return joined.withColumns(
-        {
-            "CrewKnown": F.col("_listed").isNotNull(),
-            "LockVendor": F.when(F.col("_booked"), F.coalesce("VendorBooked", "_vendor")),
-        }
-    ).drop("_booked", "_key", "_name", "_listed", "_vendor")
 
 
 def unknown_booked_crew(jobs: DataFrame, crews: DataFrame) -> DataFrame:

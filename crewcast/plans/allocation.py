@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from crewcast.operators.clean import clean_crews, clean_events, clean_jobs, parse_dates
 from crewcast.operators.locks import site_locks
@@ -42,12 +43,17 @@ def triaged_jobs(jobs: DataFrame, crews: DataFrame, params: Params) -> DataFrame
     return triage(known_crew(count_qualified(filled, crews), crews), params)
 
 
+def to_place(jobs: DataFrame) -> DataFrame:
+    """The triaged jobs that are still to be placed: only their sites need locks."""
+    return jobs.where(F.col("phase").isNotNull())
+
+
 def allocate(inputs: Inputs, params: Params) -> DataFrame:
     """Every open job with its status, crew and planned start."""
     crews = materialise(prepared_crews(inputs.crews), "crews")
     jobs = materialise(triaged_jobs(inputs.jobs, crews, params), "triaged")
     weather = parse_dates(inputs.weather, ["Date"])
-    locks = site_locks(jobs, clean_events(inputs.events), weather, params)
+    locks = site_locks(to_place(jobs), clean_events(inputs.events), weather, params)
     placed = place_jobs(jobs, crews, locks, params, inputs.holidays)
     return with_placements(jobs, placed)
 

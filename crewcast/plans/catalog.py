@@ -17,7 +17,7 @@ from crewcast.operators import capacity, clean, features, locks, matching, neigh
 from crewcast.operators.joins import join_null_safe
 from crewcast.params import Params
 from crewcast.plans import forecast, moments
-from crewcast.plans.allocation import Inputs, allocate, allocation_overlay, prepared_crews, triaged_jobs
+from crewcast.plans.allocation import Inputs, allocate, allocation_overlay, prepared_crews, to_place, triaged_jobs
 from crewcast.session import materialise, scratch_path
 from crewcast.sources.readers import load_model, read_csv, read_holidays, read_planner_inputs
 from crewcast.sources.writers import (
@@ -482,7 +482,7 @@ def candidate_slots(spark, folder):
 @query
 def site_free_slots(spark, folder):
     jobs = materialise(_triaged(spark, folder), "triaged")
-    found = slots.site_free_slots(jobs, _locks(spark, folder, jobs), business_calendar(spark, PARAMS), PARAMS)
+    found = slots.site_free_slots(jobs, _locks(spark, folder, to_place(jobs)), business_calendar(spark, PARAMS), PARAMS)
     return found.select("JobID", "offset", "slot_start", "slot_end")
 
 
@@ -517,7 +517,7 @@ def first_slot(spark, folder):
     crews = materialise(_crews(spark, folder), "crews")
     jobs = materialise(_triaged(spark, folder, crews), "triaged")
     return slots.first_slot(
-        jobs, crews, _locks(spark, folder, jobs), business_calendar(spark, PARAMS), PARAMS
+        jobs, crews, _locks(spark, folder, to_place(jobs)), business_calendar(spark, PARAMS), PARAMS
     )
 
 
@@ -622,7 +622,7 @@ def placement_audit(spark, folder):
     vendor, crew = (F.when(F.col("phase") == 1, F.col(b)).otherwise(F.col(p)) for b, p in (("LockVendor", "RecommendedVendor"), ("CrewIdBooked", "RecommendedWorker")))
     busy = held.select("JobID", vendor.alias("v"), crew.alias("c"), "slot_start", F.date_add("slot_end", NEAR.job_downtime).alias("free"))
     ahead = F.lead("slot_start").over(Window.partitionBy("v", "c").orderBy("slot_start"))
-    locked = placed.join(locks.lock_sets(_locks(spark, folder, jobs)), list(locks.SITE)).where(
+    locked = placed.join(locks.lock_sets(_locks(spark, folder, to_place(jobs))), list(locks.SITE)).where(
         locks.meets_lock(F.col("slot_start"), F.col("slot_end"))
     )
     checks = {

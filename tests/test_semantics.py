@@ -14,7 +14,7 @@ from crewcast import Params
 from crewcast.functions.dates import add_business_days, business_calendar
 from crewcast.functions.geo import cell, haversine_km, reachable_cells
 from crewcast.functions.text import contains_all, skill_set
-from crewcast.operators import capacity, clean, features, locks, matching, neighbours, overlay, triage
+from crewcast.operators import capacity, clean, features, locks, matching, neighbours, overlay, slots, triage
 from crewcast.operators.ranking import spread_rank
 from crewcast.schemas import HOLIDAYS
 from tests import naive
@@ -320,6 +320,35 @@ def test_known_crew_vendor(spark):
     assert [r.JobID for r in triage.unknown_booked_crew(jobs, crews).collect()] == ["d"]
 
 
+def test_unbooked_jobs_take_no_part_in_the_crew_join(spark):
+    """The plan drops them before any exchange; no key is made up for them."""
+    crews = spark.createDataFrame([crew("v1", "one")], CREW_TYPES)
+    jobs = spark.createDataFrame([job("a", CrewIdBooked="one"), job("e")], JOB_TYPES)
+    plan = triage.known_crew(jobs, crews)._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(CrewIdBooked" in plan and "concat" not in plan
+
+
+def test_next_locked_day_by_runs(spark):
+    """Against a plain search: the next locked day, and business number, at or after each day of the plan."""
+    params = Params(as_of=TODAY, calendar_start_year=2023, calendar_end_year=2025, scheduled_backlog_offset=20)
+    first, days = TODAY + dt.timedelta(days=2), [TODAY + dt.timedelta(days=n) for n in range(-3, 300)]
+    held = {"none": [], "early": days[:4], "some": [days[i] for i in (3, 7, 8, 9, 10, 15, 16, 22, 200)], "late": days[60:]}
+    locked = spark.createDataFrame([("c", s, v) for s, v in held.items()], "customer_id string, SiteCode string, locked_days array<date>")
+    got = {r.SiteCode: r.next_locked for r in slots.next_locked_days(locked, first, params.plan_end).collect()}
+    calendar = business_calendar(spark, params)
+    ords = {r["day"]: (r["ord"], r["is_business"]) for r in calendar.collect()}
+    plan = range(ords[first][0], ords[params.plan_end][0] + 1)
+    nexts = {r.SiteCode: r.next_lock for r in slots.next_locks(locked, calendar, plan).collect()}
+    for site, listed in held.items():
+        for i in range((params.plan_end - first).days + 1):
+            want = min((d for d in listed if d >= first + dt.timedelta(days=i)), default=None)
+            assert (got[site][i] if i < len(got[site]) else None) == want
+        for i, n in enumerate(plan):
+            want = min((o for o, b in map(ords.get, listed) if o - (not b) >= n), default=None)
+            have = nexts.get(site, [])
+            assert (have[i] if i < len(have) else None) == want
+
+
 def test_overlay_marks(spark):
     df = spark.createDataFrame(
         [("w", None, "nan", None, TODAY, 4, 3), ("x", "v", "k", TODAY, TODAY, 0, 3)],
