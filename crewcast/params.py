@@ -55,7 +55,7 @@ class Params:
     workers_downtime: int = 2
     resource_shortage_msg: str = "Resource shortage"
 
-    # size of one placement task
+    # size of one placement window; a round gives a task several small ones
     window_jobs: int = 20_000
 
     def __post_init__(self) -> None:
