@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crewcast.llm.common import fresh, lean
 from crewcast.operators.components import label_nodes
-from crewcast.session import materialise
+from crewcast.session import discard_intermediates, materialise, shuffles_dropped, written_so_far
 
 #: Words of a shingle, and the similarity as a quotient of whole numbers.
 SIZE = 5
 LEAST = (80, 100)
 
-#: Shingles on the list of frequent ones at most; the list (16 bytes each) goes to every task.
-MOST_FREQUENT = 500_000
+#: Shingles on the list of frequent ones at most; the list (5 bytes each) goes to every task.
+MOST_FREQUENT = 2_000_000
+
+#: Share of the places in the first order whose shingles are counted exactly: more than prefixes reach into, as a rule.
+EARLY = 0.3
+
+#: Bits of a place in the order, and of the slice of places that is counted at once.
+PLACE_BITS = 40
+SLICE_BITS = 12
 
 #: Holders of a shingle whose pairs are listed; more are compared block by block.
 CROWD = 16
@@ -32,6 +40,10 @@ BLOCK_SHINGLES = 200_000
 #: Rows of two ids that may go to every task.
 BROADCAST_ROWS = 500_000
 
+#: Pairs of blocks are compared in portions that move so many times the blocks, or so many MB.
+PORTION_TIMES = 2
+PORTION_MB = 256
+
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 _ORDERS = (np.uint64(0), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -88,24 +100,46 @@ def shingles(text: str, hasher: Hasher, size: int = SIZE) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
+def _places(hashes: np.ndarray, order: int = 0) -> np.ndarray:
+    return _mixed(hashes ^ _ORDERS[order]) >> np.uint64(64 - PLACE_BITS)
+
+
 class Orders:
-    """Global orders of shingles: frequent ones last, by their count, the others by a hash of their own."""
+    """Global orders of shingles: frequent ones last, by their count, the others by a hash of their own.
+
+    A frequent shingle is known by 32 bits of its place in the first order; a rare one with
+    the same bits counts as frequent, in all sets alike.
+    """
 
     SLOTS = np.uint64((1 << 23) - 1)
 
+    SHORT = np.uint64(PLACE_BITS - 32)
+
     def __init__(self, frequent: np.ndarray, counts: np.ndarray):
-        by = np.argsort(frequent)
-        self.frequent = frequent[by]
-        self.counts = np.minimum(counts[by], (1 << 23) - 1).astype(np.uint64)
+        levels = np.clip(8 * np.log2(np.maximum(counts, 1)), 1, 255)  # eight to a doubling
+        self._list((_places(frequent) >> self.SHORT).astype(np.uint32), levels.astype(np.uint8))
+
+    @classmethod
+    def of(cls, keys: np.ndarray, levels: np.ndarray) -> Orders:
+        """Of the first 32 bits of places, and levels of counts."""
+        out = cls.__new__(cls)
+        out._list(keys, levels)
+        return out
+
+    def _list(self, keys: np.ndarray, levels: np.ndarray) -> None:
+        by = np.lexsort((-levels.astype(np.int16), keys))
+        self.keys, self.levels = keys[by], levels[by]
         self.slots = np.zeros(int(self.SLOTS) + 1, bool)  # most shingles are told apart by one look-up
-        self.slots[(self.frequent & self.SLOTS).astype(np.int64)] = True
+        self.slots[self.keys & np.uint32(self.SLOTS)] = True
 
-    def often(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes), np.uint64)
-        maybe = np.flatnonzero(self.slots[(hashes & self.SLOTS).astype(np.int64)])
+    def often(self, places: np.ndarray) -> np.ndarray:
+        """Levels of counts; 0 for what is not frequent."""
+        out = np.zeros(len(places), np.uint64)
+        keys = (places >> self.SHORT).astype(np.uint32)
+        maybe = np.flatnonzero(self.slots[keys & np.uint32(self.SLOTS)])
         if len(maybe):
-            at = np.minimum(np.searchsorted(self.frequent, hashes[maybe]), len(self.frequent) - 1)
-            out[maybe] = np.where(self.frequent[at] == hashes[maybe], self.counts[at], np.uint64(0))
+            at = np.minimum(np.searchsorted(self.keys, keys[maybe]), len(self.keys) - 1)
+            out[maybe] = np.where(self.keys[at] == keys[maybe], self.levels[at], 0)
         return out
 
     def prefix(self, hashes: np.ndarray, order: int, least: tuple[int, int]) -> np.ndarray:
@@ -119,7 +153,8 @@ class Orders:
         if not n:
             return hashes
         length = n - (n * a + b - 1) // b + 1
-        place = (self.often(hashes) << np.uint64(40)) | (_mixed(hashes ^ _ORDERS[order]) >> np.uint64(24))
+        first = _places(hashes)
+        place = (self.often(first) << np.uint64(PLACE_BITS)) | (_places(hashes, order) if order else first)
         return hashes[np.argsort(place, kind="stable")[:length]]
 
 
@@ -129,43 +164,84 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64), pa.int64()))
 
 
-def frequent_shingles(docs: DataFrame, most: int = MOST_FREQUENT, each: int = 1 << 22, least: int = 2) -> Orders:
+def frequent_shingles(docs: DataFrame, most: int | None = None, each: int = 1 << 22, least: int = 2) -> Orders:
     """Shingles that come up often, with their count.
 
-    A task counts about ``each`` shingles at a time and reports those it meets ``least``
-    times; those with the largest sums make the list, at most ``most``, cut where a
-    histogram of the sums (64 cells to a doubling) says. It only decides the order in
-    which shingles are taken, so a count that is too low costs time, never a link.
+    A task counts about ``each`` shingles at a time. It reports the shingles that stand early
+    in the first order, from which prefixes are made, and of the others those it meets
+    ``least`` times; 28 bits of each place travel, by slices of places, and are added up.
+    Those with the largest sums make the list, at most ``most``, cut where a histogram of the
+    sums (64 cells to a doubling) says; the others' sums count an eighth. It only decides the
+    order in which shingles are taken, so a count that is too low costs time, never a link.
     """
+    most = MOST_FREQUENT if most is None else most
+    low = np.uint64(PLACE_BITS - SLICE_BITS)
+    starts = np.arange(1 << SLICE_BITS, dtype=np.uint64) << low
+    early = np.uint64(EARLY * (1 << PLACE_BITS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, n = Hasher(), [], 0
 
-        def report() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            keep = counts >= least
-            columns = [pa.array(values[keep].view(np.int64)), pa.array(counts[keep], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["h", "n"])
+        def report() -> Iterator[pa.RecordBatch]:
+            places, counts = np.unique(_places(np.concatenate(held)), return_counts=True)
+            keep = (places < early) | (counts >= least)
+            places, counts = places[keep], np.minimum(counts[keep], (1 << 16) - 1).astype(np.uint16)
+            rests, ends = (places & ((np.uint64(1) << low) - np.uint64(1))).astype(np.uint32), [*np.searchsorted(places, starts), len(places)]
+            rows = [(k, i, j) for k, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j]
+            columns = [pa.array([k for k, _, _ in rows], pa.int32())]
+            columns += [pa.array([x[i:j].tobytes() for _, i, j in rows], pa.binary()) for x in (rests, counts)]
+            yield pa.RecordBatch.from_arrays(columns, ["slice", "rests", "counts"])
 
         for b in batches:
             for text in b.column(0):
                 held.append(shingles(text.as_py(), hasher))
                 n += len(held[-1])
                 if n >= each:
-                    yield report()
+                    yield from report()
                     held, n = [], 0
-        if held:
-            yield report()
+        if n:
+            yield from report()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of one slice after the other; what comes up ``least`` times at most is left out."""
+        last, parts = None, []
+
+        def report() -> Iterator[pa.RecordBatch]:
+            rests, counts = (np.concatenate([np.frombuffer(p[k], t) for p in parts]) for k, t in ((0, np.uint32), (1, np.uint16)))
+            by = np.argsort(rests)
+            rests, heads = np.unique(rests[by], return_index=True)
+            sums = np.add.reduceat(counts[by].astype(np.int64), heads)
+            keep = sums > least
+            places = rests[keep].astype(np.int64) + (last << int(low))
+            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(sums[keep])], ["place", "n"])
 
-    counted = docs.select("text").mapInArrow(lean(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    counted = materialise(counted.withColumn("cell", F.floor(F.log2("n") * 64).cast("int")), "jaccard-counts")
+        for b in batches:
+            for k, rests, counts in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                if k != last and parts:
+                    yield from report()
+                    parts = []
+                last = k
+                parts.append((rests.as_py(), counts.as_py()))
+        if parts:
+            yield from report()
+
+    mark = written_so_far()
+    told = docs.select("text").mapInArrow(lean(count), "slice int, rests binary, counts binary")
+    told = told.repartition("slice").sortWithinPartitions("slice")
+    counted = told.mapInArrow(lean(add_up), "place long, n long")
+    weight = F.when(F.col("place") < int(early), F.col("n")).otherwise(F.col("n") / 8)
+    counted = materialise(counted.withColumn("cell", F.floor(F.log2(weight) * 64).cast("int")), "jaccard-counts")
     cut, kept = 1 << 20, 0
     for cell, n in sorted(counted.groupBy("cell").count().collect(), reverse=True):  # 64 rows for each doubling
         if kept + n > most:
             break
         cut, kept = cell, kept + n
-    rows = counted.where(F.col("cell") >= cut).select("h", "n").toArrow()
-    return Orders(rows["h"].to_numpy().view(np.uint64), rows["n"].to_numpy())
+    level = F.least(F.floor(F.log2("n") * 8), F.lit(255)) - 128
+    key = F.shiftright("place", int(Orders.SHORT)) - (1 << 31)
+    rows = counted.where(F.col("cell") >= cut).select(key.cast("int").alias("key"), level.cast("byte").alias("level")).toArrow()
+    discard_intermediates(docs.sparkSession, mark)
+    keys, levels = (rows[c].to_numpy().view(t) for c, t in (("key", np.uint32), ("level", np.uint8)))
+    return Orders.of(keys ^ np.uint32(1 << 31), levels ^ np.uint8(128))
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -197,21 +273,43 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-ends")
 
 
-def _sent(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def _few(df: DataFrame) -> bool:
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def _sent(df: DataFrame) -> DataFrame:
     """``df`` (a written table) sent to every task if it is small, else joined as Spark sees fit."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if _few(df) else df
+
 
+def _enough(most: Column, both: Column, least: tuple[int, int]) -> Column:
+    """Whether two sets, ``both`` shingles together, may be similar enough if they share ``most``."""
+    return least[1] * most >= least[0] * (both - most)
 
-def _pairs(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Distinct (a, b), a < b, of rows with two nodes (x, y) and the sizes of their sets (xn, yn)."""
+
+def _pairs(rows: DataFrame, least: tuple[int, int], times: int = 1) -> DataFrame:
+    """Distinct (a, b), a < b, of rows with two nodes (x, y) that share a shingle and the sizes of their sets (xn, yn).
+
+    Only ids travel. A pair has a row for each shingle that its prefixes share; as in
+    ``_likely``, these and the larger rest have to be enough. ``times`` allows for rows
+    that are not there.
+    """
     pairs = rows.where("x != y").where(f"{least[1]} * least(xn, yn) >= {least[0]} * greatest(xn, yn)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    sizes = [F.greatest("xn", "yn").alias("larger"), (F.col("xn") + F.col("yn")).alias("both")]
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), *sizes)
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("larger").alias("larger"), F.max("both").alias("both"))
+    rest = F.expr(f"(larger * {least[0]} + {least[1] - 1}) div {least[1]} - 1")
+    return pairs.where(_enough(times * F.col("shared") + rest, F.col("both"), least)).select("a", "b")
 
 
 def _star_pairs(shared: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Each holder of a shingle with the first one: one pair a row at most, whatever the holders."""
+    """Each holder of a shingle with the first one: one pair a row at most, whatever the holders.
+
+    A pair lacks rows where another holder comes first, so a quarter of the rows will do; a
+    pair left out is met again among all pairs of holders.
+    """
     rows = shared.select(F.col("lo.node").alias("x"), F.col("lo.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"))
-    return _pairs(rows, least)
+    return _pairs(rows, least, times=4)
 
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -224,56 +322,74 @@ def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(held: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """All pairs of holders of a shingle that are in different components."""
+    """All pairs of holders of a shingle that are in different components.
+
+    Two sets in different components share no shingle that is not open, and if they share
+    a crowded one, which has no rows here, their blocks are compared.
+    """
     left = held.select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
     right = held.select("token", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"))
     return _pairs(left.join(right, "token").where("x < y and xc != yc"), least)
 
 
-def _blocks(held: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _blocks(held: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """(node, comp, block) of the holders of crowded shingles, and the pairs of blocks that share such a shingle.
 
-    A node goes with its most crowded shingle, and the nodes of one shingle are dealt over
-    blocks of about ``BLOCK_NODES``, or fewer if these have more than ``BLOCK_SHINGLES``
-    shingles, so that what is alike stands together and the pairs of blocks grow far slower
-    than the pairs of nodes.
+    A node goes with its most crowded shingle and sets of about its size, and the nodes of
+    both are dealt over blocks of about ``BLOCK_NODES``, or fewer if these have more than
+    ``BLOCK_SHINGLES`` shingles, so that what is alike stands together and the pairs of
+    blocks grow far slower than the pairs of nodes. Blocks whose sizes differ too much make
+    no pair.
     """
     node = held.groupBy("node", "comp").agg(F.max(F.struct("holders", "token")).alias("top"), F.max("n").alias("n"))
+    node = node.withColumn("band", F.floor(F.log("n") / math.log(least[1] / least[0])))
     parts = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES))
-    sizes = node.groupBy(F.col("top.token").alias("_t")).agg(parts.alias("_parts"))
+    sizes = node.groupBy(F.col("top.token").alias("_t"), F.col("band").alias("_band")).agg(parts.alias("_parts"))
     dealt = F.pmod(F.xxhash64("node"), F.col("_parts"))
-    placed = node.join(sizes, F.col("top.token") == F.col("_t")).select("node", "comp", F.xxhash64("_t", dealt).alias("block"))
-    placed = materialise(placed, "jaccard-blocks")
+    placed = node.join(sizes, (F.col("top.token") == F.col("_t")) & (F.col("band") == F.col("_band")))
+    placed = materialise(placed.select("node", "comp", "n", F.xxhash64("_t", "_band", dealt).alias("block")), "jaccard-blocks")
     found = held.select("token", F.col("node").alias("_n")).join(placed, F.col("_n") == F.col("node"))
     sets = found.groupBy("token").agg(F.array_sort(F.collect_set("block")).alias("blocks")).select("blocks").distinct()
     left = sets.select("blocks", F.posexplode("blocks").alias("i", "x"))
     pairs = left.select("x", F.explode(F.expr("slice(blocks, i + 1, size(blocks))")).alias("y")).distinct()
-    return placed, pairs
+    for side in ("y", "x"):
+        ends = placed.groupBy(F.col("block").alias(f"_{side}")).agg(F.min("n").alias(f"{side}_lo"), F.max("n").alias(f"{side}_hi"))
+        pairs = pairs.join(ends, F.col(side) == F.col(f"_{side}"))
+    near = [f"{least[1]} * {a}_hi >= {least[0]} * {b}_lo" for a, b in ("xy", "yx")]
+    return placed.drop("n"), materialise(pairs.where(" and ".join(near)).select("x", "y"), "jaccard-block-pairs")
 
 
 def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
     """Links between nodes of different components in pairs of blocks, as many as it takes to join the components.
 
-    Inside a task the prefixes under all orders are matched first, then whole sets.
+    Inside a task the prefixes under all orders are matched first, then whole sets. Pairs of
+    blocks are taken in portions, since each moves both its blocks: what is moved at a time
+    stays in proportion to the blocks, whatever the number of pairs.
     """
     rows = texts.select(F.col("node").alias("_n"), "text").join(_sent(placed), F.col("node") == F.col("_n"))
-    packed = rows.groupBy("block").agg(F.collect_list(F.struct("node", "comp", "text")).alias("rows"))
+    rows = rows.withColumn("bytes", F.octet_length("text"))
+    packed = rows.groupBy("block").agg(F.collect_list(F.struct("node", "comp", "text")).alias("rows"), F.sum("bytes").alias("bytes"))
     packed = materialise(packed, "jaccard-packed")  # about BLOCK_NODES texts or BLOCK_SHINGLES shingles each
-    both = pairs.join(packed.withColumnsRenamed({"block": "x", "rows": "left"}), "x")
-    both = both.join(packed.withColumnsRenamed({"block": "y", "rows": "right"}), "y")
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, last, theirs = Hasher(), None, None
+
+        def read(rows: list[dict]) -> tuple[list[dict], list[np.ndarray], list[list[np.ndarray]]]:
+            sets = [shingles(r["text"], hasher) for r in rows]
+            return rows, sets, [[orders.prefix(x, o, least) for x in sets] for o in range(len(_ORDERS))]
+
         for b in batches:
-            for left, right in zip(b.column(0), b.column(1)):
-                sides = [r.as_py() for r in (left, right)]
-                sets = [[shingles(r["text"], hasher) for r in side] for side in sides]
+            for left, right, y in zip(b.column(0), b.column(1), b.column(2).to_pylist()):
+                if y != last:  # rows come by the right block
+                    last, theirs = y, read(right.as_py())
+                sides, sets, heads = zip(read(left.as_py()), theirs)
                 sizes = [np.array([len(x) for x in side]) for side in sets]
                 comps = [np.array([r["comp"] for r in side]) for side in sides]
                 maybe = comps[0][:, None] != comps[1][None]
+                smaller, larger = (f(sizes[0][:, None], sizes[1][None]) for f in (np.minimum, np.maximum))
+                maybe &= least[1] * smaller >= least[0] * larger
                 for o in range(len(_ORDERS)):
                     if maybe.any():
-                        maybe &= _common(*[[orders.prefix(x, o, least) for x in side] for side in sets]) > 0
+                        maybe &= _common(*[side[o] for side in heads]) > 0
                 if maybe.any():
                     common = _common(*sets)
                     maybe &= least[1] * common >= least[0] * (sizes[0][:, None] + sizes[1][None] - common)
@@ -286,8 +402,19 @@ def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders:
                 columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
-    with _small_batches(both.sparkSession, 16):  # a row holds two blocks
-        return materialise(both.select("left", "right").mapInArrow(lean(compare), "a long, b long"), "jaccard-links")
+    weights = packed.select(F.col("block").alias("_b"), "bytes")
+    moved = pairs.join(weights, F.col("x") == F.col("_b")).agg(F.sum("bytes")).first()[0] or 0
+    whole = packed.agg(F.sum("bytes")).first()[0] or 0
+    portions = max(1, -(-moved // max(PORTION_TIMES * whole, PORTION_MB << 20)))
+    packed, found = packed.drop("bytes"), None
+    for k in range(portions):
+        some = pairs.where(F.pmod(F.xxhash64("x", "y"), F.lit(portions)) == k)
+        both = some.join(packed.withColumnsRenamed({"block": "x", "rows": "left"}), "x")
+        both = both.join(packed.withColumnsRenamed({"block": "y", "rows": "right"}), "y")
+        with _small_batches(both.sparkSession, 16):  # a row holds two blocks
+            links = materialise(both.select("left", "right", "y").mapInArrow(lean(compare), "a long, b long"), "jaccard-links")
+        found = links if found is None else found.unionByName(links)
+    return found
 
 
 @contextmanager
@@ -343,8 +470,7 @@ def _likely(pairs: DataFrame, ends: DataFrame, sets: DataFrame, least: tuple[int
     equal = [F.size(p) - F.size(F.array_distinct(p)) for p in ("a_p", "b_p")]
     shared = F.size(F.array_intersect("a_p", "b_p")) + equal[0] + equal[1]
     most = shared + F.greatest(F.col("a_n") - F.size("a_p"), F.col("b_n") - F.size("b_p"))
-    enough = least[1] * most >= least[0] * (F.col("a_n") + F.col("b_n") - most)
-    return materialise(pairs.where(enough).select("a", "b"), "jaccard-likely")
+    return materialise(pairs.where(_enough(most, F.col("a_n") + F.col("b_n"), least)).select("a", "b"), "jaccard-likely")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, orders: Orders, least: tuple[int, int]) -> DataFrame:
@@ -424,14 +550,23 @@ def _classes(rows: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFr
     The last two are those of the row that stands first in the set's group: the smallest
     id and, of its rows in the group, the smallest uid.
     """
+    with shuffles_dropped(rows.sparkSession):
+        return _found_classes(rows, least)
+
+
+def _found_classes(rows: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     filled = rows.where("id IS NOT NULL AND text IS NOT NULL")
     orders = frequent_shingles(filled)
     sets = materialise(_described(rows, orders, least), "jaccard-sets")
     full = sets.where("id IS NOT NULL AND digest IS NOT NULL")
     nodes = full.groupBy("digest").agg(F.min(F.struct("uid", "id")).alias("first"), F.min(F.struct("id", "uid")).alias("head"))
-    nodes = materialise(nodes.select("digest", F.col("first.uid").alias("node"), F.col("first.id").alias("id"), "head"), "jaccard-classes")
+    mark = written_so_far()
+    nodes = materialise(nodes.select("digest", F.col("first.uid").alias("node"), F.col("first.id").alias("id"), "head"), "jaccard-nodes")
     copies = full.select("digest", "uid").join(nodes.select("digest", "node"), "digest").where("uid != node").select("uid")
-    firsts = full.join(_sent(materialise(copies, "jaccard-copies")), "uid", "left_anti")
+    copies = materialise(copies, "jaccard-copies")
+    firsts = full.select("uid", "n", "prefix").join(_sent(copies), "uid", "left_anti")
+    if not _few(copies):  # else it is read where it is needed
+        firsts = materialise(firsts, "jaccard-firsts")
     postings = firsts.select(F.explode("prefix").alias("token"), F.col("uid").alias("node"), "n").repartition("token")
     ends = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("lo"), F.max("node").alias("hi"))
     ends = ends.where("lo.node != hi").drop("hi")
@@ -463,7 +598,7 @@ def _classes(rows: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFr
     labels = tell(_cross_pairs(held.where(F.col("holders") <= CROWD), least))
     crowded = _open(shared, labels).where(F.col("holders") > CROWD)
     if not crowded.isEmpty():
-        placed, pairs = _blocks(crowded)
+        placed, pairs = _blocks(crowded, least)
         more = nodes.join(placed.join(texts.select("node"), "node", "left_anti"), "node", "left_semi")
         texts = texts.unionByName(_texts(filled, more, repeated))
         found = _block_links(placed, pairs, texts, orders, least)
@@ -473,7 +608,10 @@ def _classes(rows: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFr
     smallest = known.join(labels.select(F.col("node").alias("_n")), F.col("node") == F.col("_n"), "left_semi")
     smallest = smallest.groupBy("label").agg(F.min("head").alias("group"))
     classes = known.join(smallest, "label", "left").withColumn("head", F.coalesce("group", "head"))
-    return sets, classes.select("digest", F.col("head.id").alias("group_id"), F.col("head.uid").alias("group_uid"))
+    classes = classes.select("digest", F.col("head.id").alias("group_id"), F.col("head.uid").alias("group_uid"))
+    classes = materialise(classes, "jaccard-classes")
+    discard_intermediates(rows.sparkSession, mark, keep_last=True)
+    return sets.drop("prefix"), classes
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

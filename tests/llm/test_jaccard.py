@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from crewcast import session
 from crewcast.llm import jaccard
 
 
@@ -112,3 +113,42 @@ def test_sizes_of_intersections():
 
 def test_empty_table(documents):
     assert jaccard.similar_groups(documents([])).collect() == []
+
+
+def test_shingles_of_many_documents_are_listed_wherever_they_stand(documents):
+    phrase = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    frame = documents([(i, f"{phrase} " + " ".join(f"x{i}y{j}" for j in range(60))) for i in range(30)])
+    orders = jaccard.frequent_shingles(frame, each=1)  # no two documents are counted together
+    places = jaccard._places(jaccard.shingles(phrase, jaccard.Hasher()))
+    early = places < jaccard.EARLY * (1 << jaccard.PLACE_BITS)
+    assert early.any()
+    assert set(orders.often(places[early])) == {int(8 * jaccard.np.log2(30))}
+
+
+def test_pairs_that_share_too_little_go_before_anything_is_sent(spark):
+    rows = [(1, 100, 2, 100)] * 15 + [(1, 100, 3, 100)] * 2 + [(4, 10, 5, 12)] + [(6, 100, 7, 130)] * 26
+    pairs = jaccard._pairs(spark.createDataFrame(rows, "x long, xn long, y long, yn long"), (80, 100))
+    assert sorted(map(tuple, pairs.collect())) == [(1, 2)]
+
+
+def test_pairs_of_blocks_in_portions(documents, monkeypatch):
+    for name, value in (("CROWD", 1), ("BLOCK_NODES", 2), ("PORTION_TIMES", 0.2), ("PORTION_MB", 0)):
+        monkeypatch.setattr(jaccard, name, value)
+    written, stored = [], jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df, name: written.append(name) or stored(df, name))
+    monkeypatch.setattr(jaccard, "_star_pairs", lambda shared, least: jaccard._pairs(shared.where("false").selectExpr("node x", "n xn", "node y", "n yn"), least))
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    rows = list(enumerate(t for n in (4, 6) for t in near_copies(rng, words, n, 2)))
+    want = groups(rows)[0]
+    assert {r["id"]: r["component_id"] for r in jaccard.similar_groups(documents(rows)).collect()} == want
+    assert written[written.index("jaccard-packed") :].count("jaccard-links") > 1
+
+
+def test_only_what_the_result_reads_stays(documents):
+    words = " ".join(f"w{i}" for i in range(60))
+    mark = session.written_so_far()
+    groups = jaccard.similar_groups(documents([(1, words), (2, words + " x"), (3, "other words")]))
+    left = {p.rpartition("/")[2].rpartition("-")[0] for p in session._written[mark:]}
+    assert left == {"jaccard-sets", "jaccard-classes"}
+    assert sorted(r["component_id"] for r in groups.collect()) == [1, 1, 3]
