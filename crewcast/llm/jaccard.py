@@ -405,7 +405,7 @@ def _block_links(placed: DataFrame, pairs: DataFrame, texts: DataFrame, orders:
     weights = packed.select(F.col("block").alias("_b"), "bytes")
     moved = pairs.join(weights, F.col("x") == F.col("_b")).agg(F.sum("bytes")).first()[0] or 0
     whole = packed.agg(F.sum("bytes")).first()[0] or 0
-    portions = max(1, -(-moved // max(PORTION_TIMES * whole, PORTION_MB << 20)))
+    portions = max(1, math.ceil(moved / max(PORTION_TIMES * whole, PORTION_MB << 20)))
     packed, found = packed.drop("bytes"), None
     for k in range(portions):
         some = pairs.where(F.pmod(F.xxhash64("x", "y"), F.lit(portions)) == k)

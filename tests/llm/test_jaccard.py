@@ -128,7 +128,7 @@ def test_shingles_of_many_documents_are_listed_wherever_they_stand(documents):
 def test_pairs_that_share_too_little_go_before_anything_is_sent(spark):
     rows = [(1, 100, 2, 100)] * 15 + [(1, 100, 3, 100)] * 2 + [(4, 10, 5, 12)] + [(6, 100, 7, 130)] * 26
     pairs = jaccard._pairs(spark.createDataFrame(rows, "x long, xn long, y long, yn long"), (80, 100))
-    assert sorted(map(tuple, pairs.collect())) == [(1, 2)]
+    assert sorted(map(tuple, pairs.collect())) == [(1, 2), (4, 5)]  # the rest of 5 could still be shared
 
 
 def test_pairs_of_blocks_in_portions(documents, monkeypatch):
@@ -140,7 +140,7 @@ def test_pairs_of_blocks_in_portions(documents, monkeypatch):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(300)]
     rows = list(enumerate(t for n in (4, 6) for t in near_copies(rng, words, n, 2)))
-    want = groups(rows)[0]
+    want = groups(rows)
     assert {r["id"]: r["component_id"] for r in jaccard.similar_groups(documents(rows)).collect()} == want
     assert written[written.index("jaccard-packed") :].count("jaccard-links") > 1
 
